@@ -92,8 +92,12 @@ def _steps(graph: str, steps: int, mode: str = "standard", last_mass: bool = Fal
     return "WITH " + ",\n".join(parts)
 
 
+def _nine_digits(value: str) -> str:
+    return f"floor({value} * 1e9::double + 0.317::double) / 1e9::double"
+
+
 def _ranks(graph: str, steps: int, mode: str = "standard") -> str:
-    return _steps(graph, steps, mode) + f"\nSELECT id, source, round(p, 9) AS p FROM r{steps}"
+    return _steps(graph, steps, mode) + f"\nSELECT id, source, {_nine_digits('p')} AS p FROM r{steps}"
 
 
 def _having(term: str) -> str:
@@ -230,9 +234,9 @@ GROUP BY 1 HAVING count(*) > 1""",
     "graph_partition": f"""WITH {_GRAPH}
 SELECT src, dst, count(*) OVER (PARTITION BY src) AS degree FROM edges""",
     "ppr_mass_step": _steps(_LARGE_GRAPH, 2, last_mass=True)
-    + "\nSELECT id, source, round(q, 9) AS q FROM q2",
+    + f"\nSELECT id, source, {_nine_digits('q')} AS q FROM q2",
     "ppr_missing_mass": _steps(_LARGE_GRAPH, 2, last_mass=True)
-    + "\nSELECT source, round(m, 9) AS m FROM m2",
+    + f"\nSELECT source, {_nine_digits('m')} AS m FROM m2",
     "ppr_missing_structure": f"""WITH {_LARGE_GRAPH}
 SELECT dst AS id, count(*) AS n_messages FROM edges
 WHERE dst NOT IN (SELECT id FROM nodes) GROUP BY 1""",
@@ -246,10 +250,10 @@ FROM edges""",
     "ppr_iterate": _ranks(_GRAPH, 5),
     "ppr_iterate_compat": _ranks(_GRAPH, 5, "compat"),
     "ppr_log_rank": _steps(_GRAPH, 3) + """
-SELECT id, source, CASE WHEN round(p, 9) = 0 THEN '-infinity'::double
-  ELSE round(ln(round(p, 9)), 6) END AS log_p FROM r3""",
-    "ppr_top_k": _steps(_GRAPH, 5) + """, rounded AS (SELECT id, source, round(p, 9) AS p FROM r5),
+SELECT id, source, CASE WHEN p = 0 THEN '-infinity'::double ELSE round(ln(p), 6) END AS log_p
+FROM r3""",
+    "ppr_top_k": _steps(_GRAPH, 5) + f""", rounded AS (SELECT id, source, {_nine_digits('p')} AS p FROM r5),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY p DESC, id) AS rank FROM rounded)
-SELECT source, rank, id, p, printf('%.5f', p) AS p_text FROM ranked WHERE rank <= 10""",
+SELECT source, rank, id, p, round(p::decimal(12, 9), 5)::varchar AS p_text FROM ranked WHERE rank <= 10""",
 }

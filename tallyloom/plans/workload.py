@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators import cooccurrence, events, graph, pagerank, postings, retrieval, words
@@ -343,6 +343,15 @@ def graph_partition(spark, sf_dir):
     return parts.links.select("src", "dst", "degree")
 
 
+def _nine_digits(value: str) -> Column:
+    """Nine digits, cut at an odd point instead of the half.
+
+    Many ranks are short decimals that end in 5; on the half, the last bit of a
+    sum would decide their last digit.
+    """
+    return F.floor(F.col(value) * 1e9 + 0.317) / 1e9
+
+
 def _mass(spark: SparkSession, sf_dir: str) -> tuple[graph.Graph, DataFrame]:
     """What arrives in the second step."""
     built = _large_graph(spark, sf_dir)
@@ -352,12 +361,12 @@ def _mass(spark: SparkSession, sf_dir: str) -> tuple[graph.Graph, DataFrame]:
 def ppr_mass_step(spark, sf_dir):
     built, received = _mass(spark, sf_dir)
     dense = pagerank.for_all_nodes(built, received, SOURCES, "q")
-    return dense.withColumn("q", F.round("q", 9))
+    return dense.withColumn("q", _nine_digits("q"))
 
 
 def ppr_missing_mass(spark, sf_dir):
     _, received = _mass(spark, sf_dir)
-    return pagerank.missing_mass(received, SOURCES).withColumn("m", F.round("m", 9))
+    return pagerank.missing_mass(received, SOURCES).withColumn("m", _nine_digits("m"))
 
 
 def ppr_missing_structure(spark, sf_dir):
@@ -370,7 +379,7 @@ def ppr_step_stats(spark, sf_dir):
 
 def _ranks(built: graph.Graph, iterations: int, mode: str) -> DataFrame:
     ranks = pagerank.personalized_pagerank(built, SOURCES, iterations, mode=mode)
-    return ranks.withColumn("p", F.round("p", 9))
+    return ranks.withColumn("p", _nine_digits("p"))
 
 
 def ppr_step_standard(spark, sf_dir):
@@ -390,8 +399,8 @@ def ppr_iterate_compat(spark, sf_dir):
 
 
 def ppr_log_rank(spark, sf_dir):
-    ranks = pagerank.with_log_rank(_ranks(_graph(spark, sf_dir), 3, "standard"))
-    return ranks.withColumn("log_p", F.round("log_p", 6))
+    ranks = pagerank.personalized_pagerank(_graph(spark, sf_dir), SOURCES, 3)
+    return pagerank.with_log_rank(ranks).withColumn("log_p", F.round("log_p", 6))
 
 
 def ppr_top_k(spark, sf_dir):
