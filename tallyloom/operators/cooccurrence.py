@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.functions.arrays import once
 from tallyloom.functions.measures import pmi
 from tallyloom.functions.text import distinct_tokens
 from tallyloom.operators.words import line_tokens
@@ -63,7 +64,7 @@ class Vocabulary:
 def _frequent_ids(lines: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
     """Per line and token: the key columns, the id, its block and the number of blocks."""
     keys = [c for c in lines.columns if c != text]
-    words = lines.select(*keys, distinct_tokens(F.col(text)).alias("_words"))
+    words = lines.select(*keys, once(distinct_tokens(F.col(text))).alias("_words"))
     words = words.where(F.size("_words") > 1)
     placed = words.select(
         *keys,
@@ -164,7 +165,7 @@ def stripes(lines: DataFrame, text: str = "line", min_count: int = MIN_COUNT,
         parts = lengths.select("x", F.ceil(F.col("n") / F.lit(entries)).alias("_parts"))
         pairs = lookup(pairs, parts, "x", weight=lengths)
         part = F.pmod(F.xxhash64("y"), F.col("_parts"))
-    cells = F.array_sort(F.collect_list(F.struct("y", "nxy")))
+    cells = F.sort_array(F.collect_list(F.struct("y", "nxy")))
     return (
         pairs.withColumn("part", part)
         .groupBy("x", "part", "nx")
@@ -192,7 +193,7 @@ def pmi_of_anchors(lines: DataFrame, anchors: list[str], text: str = "line",
                    vocabulary: Vocabulary | None = None) -> DataFrame:
     """The rows of ``pmi_pairs`` whose x is an anchor, without pairing other words."""
     vocabulary = vocabulary or Vocabulary(lines, text, min_count, total)
-    words = lines.select(distinct_tokens(F.col(text)).alias("_words"))
+    words = lines.select(once(distinct_tokens(F.col(text))).alias("_words"))
     named = F.array_intersect("_words", F.array(*[F.lit(a) for a in anchors]))
     met = (
         words.select("_words", F.explode(named).alias("x"))

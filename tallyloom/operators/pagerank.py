@@ -8,7 +8,7 @@ it cuts the lineage, and a later run can resume from it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.measures import fixed_point, log_rank
@@ -29,7 +29,7 @@ def _sources(sources: list[int]) -> Column:
 
 def initial_ranks(graph: Graph, sources: list[int]) -> DataFrame:
     """One for each source at its own node."""
-    seeds = graph.nodes.where(F.array_contains(_sources(sources), F.col("id")))
+    seeds = graph.nodes.where(F.col("id").isin(sources))
     return seeds.select("id", F.col("id").alias("source"), F.lit(1.0).alias("p"), "slots")
 
 
@@ -98,7 +98,7 @@ def ranks_at(graph: Graph, sources: list[int], folder: str, step: int, alpha: fl
     """The ranks above zero after a saved step."""
     if step == 0:
         return initial_ranks(graph, sources)
-    saved = SparkSession.active().read.schema(_STATE).parquet(_step_folder(folder, step))
+    saved = graph.nodes.sparkSession.read.schema(_STATE).parquet(_step_folder(folder, step))
     return new_ranks(saved, sources, alpha, mode)
 
 

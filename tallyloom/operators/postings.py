@@ -10,35 +10,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.functions.arrays import once
 from tallyloom.functions.text import index_tokens
 
 BLOCK_DOCS = 65536
 
 
-def _term_runs(documents: DataFrame, key: str, text: str) -> DataFrame:
-    """Sorted tokens of each document and the positions where a new term begins.
-
-    The sorted array passes through a generator, so that the optimizer does not
-    copy the sort into the lambda, which would sort once per token.
-    """
-    ordered = documents.select(
-        F.col(key).alias("doc_id"),
-        F.explode(F.array(F.array_sort(index_tokens(F.col(text))))).alias("ws"),
-    )
-    return ordered.where(F.size("ws") > 0).selectExpr(
-        "doc_id",
-        "ws",
-        "filter(sequence(0, size(ws) - 1), i -> i = 0 or ws[i] <> ws[i - 1]) as starts",
-    )
-
-
 def term_frequencies(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(term, doc_id, tf), for documents of one row each.
 
     A document is in one row, so its histogram needs no shuffle: in its sorted
     tokens, the distance from one term's start to the next one's is the frequency.
     """
-    runs = _term_runs(documents, key, text)
+    ordered = documents.select(
+        F.col(key).alias("doc_id"), once(F.sort_array(index_tokens(F.col(text)))).alias("ws")
+    ).where(F.size("ws") > 0)
+    begins = F.expr("filter(sequence(0, size(ws) - 1), i -> i = 0 or ws[i] <> ws[i - 1])")
+    runs = ordered.select("doc_id", "ws", once(begins).alias("starts"))
     return runs.select(
         "doc_id", "ws", "starts", F.posexplode("starts").alias("nth", "start")
     ).selectExpr(
@@ -55,10 +43,12 @@ def term_stats(frequencies: DataFrame) -> DataFrame:
 
 def inverted_index(frequencies: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """(term, block, postings) with postings an array of (doc_id, tf) in id order."""
+    # Never NULL, so that plans which use the index twice can share its shuffle.
+    block = F.coalesce(F.expr(f"doc_id div {block_docs}"), F.lit(0))
     return (
-        frequencies.withColumn("block", F.expr(f"doc_id div {block_docs}"))
+        frequencies.withColumn("block", block)
         .groupBy("term", "block")
-        .agg(F.array_sort(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
+        .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
     )
 
 
@@ -86,10 +76,8 @@ def gap_index(index: DataFrame) -> DataFrame:
         "term", "block", F.coalesce(F.lag("last").over(by_block), F.lit(0)).alias("previous")
     )
     gap = "p.doc_id - if(i = 0, previous, postings[i - 1].doc_id)"
-    return index.join(before, ["term", "block"]).selectExpr(
-        "term", "block",
-        f"transform(postings, (p, i) -> struct({gap} as gap, p.tf as tf)) as gaps",
-    )
+    gaps = F.expr(f"transform(postings, (p, i) -> struct({gap} as gap, p.tf as tf))")
+    return index.join(before, ["term", "block"]).select("term", "block", once(gaps).alias("gaps"))
 
 
 def from_gaps(gaps: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import postfix_condition, preview, query_terms
@@ -15,8 +15,7 @@ def lookup_postings(frequencies: DataFrame, *terms: str) -> DataFrame:
 
 def missing_terms(frequencies: DataFrame, terms: list[str]) -> DataFrame:
     """Those of the terms that occur in no document."""
-    spark = SparkSession.active()
-    asked = spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in terms])).alias("term"))
+    asked = frequencies.sparkSession.range(1).select(F.explode(F.array(*[F.lit(t) for t in terms])).alias("term"))
     # At most one row per asked term is left to join with.
     present = lookup_postings(frequencies, *terms).groupBy("term").agg(F.count("*").alias("n"))
     return asked.distinct().join(present, "term", "left_anti")

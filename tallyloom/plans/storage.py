@@ -44,11 +44,10 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give an input with fewer partitions than cores one partition per core.
+    """Give an input with fewer splits than cores one partition per core.
 
     Large inputs have far more splits than cores and pass through unchanged; a
-    small file with one row group would otherwise be processed by one task.
+    small file would otherwise be processed by one task.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df.inputFiles())
-    return df.repartition(cores) if files < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -98,7 +98,7 @@ def cooc_pairs(spark, sf_dir):
 def cooc_stripes(spark, sf_dir):
     table = cooccurrence.stripes(_lines(spark, sf_dir))
     entry = F.transform(
-        F.array_sort(F.map_entries("stripe")), lambda e: F.concat_ws(":", e["key"], e["value"])
+        F.sort_array(F.map_entries("stripe")), lambda e: F.concat_ws(":", e["key"], e["value"])
     )
     return table.select("x", "part", "nx", F.array_join(entry, ",").alias("stripe"))
 
@@ -146,7 +146,7 @@ def inverted_index(spark, sf_dir):
 
 def index_wide_row(spark, sf_dir):
     cell = F.transform(
-        F.array_sort(F.map_entries("cells")), lambda e: F.concat_ws(":", e["key"], e["value"])
+        F.sort_array(F.map_entries("cells")), lambda e: F.concat_ws(":", e["key"], e["value"])
     )
     rows = postings.wide_rows(_index(spark, sf_dir))
     return rows.select("term", "block", F.array_join(cell, ",").alias("cells"))

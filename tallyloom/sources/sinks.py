@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHARDS = 256
+SHARDS = 64
 
 
 def write_tsv(df: DataFrame, path: str) -> None:

@@ -10,6 +10,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyloom.plans.lookups import lookup
+from tallyloom.plans.storage import materialize
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row ``line`` per line of the files."""
@@ -23,29 +26,43 @@ def lines_of(documents: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
 
 
+# There is one base offset per split, so this suffices for millions of splits.
+BASES_BROADCAST_BYTES = 512 << 20
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One document per line, as (path, doc_id, text).
 
     ``doc_id`` is the byte offset of the line in its file. Spark reads a file in
     splits; the offset is the bytes of the earlier splits, summed once per split,
     plus the bytes of the earlier lines of the same split, summed per Arrow batch
-    where the split is read. No text is shuffled for it.
+    where the split is read. The text itself is not shuffled.
     """
+    start = F.col("_metadata.file_block_start")
     lines = spark.read.text(path, lineSep="\n").select(
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("split"),
+        F.concat_ws(" ", start.cast("string"), "_metadata.file_path").alias("split"),
+        start.alias("start"),
         F.col("value").alias("text"),
     )
-    earlier = Window.partitionBy("path").orderBy("split").rowsBetween(
+    earlier = Window.partitionBy("path").orderBy("start").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    bases = (
-        lines.groupBy("path", "split")
-        .agg(F.sum(F.octet_length("text") + 1).alias("bytes"))
-        .select("path", "split", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("base"))
+    sizes = lines.groupBy("path", "split", "start").agg(
+        F.sum(F.octet_length("text") + 1).alias("bytes"), F.count("*").alias("n")
+    )
+    bases = materialize(
+        sizes.select(
+            "split", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("base"), "n"
+        ),
+        "splits",
+    )
+    placed = lines.select("path", "split", "text").mapInArrow(
+        _offsets_in_split, "path string, split string, text string, at bigint"
     )
-    placed = lines.mapInArrow(_offsets_in_split, "path string, split bigint, text string, at bigint")
-    return placed.join(bases, ["path", "split"]).select(
+    found = lookup(placed, bases.select("split", "base"), "split", weight=bases,
+                   limit=BASES_BROADCAST_BYTES)
+    return found.select(
         "path",
         (F.col("base") + F.col("at")).alias("doc_id"),
         F.regexp_replace("text", "\r$", "").alias("text"),
@@ -53,23 +70,21 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _offsets_in_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add to every line the bytes of the lines before it in its split."""
     current, reached = None, 0
     for batch in batches:
-        path, split, text = batch.column(0), batch.column(1), batch.column(2)
-        rows = batch.num_rows
-        if not rows:
+        path, split, text = batch.columns
+        if not batch.num_rows:
             continue
         width = pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64) + 1
-        places = split.to_numpy(zero_copy_only=False)
-        change = places[1:] != places[:-1]
-        change |= pc.not_equal(path[1:], path[:-1]).to_numpy(zero_copy_only=False)
-        starts = np.concatenate([[0], np.flatnonzero(change) + 1])
         before = np.cumsum(width) - width
-        carried = reached if current == (path[0].as_py(), places[0]) else 0
-        lengths = np.diff(np.append(starts, rows))
-        shift = np.repeat(before[starts] - np.where(starts == 0, carried, 0), lengths)
-        at = before - shift
-        current, reached = (path[rows - 1].as_py(), places[-1]), int(at[-1] + width[-1])
+        change = pc.not_equal(split[1:], split[:-1]).to_numpy(zero_copy_only=False)
+        starts = np.append(0, np.flatnonzero(change) + 1)
+        base = before[starts]
+        if current == split[0].as_py():
+            base[0] -= reached
+        at = before - np.repeat(base, np.diff(np.append(starts, batch.num_rows)))
+        current, reached = split[-1].as_py(), int(at[-1] + width[-1])
         yield pa.RecordBatch.from_arrays(
             [path, split, text, pa.array(at)], names=["path", "split", "text", "at"]
         )
