@@ -30,7 +30,8 @@ def between_exclusive(time: Column, low: str, high: str) -> Column:
 
 
 def hour_of(time: Column) -> Column:
-    return F.date_trunc("hour", time)
+    """The start of the hour. ``date_trunc`` would go through the session time zone."""
+    return F.timestamp_add("HOUR", F.hour(time), time.cast("date").cast("timestamp_ntz"))
 
 
 def hour_label(time: Column, form: str) -> Column:

@@ -105,12 +105,16 @@ def ranks_at(graph: Graph, sources: list[int], folder: str, step: int, alpha: fl
 def cached_links(graph: Graph) -> Graph:
     """The graph with its edges in memory, placed by (src, slot) for the steps.
 
-    A lost part is read again from the written edges.
+    A lost part is read again from the written edges. The cache is filled at
+    once, since the steps avoid a shuffle of the edges only if Spark knows how
+    they came to be placed.
     """
     links = graph.links
     cores = links.sparkSession.sparkContext.defaultParallelism
     partitions = max(cores, -(-links.count() // LINKS_PER_PARTITION))
-    return Graph(graph.nodes, links.repartition(partitions, "src", "slot").persist())
+    near = links.repartition(partitions, "src", "slot").persist()
+    near.count()
+    return Graph(graph.nodes, near)
 
 
 def iterate(graph: Graph, sources: list[int], end: int, start: int = 0, folder: str | None = None,

@@ -55,16 +55,21 @@ def heavy_key_lookup(rows: DataFrame, table: DataFrame, key: str,
     hot = packed.join(F.broadcast(heavy), key, "left_semi").withColumnRenamed("_found", "_hot")
     hot = materialize(hot, "heavy")
 
-    spread_out = F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)) + 1
-    tagged = (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn("_slot", F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(spread_out))
+    # Rows of heavy keys are answered already. They go on with one of many places
+    # that no table row has; key and place are one struct, because the optimizer
+    # would take a constant place out of the join key.
+    tagged = rows.join(F.broadcast(hot), key, "left").withColumn(
+        "_place",
+        F.when(F.col("_hot").isNull(), F.lit(0).cast("bigint"))
+        .otherwise(F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)) + 1),
+    ).withColumn("_key", F.struct(F.col(key).alias("key"), F.col("_place").alias("place")))
+    cold = packed.select(
+        F.struct(F.col(key).alias("key"), F.lit(0).cast("bigint").alias("place")).alias("_key"),
+        "_found",
     )
-    cold = packed.withColumn("_slot", F.lit(0).cast("bigint"))
-    found = F.coalesce("_hot", "_found")
     return (
-        tagged.join(cold, [key, "_slot"], "left")
-        .withColumn("_found", found)
+        tagged.join(cold, "_key", "left")
+        .withColumn("_found", F.coalesce("_hot", "_found"))
         .where(F.col("_found").isNotNull())
         .select(*rows.columns, "_found.*")
     )
