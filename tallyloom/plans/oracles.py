@@ -50,16 +50,13 @@ _IN_RANGE = "time > TIMESTAMP '2024-01-05' AND time < TIMESTAMP '2024-01-20'"
 _KEYWORD = "regexp_matches(text, '(?i)(Error|PURCH)')"
 
 _EDGES = """edges AS (
-  SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst
-  FROM lineitem a
-  JOIN lineitem b ON b.l_orderkey = a.l_orderkey AND b.l_linenumber = a.l_linenumber + 1
-  JOIN orders o ON o.o_orderkey = a.l_orderkey
-  WHERE o.o_orderpriority = '1-URGENT' AND a.l_partkey <> b.l_partkey)"""
+  SELECT l_orderkey AS src, l_partkey AS dst FROM lineitem
+  UNION ALL SELECT l_orderkey, l_suppkey FROM lineitem)"""
 
-_GRAPH = "nodes AS (SELECT p_partkey AS id FROM part), " + _EDGES
+_GRAPH = "nodes AS (SELECT o_orderkey AS id FROM orders), " + _EDGES
 
-_LARGE_GRAPH = (
-    "nodes AS (SELECT p_partkey AS id FROM part WHERE p_size > 10), "
+_OPEN_GRAPH = (
+    "nodes AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus <> 'F'), "
     + _EDGES.replace("edges AS", "all_edges AS", 1)
     + ", edges AS (SELECT * FROM all_edges WHERE src IN (SELECT id FROM nodes))"
 )
@@ -166,7 +163,7 @@ FROM pairs p JOIN frequent f ON f.w = p.x GROUP BY p.x, f.n""",
 SELECT x, y, pmi FROM pmi ORDER BY pmi DESC, x, y LIMIT 1""",
     "pmi_top_neighbors": f"""WITH {_pmi('frequent')}, ranked AS (
   SELECT x, y, pmi, row_number() OVER (PARTITION BY x ORDER BY pmi DESC, y) AS rank
-  FROM pmi WHERE x IN ('the', 'of', 'data', 'nosuchword'))
+  FROM pmi WHERE x IN ('the', 'der', 'que', 'nosuchword'))
 SELECT x, y, pmi, rank FROM ranked WHERE rank <= 3""",
 
     "term_doc_tf": f"WITH {_TF} SELECT term, doc_id, tf FROM tf",
@@ -195,7 +192,7 @@ SELECT term FROM (SELECT unnest(['the', 'of', 'and', 'nosuchword']) AS term)
 WHERE term NOT IN (SELECT term FROM tf)""",
     "postings_with_text": f"""WITH {_TF}
 SELECT t.term, t.doc_id, t.tf, d.text
-FROM tf t JOIN documents d ON d.doc_id = t.doc_id WHERE t.term = 'data'""",
+FROM tf t JOIN documents d ON d.doc_id = t.doc_id WHERE t.term = 'from'""",
     "boolean_and": f"WITH {_TF} ({_having('the')}) INTERSECT ({_having('and')})",
     "boolean_or": f"WITH {_TF} ({_having('the')}) UNION ({_having('nosuchword')})",
     "boolean_postfix": f"WITH {_TF} {_Q4}",
@@ -233,20 +230,20 @@ SELECT (SELECT count(*) FROM nodes) AS n_nodes, count(*) AS n_edges,
 GROUP BY 1 HAVING count(*) > 1""",
     "graph_partition": f"""WITH {_GRAPH}
 SELECT src, dst, count(*) OVER (PARTITION BY src) AS degree FROM edges""",
-    "ppr_mass_step": _steps(_LARGE_GRAPH, 2, last_mass=True)
+    "ppr_mass_step": _steps(_OPEN_GRAPH, 2, last_mass=True)
     + f"\nSELECT id, source, {_nine_digits('q')} AS q FROM q2",
-    "ppr_missing_mass": _steps(_LARGE_GRAPH, 2, last_mass=True)
+    "ppr_missing_mass": _steps(_OPEN_GRAPH, 2, last_mass=True)
     + f"\nSELECT source, {_nine_digits('m')} AS m FROM m2",
-    "ppr_missing_structure": f"""WITH {_LARGE_GRAPH}
+    "ppr_missing_structure": f"""WITH {_OPEN_GRAPH}
 SELECT dst AS id, count(*) AS n_messages FROM edges
 WHERE dst NOT IN (SELECT id FROM nodes) GROUP BY 1""",
-    "ppr_step_stats": f"""WITH {_LARGE_GRAPH}
+    "ppr_step_stats": f"""WITH {_OPEN_GRAPH}
 SELECT (SELECT count(*) FROM nodes) AS n_nodes, count(*) AS n_edges, count(*) AS n_sent,
        count(*) AS n_received,
        count(DISTINCT dst) FILTER (WHERE dst NOT IN (SELECT id FROM nodes)) AS n_missing
 FROM edges""",
-    "ppr_step_standard": _ranks(_LARGE_GRAPH, 2),
-    "ppr_step_compat": _ranks(_LARGE_GRAPH, 2, "compat"),
+    "ppr_step_standard": _ranks(_OPEN_GRAPH, 2),
+    "ppr_step_compat": _ranks(_OPEN_GRAPH, 2, "compat"),
     "ppr_iterate": _ranks(_GRAPH, 5),
     "ppr_iterate_compat": _ranks(_GRAPH, 5, "compat"),
     "ppr_log_rank": _steps(_GRAPH, 3) + """
