@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.plans.lookups import lookup
@@ -49,6 +49,16 @@ def build_graph(nodes: DataFrame, edges: DataFrame, slot_edges: int = SLOT_EDGES
     return Graph(node_table, materialize(links, "links"))
 
 
+def save_graph(graph: Graph, folder: str) -> None:
+    """Store a prepared graph, for any number of later runs."""
+    graph.nodes.write.mode("overwrite").parquet(f"{folder}/nodes")
+    graph.links.write.mode("overwrite").parquet(f"{folder}/links")
+
+
+def load_graph(spark: SparkSession, folder: str) -> Graph:
+    return Graph(spark.read.parquet(f"{folder}/nodes"), spark.read.parquet(f"{folder}/links"))
+
+
 def duplicate_nodes(nodes: DataFrame) -> DataFrame:
     """(id, n) for ids with more than one node."""
     return nodes.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") > 1)

@@ -1,4 +1,4 @@
-"""Result sinks. All of them replace what was there."""
+"""Result sinks, which replace what was there, and reading back what they wrote."""
 
 from __future__ import annotations
 
@@ -13,6 +13,11 @@ def write_tsv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, sep="\t", quote="", escape="", emptyValue="")
 
 
+def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Typed rows of files from ``write_tsv``. An empty field is NULL."""
+    return spark.read.schema(schema).csv(path, sep="\t", quote="", escape="", emptyValue="")
+
+
 def write_ordered_tsv(df: DataFrame, path: str, *order: str | Column) -> None:
     """Part files that are sorted when read in the order of their names."""
     write_tsv(df.orderBy(*order), path)
@@ -22,6 +27,10 @@ def write_rows(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def read_rows(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def shard_of(term: Column, shards: int = SHARDS) -> Column:
     return F.pmod(F.hash(term), F.lit(shards))
 

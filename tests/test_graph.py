@@ -174,6 +174,12 @@ def test_a_run_resumes_from_a_saved_step(spark, tmp_path):
     assert close(as_dict(resumed), brute(SMALL, [1, 5], 5)[0])
 
 
+def test_a_stored_graph_gives_the_same_ranks(spark, tmp_path):
+    gr.save_graph(build(spark, SMALL), str(tmp_path))
+    loaded = gr.load_graph(spark, str(tmp_path))
+    assert close(as_dict(pr.personalized_pagerank(loaded, [1, 5], 2)), brute(SMALL, [1, 5], 2)[0])
+
+
 def test_log_rank_and_top_nodes(spark):
     ranks = spark.createDataFrame(
         [(1, 9, 0.5), (2, 9, 0.25), (3, 9, 0.25), (4, 9, 0.0), (1, 8, 0.036125), (2, 8, 1.0)],
