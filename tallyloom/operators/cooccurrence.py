@@ -7,6 +7,8 @@ been applied to them.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +22,10 @@ from tallyloom.plans.storage import materialize
 MIN_COUNT = 10
 
 # A line with more distinct tokens than this is paired up in several groups.
-BLOCK_TOKENS = 1024
+BLOCK_TOKENS = 256
+
+# How many pairs one task should meet.
+PAIRS_PER_TASK = 1 << 28
 
 # A stripe with more entries than this is stored as several maps.
 STRIPE_ENTRIES = 65536
@@ -45,7 +50,12 @@ class Vocabulary:
         if total not in ("frequent", "all"):
             raise ValueError(f"unknown total {total!r}")
         self.min_count = min_count
-        counts = token_marginals(lines, text)
+        words = lines.select(once(distinct_tokens(F.col(text))).alias("_words"))
+        words = words.select(F.explode("_words").alias("w"), F.size("_words").alias("_size"))
+        # The sizes of a token's lines say how many pairs it will be in.
+        counts = words.groupBy("w").agg(
+            F.count("*").alias("n"), F.sum(F.col("_size") - 1).alias("partners")
+        )
         frequent = F.col("n") >= min_count
         if total == "frequent":
             counts = counts.where(frequent)
@@ -60,6 +70,10 @@ class Vocabulary:
     def size(self) -> int:
         return self.words.count()
 
+    def pairs_met(self) -> int:
+        """An upper bound of the pairs of frequent tokens that occur in lines."""
+        return (self.words.agg(F.sum("partners").alias("n")).first()["n"] or 0) // 2
+
 
 def _frequent_ids(lines: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
     """Per line and token: the key columns, the id, its block and the number of blocks."""
@@ -79,8 +93,8 @@ def _id_pairs(lines: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
     """(a, b, nxy) with a < b, for the pairs that reach the minimum count.
 
     The ids of a line are gathered by pair of blocks. A usual line is one block;
-    a very long one becomes many groups of at most two blocks, which spread over
-    the cluster.
+    a very long one becomes many groups of at most two blocks. The groups are then
+    dealt out by the number of pairs to come, which their size in bytes does not show.
     """
     keys = [c for c in lines.columns if c != text]
     ids = _frequent_ids(lines, text, vocabulary)
@@ -93,6 +107,9 @@ def _id_pairs(lines: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
         F.collect_list(F.when(in_low, F.col("wid"))).alias("_left"),
         F.collect_list(F.when(~in_low, F.col("wid"))).alias("_right"),
     )
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, math.ceil(vocabulary.pairs_met() / PAIRS_PER_TASK))
+    groups = groups.repartition(tasks, *keys, "_low", "_high")
     partners = F.when(
         F.col("_low") == F.col("_high"), F.expr("slice(_left, _at + 2, size(_left))")
     ).otherwise(F.col("_right"))

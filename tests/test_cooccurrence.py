@@ -132,6 +132,20 @@ def test_no_frequent_token_gives_no_rows(spark):
     assert co.pmi_stripes(frame).count() == 0
 
 
+def test_no_line_gives_no_rows(spark):
+    lines = spark.createDataFrame([("a b",)], "line string")
+    for empty in (spark.createDataFrame([], "doc_id bigint, line string"),
+                  lines.where("1 = 0"), lines.where("line = 'x'")):
+        assert co.pair_counts(empty).count() == 0
+        assert co.pmi_pairs(empty).count() == 0
+
+
+def test_the_number_of_pairs_to_come_is_known(spark):
+    frame = lines_frame(spark, ["a b c a", "d", "", "a b"])
+    assert co.Vocabulary(frame, min_count=1).pairs_met() == 4
+    assert co.Vocabulary(frame, min_count=2, total="all").pairs_met() == 3
+
+
 def test_lines_of_keeps_blank_lines(spark):
     documents = spark.createDataFrame([(5, "a\n\nb")], "doc_id bigint, text string")
     assert [tuple(r) for r in lines_of(documents).collect()] == [(5, 0, "a"), (5, 1, ""), (5, 2, "b")]
