@@ -15,6 +15,9 @@ from tallyloom.functions.text import index_tokens
 
 BLOCK_DOCS = 65536
 
+# Numbers that pass from block to block do so within this many blocks first.
+STRETCH_BLOCKS = 65536
+
 
 def term_frequencies(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(term, doc_id, tf), for documents of one row each.
@@ -64,16 +67,34 @@ def postings_of(index: DataFrame) -> DataFrame:
     return index.select("term", F.inline("postings"))
 
 
+def _over_earlier_blocks(blocks: DataFrame, value: str, total) -> DataFrame:
+    """(term, block, near, far): ``total`` of the values in the earlier blocks of the term.
+
+    It is taken in two levels, ``near`` over the blocks of the same stretch and
+    ``far`` over the stretches before, so that no task orders all blocks of a term.
+    """
+    near = Window.partitionBy("term", "stretch").orderBy("block").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    far = Window.partitionBy("term").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    placed = blocks.withColumn(
+        "stretch", F.coalesce(F.expr(f"block div {STRETCH_BLOCKS}"), F.lit(0))
+    )
+    stretches = placed.groupBy("term", "stretch").agg(total(value).alias("_all"))
+    stretches = stretches.select("term", "stretch", total("_all").over(far).alias("far"))
+    inside = placed.select("term", "block", "stretch", total(value).over(near).alias("near"))
+    return inside.join(stretches, ["term", "stretch"]).drop("stretch")
+
+
 def gap_index(index: DataFrame) -> DataFrame:
     """(term, block, gaps): each id as its distance from the id before it.
 
     The first id of a term counts from zero. Only one number per block, its last
     id, travels between the blocks of a term.
     """
-    by_block = Window.partitionBy("term").orderBy("block")
     ends = index.select("term", "block", F.element_at("postings", -1)["doc_id"].alias("last"))
-    before = ends.select(
-        "term", "block", F.coalesce(F.lag("last").over(by_block), F.lit(0)).alias("previous")
+    before = _over_earlier_blocks(ends, "last", F.max).select(
+        "term", "block", F.coalesce(F.greatest("near", "far"), F.lit(0)).alias("previous")
     )
     gap = "p.doc_id - if(i = 0, previous, postings[i - 1].doc_id)"
     gaps = F.expr(f"transform(postings, (p, i) -> struct({gap} as gap, p.tf as tf))")
@@ -82,9 +103,6 @@ def gap_index(index: DataFrame) -> DataFrame:
 
 def from_gaps(gaps: DataFrame) -> DataFrame:
     """(term, doc_id, tf) restored from gaps by running sums, over and in blocks."""
-    by_block = (
-        Window.partitionBy("term").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    )
     in_block = (
         Window.partitionBy("term", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -92,9 +110,8 @@ def from_gaps(gaps: DataFrame) -> DataFrame:
         "term", "block",
         F.aggregate("gaps", F.lit(0).cast("bigint"), lambda s, g: s + g["gap"]).alias("span"),
     )
-    bases = spans.select(
-        "term", "block", F.coalesce(F.sum("span").over(by_block), F.lit(0)).alias("base")
-    )
+    base = F.coalesce("near", F.lit(0)) + F.coalesce("far", F.lit(0))
+    bases = _over_earlier_blocks(spans, "span", F.sum).select("term", "block", base.alias("base"))
     cells = gaps.select("term", "block", F.posexplode("gaps").alias("at", "cell"))
     ids = cells.select(
         "term", "block", F.sum("cell.gap").over(in_block).alias("offset"), "cell.tf"

@@ -61,8 +61,9 @@ def test_blocks_in_order_are_the_postings_list(documents, expected, block):
     assert {(t, i): n for t, found in lists.items() for i, n in found} == expected
 
 
-@pytest.mark.parametrize("block", [po.BLOCK_DOCS, 7])
-def test_gaps_run_over_all_blocks_and_decode(documents, expected, block):
+@pytest.mark.parametrize("block, stretch", [(po.BLOCK_DOCS, po.STRETCH_BLOCKS), (7, 5), (1000, 40)])
+def test_gaps_run_over_all_blocks_and_decode(documents, expected, monkeypatch, block, stretch):
+    monkeypatch.setattr(po, "STRETCH_BLOCKS", stretch)
     gaps = po.gap_index(po.inverted_index(po.term_frequencies(documents), block))
     running = {}
     for row in gaps.orderBy("term", "block").collect():
