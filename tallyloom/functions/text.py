@@ -6,23 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters that end a token.
-LINE_BREAKERS = "\t\n\r\f"
-INDEX_BREAKERS = "\t\n\x0b\f\r"
+TOKEN_BREAKS = " \t\n\r\f"
+INDEX_BREAKS = " \t\n\x0b\f\r"
 
 
-def tokens(text: Column, breakers: str = LINE_BREAKERS) -> Column:
-    """Whitespace tokens of ``text``, without empty ones.
-
-    Every breaker becomes a blank first, so the split runs on one literal
-    character, which the JVM handles without its regex engine.
-    """
-    blanks = F.translate(text, breakers, " " * len(breakers))
-    return F.array_remove(F.split(blanks, " "), "")
+def tokens(text: Column, breaks: str = TOKEN_BREAKS) -> Column:
+    """Whitespace tokens of ``text``, without empty ones."""
+    return F.array_remove(F.split(text, f"[{breaks}]+"), "")
 
 
 def index_tokens(text: Column) -> Column:
     """Tokens for the inverted index; a vertical tab ends a token as well."""
-    return tokens(text, INDEX_BREAKERS)
+    return tokens(text, INDEX_BREAKS)
 
 
 def distinct_tokens(text: Column) -> Column:
