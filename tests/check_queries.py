@@ -45,7 +45,8 @@ def difference(spark: SparkSession, connection, sf_dir: str, name: str) -> str:
     left, right = canonical(ours), canonical(theirs)
     if not left.equals(right):
         unequal = (left != right).any(axis=1)
-        return f"values differ in {int(unequal.sum())} rows, such as {left[unequal].head(2).values.tolist()} and {right[unequal].head(2).values.tolist()} {kinds}"
+        examples = [f[unequal].head(2).values.tolist() for f in (left, right)]
+        return f"values differ in {int(unequal.sum())} rows, such as {examples} {kinds}"
     return f"kinds {kinds}" if kinds else ""
 
 

@@ -92,9 +92,11 @@ def test_ranks_equal_brute_force(spark, mode):
 
 def test_mass_adds_up(spark):
     built = build(spark, SMALL)
-    total = lambda mode, n: {
-        r.source: r.p for r in pr.personalized_pagerank(built, [1, 5], n, mode=mode).groupBy("source").agg(F.sum("p").alias("p")).collect()
-    }
+
+    def total(mode, n):
+        ranks = pr.personalized_pagerank(built, [1, 5], n, mode=mode)
+        return dict(ranks.groupBy("source").agg(F.sum("p")).collect())
+
     assert all(math.isclose(p, 1) for p in total("standard", 3).values())
     _, missing = brute(SMALL, [1, 5], 1, "compat")
     assert all(math.isclose(p, 1 + 0.15 * missing[0][s]) for s, p in total("compat", 1).items())

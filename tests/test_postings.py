@@ -102,7 +102,9 @@ def test_stored_index_reads_the_shards_of_the_terms(stored, expected):
 
 
 def test_a_heavy_term_spans_several_partitions(spark):
-    frequencies = spark.range(4000).select(F.lit("hot").alias("term"), F.col("id").alias("doc_id"), F.lit(1).alias("tf"))
+    frequencies = spark.range(4000).select(
+        F.lit("hot").alias("term"), F.col("id").alias("doc_id"), F.lit(1).alias("tf")
+    )
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         laid_out = sinks._laid_out(po.inverted_index(frequencies, 10), 4)

@@ -15,7 +15,8 @@ def offsets(data):
     return out[:-1] if data.endswith(b"\n") else out
 
 
-DATA = ("first\n\nthird é line\r\n" + "".join(f"line {i} " + "x" * (i % 90) + "\n" for i in range(4000)) + "last").encode()
+MANY = "".join(f"line {i} " + "x" * (i % 90) + "\n" for i in range(4000))
+DATA = ("first\n\nthird é line\r\n" + MANY + "last").encode()
 
 
 @pytest.mark.parametrize("split", [None, 5000])
