@@ -32,11 +32,15 @@ def utf8_bytes(text: str) -> Column:
 
 
 def table_bytes(table: DataFrame) -> int:
-    """Measured bytes of a written table of numbers, strings, binaries and arrays of longs."""
+    """Measured bytes of a written table of numbers, strings, binaries and arrays of them."""
     row = F.lit(16 + 8 * len(table.columns)).cast("long")
     for name, kind in table.dtypes:
         if kind in ("string", "binary"):
             row = row + F.coalesce(F.octet_length(name), F.lit(0))
+        elif kind in ("array<binary>", "array<string>"):
+            inner = F.aggregate(F.transform(name, lambda x: F.octet_length(x).cast("long") + 16),
+                                F.lit(0).cast("long"), lambda a, x: a + x)
+            row = row + F.coalesce(inner, F.lit(0))
         elif kind.startswith("array"):
             row = row + 8 * F.greatest(F.size(name), F.lit(0))
     return table.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]

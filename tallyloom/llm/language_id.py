@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import held_out
@@ -186,14 +187,10 @@ def learn(documents: DataFrame, id_column: str = "doc_id", text_column: str = "t
         .select(F.col(id_column).alias("id"), F.col(lang_column).alias("lang"),
                 F.xxhash64(id_column, text_column).alias("hash"))
     )
-    least = chosen.groupBy("lang").agg(F.min("hash").alias("least"), F.count("*").alias("n"))
-    names = sorted(r["lang"] for r in least.select("lang").collect())
+    names = sorted(r["lang"] for r in chosen.select("lang").distinct().collect())
     if not names:
         return Automata([], [np.array([32], np.uint32)])
     share = min(sample_letters, max(256, ALL_LETTERS // len(names)))
-    # A hash range that holds about the wanted number of documents of each language.
-    from pyspark.sql import Window as W
-
     ranked = chosen.withColumn(
         "rank", F.row_number().over(W.partitionBy("lang").orderBy("hash", "id"))
     ).where(F.col("rank") <= per_language)

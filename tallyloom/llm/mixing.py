@@ -9,6 +9,8 @@ after the last. Everything is DataFrame operations.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -139,7 +141,7 @@ def mix(documents: DataFrame, weights: tuple = WEIGHTS, passes: int = MOST_PASSE
     found.sort(key=lambda r: (r[0] is None, r[0]))
     sizes = [r["size"] for r in found]
     targets = source_targets(sizes, [weights[i % len(weights)] for i in range(len(found))], passes)
-    plan = [(i, size, round(t)) for i, (size, t) in enumerate(zip(sizes, targets))]
+    plan = [(i, size, math.floor(t + 0.5)) for i, (size, t) in enumerate(zip(sizes, targets))]
     facts = spark.createDataFrame(
         [(r[0], i, sizes[i], targets[i]) for i, r in enumerate(found)],
         f"source_name {sized.schema['source_name'].dataType.simpleString()}, source int, "
