@@ -62,7 +62,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = oracle_connection(sf_dir)
-    for name in names or registry.queries():
+    for name in names or registry.oracle_sql():
         start = time.time()
         problem = difference(spark, connection, sf_dir, name)
         print(f"{name:32s} {time.time() - start:6.1f}s {problem or 'same'}", flush=True)
