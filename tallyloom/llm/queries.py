@@ -108,13 +108,13 @@ SELECT doc_id, size, source_size, target,
 FROM placed""",
     "op7_decontamination": r"""
 WITH items AS (
-  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w
+  SELECT item_id, [x for x in regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') if x <> ''] AS w
   FROM benchmark),
 item_shingles AS (
   SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
   FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM items)),
 docs AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w
+  SELECT doc_id, [x for x in regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') if x <> ''] AS w
   FROM documents),
 doc_shingles AS (
   SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
@@ -126,9 +126,9 @@ FROM doc_shingles d JOIN item_shingles i USING (s) JOIN sizes USING (item_id)
 GROUP BY 1, 2, 3 HAVING count(*) / item_shingles >= 0.8""",
     "op9_topk": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  SELECT vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS v FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
