@@ -14,7 +14,7 @@ buckets and one refinement are enough, and only where buckets are shared:
    refined bucket. Its 50-byte strings are refined on their own by the buckets at
    their start and 25 bytes later, the same buckets used again, and sorted likewise.
 
-A refined bucket is held in 128 bits, so that strings in one are taken as equal.
+A bucket and its refinement are held in 108 bits, so that strings in one are taken as equal.
 """
 
 from __future__ import annotations
@@ -40,9 +40,14 @@ GRAMS = STRING_BYTES - GRAM + 1
 BUFFER_BYTES = 1 << 18
 HELD_ANCHORS = 1 << 20
 
+# Contexts of anchors that are taken apart at once.
+HELD_CONTEXTS = 1 << 15
+
 # The packed place of an anchor: a tag of its text (20 bits, tells rows of one
 # doc_id apart), its position (31), the bytes of context before and after it (5 each).
-TAG_SHIFT, POSITION_SHIFT = 41, 10
+# Until it is sorted, the tag is in the last bits of the refined bucket.
+TAG_BITS, TAG_SHIFT, POSITION_SHIFT = 20, 41, 10
+TAG_MASK = (1 << TAG_BITS) - 1
 
 _K1 = np.uint64(0x9E3779B97F4A7C15)
 _K2 = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -50,7 +55,7 @@ _K3 = np.uint64(0x165667B19E3779F9)
 
 
 def _tag(data: bytes) -> int:
-    return zlib.crc32(data) & 0xFFFFF
+    return zlib.crc32(data) & TAG_MASK
 
 
 def _buckets(data: np.ndarray) -> np.ndarray:
@@ -74,6 +79,11 @@ def _buckets(data: np.ndarray) -> np.ndarray:
     return x
 
 
+def _tagged(refined: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    """The refined bucket, its last bits replaced by the tag of the text."""
+    return (refined.view(np.int64) & ~TAG_MASK) | tag
+
+
 def _refine(before: np.ndarray, at: np.ndarray, after: np.ndarray) -> np.ndarray:
     x = before * _K3
     x ^= x >> np.uint64(31)
@@ -128,8 +138,8 @@ class Buffer:
         g = bucket[at]
         c = _refine(bucket[at - before] + before.astype(np.uint64), g,
                     bucket[at + after] + after.astype(np.uint64) * _K3)
-        place = (tags[part] << TAG_SHIFT) | (position << POSITION_SHIFT) | (before << 5) | after
-        return g.view(np.int64), c.view(np.int64), docs[part], place
+        place = (position << POSITION_SHIFT) | (before << 5) | after
+        return g.view(np.int64), _tagged(c, tags[part]), docs[part], place
 
 
 def _held_apart(found: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
@@ -138,13 +148,13 @@ def _held_apart(found: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]
     if not found:
         return
     g, c, doc, place = (np.concatenate(x) for x in zip(*found))
-    key = _refine(g.view(np.uint64), c.view(np.uint64), _K1)
+    key = _refine(g.view(np.uint64), (c >> TAG_BITS).view(np.uint64), _K1)
     order = np.argsort(key)
     g, c, doc, place, key = g[order], c[order], doc[order], place[order], key[order]
     new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     least = np.repeat(np.minimum.reduceat(doc, new), np.diff(np.append(new, len(key))))
     later = doc > least
-    yield from _rows(["g", "c", "doc", "place"], [pa.array(g, mask=later), pa.array(c, mask=later),
+    yield from _rows(["g", "c", "doc", "place"], [pa.array(g, mask=later), pa.array(c),
                                                   pa.array(doc), pa.array(place)])
 
 
@@ -176,46 +186,61 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield from _held_apart(held)
 
 
-def _find_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The 50-byte strings of the wanted anchors, as anchors with no context before."""
-    width = GRAM + 2 * GRAM
+def _strings_at(grid: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The 50-byte strings of anchors, given their bytes in context, one row for each anchor.
+
+    They are anchors with no context before; each is due to the anchor that is its least bucket.
+    """
+    n, width = grid.shape
+    bucket = _buckets(np.append(grid.reshape(-1), np.zeros(GRAM, np.uint8)))
+    bucket = bucket[:n * width].reshape(n, width)[:, :width - GRAM + 1]
+    least, span = bucket, 1
+    while 2 * span <= GRAMS:
+        least, span = np.minimum(least[:, :-span], least[:, span:]), 2 * span
+    least = np.minimum(least[:, :span - GRAMS], least[:, GRAMS - span:])
+    before, after = (place >> 5) & 31, place & 31
+    position, tag = (place >> POSITION_SHIFT) & 0x7FFFFFFF, place >> TAG_SHIFT
+    own = bucket[np.arange(n), before]
+    first = np.arange(least.shape[1])
+    inside = (least == own[:, None]) & (first <= before[:, None]) & (
+        before[:, None] <= first + GRAMS - 1) & (first + STRING_BYTES <= (before + GRAM + after)[:, None])
+    row, s = np.nonzero(inside)
+    g = own[row]
+    c = _tagged(_refine(bucket[row, s], g, bucket[row, s + GRAM]), tag[row])
+    start = position[row] - before[row] + s
+    return g.view(np.int64), c, doc[row], (start << POSITION_SHIFT) | GRAM
+
+
+def _find_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Strings of the wanted anchors, many texts at once."""
+    steps = np.arange(3 * GRAM)
+    grids, docs, places, count = [], [], [], 0
     for batch in batches:
-        for doc, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+        for doc, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
             data = (text.as_py() or "").encode()
-            tag = _tag(data)
-            wanted = np.array(places.values.to_numpy(zero_copy_only=False))
-            wanted = wanted[wanted >> TAG_SHIFT == tag]
-            for a in range(0, len(wanted), 4096):
-                some = wanted[a:a + 4096]
-                position = (some >> POSITION_SHIFT) & 0x7FFFFFFF
-                before, after = (some >> 5) & 31, some & 31
-                start = position - before
-                source = np.frombuffer(data + bytes(width), np.uint8)
-                grid = source[start[:, None] + np.arange(width)]
-                bucket = _buckets(np.append(grid.reshape(-1), np.zeros(GRAM, np.uint8)))
-                bucket = bucket[:len(some) * width].reshape(-1, width)
-                own = bucket[np.arange(len(some)), before]
-                for s in range(GRAMS):
-                    inside = (s + STRING_BYTES <= before + GRAM + after) & (
-                        bucket[:, s:s + GRAMS].min(1) == own) & (s <= before) & (before <= s + GRAM)
-                    n = int(inside.sum())
-                    if not n:
-                        continue
-                    g = own[inside]
-                    c = _refine(bucket[inside, s], g, bucket[inside, s + GRAM])
-                    place = (tag << TAG_SHIFT) | ((start[inside] + s) << POSITION_SHIFT) | GRAM
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(g.view(np.int64)), pa.array(c.view(np.int64)),
-                         pa.array(np.full(n, doc, np.int64)), pa.array(place)],
-                        ["g", "c", "doc", "place"])
+            place = wanted.values.to_numpy(zero_copy_only=False)
+            place = place[place >> TAG_SHIFT == _tag(data)]
+            source = np.frombuffer(data + bytes(3 * GRAM), np.uint8)
+            for a in range(0, len(place), HELD_CONTEXTS):
+                some = place[a:a + HELD_CONTEXTS]
+                start = ((some >> POSITION_SHIFT) & 0x7FFFFFFF) - ((some >> 5) & 31)
+                grids.append(source[start[:, None] + steps])
+                docs.append(np.full(len(some), doc, np.int64))
+                places.append(some)
+                count += len(some)
+                if count >= HELD_CONTEXTS:
+                    yield _strings_at(np.concatenate(grids), np.concatenate(docs), np.concatenate(places))
+                    grids, docs, places, count = [], [], [], 0
+    if count:
+        yield _strings_at(np.concatenate(grids), np.concatenate(docs), np.concatenate(places))
 
 
 def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Small batches joined to larger ones, and anchors already seen in the task settled."""
     held, count = [], 0
-    for batch in _find_strings(batches):
-        held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)))
-        count += batch.num_rows
+    for found in _find_strings(batches):
+        held.append(found)
+        count += len(found[0])
         if count >= HELD_ANCHORS:
             yield from _held_apart(held)
             held, count = [], 0
@@ -237,11 +262,14 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bare = batch.column(0).null_count
         if bare:
             settled = batch.filter(batch.column(0).is_null())
-            yield rows(settled.column(2).to_numpy(), settled.column(3).to_numpy(), False)
+            c, doc, place = (settled.column(i).to_numpy() for i in (1, 2, 3))
+            yield rows(doc, place | ((c & TAG_MASK) << TAG_SHIFT), False)
             batch = batch.filter(batch.column(0).is_valid())
         if not batch.num_rows:
             continue
         g, c, doc, place = (batch.column(i).to_numpy() for i in range(4))
+        place = place | ((c & TAG_MASK) << TAG_SHIFT)
+        c = c >> TAG_BITS
         new_g = np.concatenate([[g[0] != last_g], g[1:] != g[:-1]])
         new_c = new_g | np.concatenate([[c[0] != last_c], c[1:] != c[:-1]])
         starts = np.flatnonzero(np.concatenate([[True], new_c[1:]]))
@@ -346,9 +374,9 @@ _PLACE = "doc long, place long, open boolean"
 
 
 def _sort_buckets(anchors: DataFrame) -> DataFrame:
-    dealt = anchors.withColumn("_to", F.coalesce("g", F.xxhash64("doc", "place")))
-    return dealt.repartition("_to").drop("_to").sortWithinPartitions("g", "c", "doc").mapInArrow(
-        _sorted_runs, _PLACE)
+    to = F.coalesce("g", F.xxhash64("doc", "place"))
+    order = ["g", F.shiftright("c", TAG_BITS), "doc"]
+    return anchors.repartition(to).sortWithinPartitions(*order).mapInArrow(_sorted_runs, _PLACE)
 
 
 def remove_repeats(documents: DataFrame, id_column: str = "doc_id",
