@@ -11,8 +11,6 @@ The search misses nothing. Everything is DataFrame operations.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,14 +82,14 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, containment: flo
     probes = worded.select("doc_id", F.explode(shingle_hashes("words")).alias("hash"))
     candidates = materialize(
         probes.join(small_side(sketch), "hash").groupBy("doc_id", "item_id").agg(
-            F.count("*").alias("n")).groupBy("doc_id").agg(F.collect_list("item_id").alias("items")),
+            F.count("*").alias("n")).groupBy("doc_id").agg(F.collect_list(F.struct("item_id")).alias("items")),
         "candidates")
     near = candidates.withColumnRenamed("doc_id", "_id")
     kept = documents.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     sought = kept.join(small_side(near), kept.doc_id.eqNullSafe(F.col("_id")))
     texts = sought.select("doc_id", "items", once(item_words("text")).alias("words")).select(
         "doc_id", "items", once(shingles("words")).alias("has"))
-    pairs = texts.select("doc_id", "has", F.explode("items").alias("_item"))
+    pairs = texts.select("doc_id", "has", F.explode("items.item_id").alias("_item"))
     wanted = small_side(items.select("item_id", "shingles"))
     found = pairs.join(wanted, F.col("_item").eqNullSafe(F.col("item_id"))).select(
         "doc_id", "item_id", F.size("shingles").alias("item_shingles"),

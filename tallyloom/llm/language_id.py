@@ -141,7 +141,7 @@ class Automata:
             active = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), "right")
             for k, root in enumerate(self.roots):
                 states = np.full(len(some), root * self.width, np.int64)
-                found = np.ones(len(some), np.int64)
+                found = np.zeros(len(some), np.int64)
                 first = self.next[root * self.width:(root + 1) * self.width].astype(np.int64)
                 first = np.where(first < 0, root, first) * self.width
                 for step in range(sizes[0]):
@@ -149,8 +149,9 @@ class Automata:
                     row = grid[step, :n]
                     after = self.next[states[:n] + row].astype(np.int64)
                     broken = after < 0
+                    # At the root a phrase begins; a letter that no text has is one by itself.
+                    found[:n] += broken | (states[:n] == root * self.width)
                     states[:n] = np.where(broken, first[row], after * self.width)
-                    found[:n] += broken
                 np.add.at(counts[:, k], [owners[i] for i in some], found)
         return counts
 

@@ -17,7 +17,7 @@ from tallyloom.plans.storage import materialize
 # Bytes that a row costs besides its text.
 ROW_BYTES = 8
 
-# How many group ends one step of the search may bring to the driver.
+# How many cells of group ends one step of the search may bring to the driver.
 STEP_ENDS = 1 << 16
 
 
@@ -86,7 +86,10 @@ class GroupEnds:
             self._refine(sorted(gaps))
 
     def _refine(self, gaps: list[int]) -> None:
-        """Learn ends inside the gaps, at most about ``step_ends`` of them."""
+        """Learn ends inside the gaps, at most about twice ``step_ends`` of them.
+
+        Of each cell the first and the last end are learned, so every step splits a gap.
+        """
         ranges: list[list[int]] = []
         for j in gaps:
             low, high = int(self.ends[j - 1]) if j else 0, int(self.ends[j])
@@ -103,13 +106,14 @@ class GroupEnds:
             wanted = wanted | inside
         found = (
             self.table.where(wanted).groupBy(place.alias("place"))
-            .agg(F.max("end").alias("end"), F.count("*").alias("n")).collect()
+            .agg(F.min("end"), F.max("end"), F.count("*")).collect()
         )
         known = {int(e): bool(h) for e, h in zip(self.ends, self.hidden)}
         for j in gaps:
             known[int(self.ends[j])] = False
-        for _, e, n in found:
-            known[e] = n > 1
+        for _, first, last, n in found:
+            known[last] = n > 2
+            known[first] = False
         self.ends = np.array(sorted(known), dtype=np.int64)
         self.hidden = np.array([known[int(e)] for e in self.ends])
 
