@@ -25,7 +25,8 @@ def distinct_tokens(text: Column) -> Column:
 
 
 def is_alphabetic(token: Column) -> Column:
-    return token.rlike("^[A-Za-z]+$")
+    """The whole token is ASCII letters; not even a final line break is let pass."""
+    return token.rlike(r"\A[A-Za-z]+\z")
 
 
 def preview(text: Column, length: int = 80) -> Column:
@@ -34,7 +35,7 @@ def preview(text: Column, length: int = 80) -> Column:
 
 def has_keyword(text: Column, keywords: list[str]) -> Column:
     """Any of the keywords anywhere in the text, in any case."""
-    quoted = "|".join("\\Q" + word + "\\E" for word in keywords)
+    quoted = "|".join("\\Q" + word.replace("\\E", "\\E\\\\E\\Q") + "\\E" for word in keywords)
     return text.rlike("(?i)(" + quoted + ")")
 
 
@@ -55,6 +56,8 @@ def postfix_condition(query: str, term_is_present) -> Column:
         pending.append(left & right if word == "AND" else left | right)
     if not pending:
         raise ValueError("the query is empty")
+    if len(pending) > 1:
+        raise ValueError(f"{query!r} lacks an operator")
     return pending[-1]
 
 

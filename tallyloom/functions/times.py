@@ -19,7 +19,7 @@ def parse_creation_time(text: Column) -> Column:
     of the session time zone.
     """
     named = text.rlike("^(Mon|Tue|Wed|Thu|Fri|Sat|Sun) ")
-    instant = F.try_to_timestamp(F.when(named, F.substring(text, 5, 64)), F.lit(CREATION_TIME))
+    instant = F.try_to_timestamp(F.when(named, F.substr(text, F.lit(5))), F.lit(CREATION_TIME))
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 

@@ -76,12 +76,15 @@ class Vocabulary:
 
 
 def _frequent_ids(lines: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
-    """Per line and token: the key columns, the id, its block and the number of blocks."""
-    keys = [c for c in lines.columns if c != text]
-    words = lines.select(*keys, once(distinct_tokens(F.col(text))).alias("_words"))
-    words = words.where(F.size("_words") > 1)
-    placed = words.select(
-        *keys,
+    """Per line and token: the line's number, the id, its block and the number of blocks.
+
+    Lines are numbered here and written with their numbers, since nothing that the
+    caller has in other columns need tell them apart.
+    """
+    words = lines.select(once(distinct_tokens(F.col(text))).alias("_words"))
+    words = words.where(F.size("_words") > 1).withColumn("_line", F.monotonically_increasing_id())
+    placed = materialize(words, "lines").select(
+        "_line",
         F.ceil(F.size("_words") / F.lit(BLOCK_TOKENS)).cast("int").alias("_blocks"),
         F.posexplode("_words").alias("_pos", "w"),
     ).withColumn("_block", F.expr(f"_pos div {BLOCK_TOKENS}").cast("int")).drop("_pos")
@@ -93,23 +96,22 @@ def _id_pairs(lines: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
     """(a, b, nxy) with a < b, for the pairs that reach the minimum count.
 
     The ids of a line are gathered by pair of blocks. A usual line is one block;
-    a very long one becomes many groups of at most two blocks. The groups are then
-    dealt out by the number of pairs to come, which their size in bytes does not show.
+    a very long one becomes many groups of at most two blocks. They are dealt out by
+    the number of pairs to come, which their size in bytes does not show.
     """
-    keys = [c for c in lines.columns if c != text]
     ids = _frequent_ids(lines, text, vocabulary)
     met = ids.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     met = met.withColumn("_low", F.least("_block", "_other")).withColumn(
         "_high", F.greatest("_block", "_other")
     )
     in_low = F.col("_block") == F.col("_low")
-    groups = met.groupBy(*keys, "_low", "_high").agg(
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, math.ceil(vocabulary.pairs_met() / PAIRS_PER_TASK))
+    group = ["_line", "_low", "_high"]
+    groups = met.repartition(tasks, *group).groupBy(*group).agg(
         F.collect_list(F.when(in_low, F.col("wid"))).alias("_left"),
         F.collect_list(F.when(~in_low, F.col("wid"))).alias("_right"),
     )
-    cores = lines.sparkSession.sparkContext.defaultParallelism
-    tasks = max(cores, math.ceil(vocabulary.pairs_met() / PAIRS_PER_TASK))
-    groups = groups.repartition(tasks, *keys, "_low", "_high")
     partners = F.when(
         F.col("_low") == F.col("_high"), F.expr("slice(_left, _at + 2, size(_left))")
     ).otherwise(F.col("_right"))
@@ -173,15 +175,11 @@ def stripes(lines: DataFrame, text: str = "line", min_count: int = MIN_COUNT,
     """
     vocabulary = vocabulary or Vocabulary(lines, text, min_count)
     counted = _id_pairs(lines, text, vocabulary)
-    if vocabulary.size() <= entries:
-        pairs = _both_orders(_named(counted, vocabulary))
-        part = F.lit(0).cast("bigint")
-    else:
-        pairs = materialize(_both_orders(_named(counted, vocabulary)), "pairs")
-        lengths = materialize(pairs.groupBy("x").agg(F.count("*").alias("n")), "lengths")
-        parts = lengths.select("x", F.ceil(F.col("n") / F.lit(entries)).alias("_parts"))
-        pairs = lookup(pairs, parts, "x", weight=lengths)
-        part = F.pmod(F.xxhash64("y"), F.col("_parts"))
+    pairs = materialize(_both_orders(_named(counted, vocabulary)), "pairs")
+    lengths = materialize(pairs.groupBy("x").agg(F.count("*").alias("n")), "lengths")
+    parts = lengths.select("x", F.ceil(F.col("n") / F.lit(entries)).alias("_parts"))
+    pairs = lookup(pairs, parts, "x", weight=lengths)
+    part = F.pmod(F.xxhash64("y"), F.col("_parts"))
     cells = F.sort_array(F.collect_list(F.struct("y", "nxy")))
     return (
         pairs.withColumn("part", part)

@@ -31,15 +31,19 @@ def read_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def shard_of(term: Column, shards: int = SHARDS) -> Column:
-    return F.pmod(F.hash(term), F.lit(shards))
+def shard_of(term: Column, shards: Column) -> Column:
+    return F.pmod(F.hash(term), shards)
 
 
 def _laid_out(index: DataFrame, shards: int) -> DataFrame:
-    """Range partitions by shard, term and block; a heavy term spans several of them."""
+    """Range partitions by shard, term and block; a heavy term spans several of them.
+
+    The number of shards is stored with the rows, so that a lookup need not know it.
+    """
     order = ["shard", "term", "block"]
     return (
-        index.withColumn("shard", shard_of(F.col("term"), shards))
+        index.withColumn("shards", F.lit(shards))
+        .withColumn("shard", shard_of(F.col("term"), F.col("shards")))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
     )
@@ -51,7 +55,7 @@ def write_index(index: DataFrame, path: str, shards: int = SHARDS) -> None:
     The shard picks the directory and, as rows are sorted by term, the row group
     statistics pick the row groups.
     """
-    _laid_out(index, shards).write.mode("overwrite").partitionBy("shard").parquet(path)
+    _laid_out(index, shards).write.mode("overwrite").partitionBy("shards", "shard").parquet(path)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -60,14 +64,14 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 def save_index_table(index: DataFrame, table: str, shards: int = SHARDS) -> None:
     """The same layout as a catalog table, dropped and created anew."""
-    _laid_out(index, shards).write.mode("overwrite").partitionBy("shard").format(
+    _laid_out(index, shards).write.mode("overwrite").partitionBy("shards", "shard").format(
         "parquet"
     ).saveAsTable(table)
 
 
-def stored_terms(index: DataFrame, terms: list[str], shards: int = SHARDS) -> DataFrame:
+def stored_terms(index: DataFrame, terms: list[str]) -> DataFrame:
     """The rows of the terms, read from their shards only, in one scan."""
-    homes = F.lit(False)
-    for term in terms:
-        homes = homes | (F.col("shard") == shard_of(F.lit(term), shards))
-    return index.where(homes).where(F.col("term").isin(terms))
+    if not terms:
+        return index.drop("shards").limit(0)
+    homes = F.col("shard").isin(*(shard_of(F.lit(term), F.col("shards")) for term in terms))
+    return index.where(homes).where(F.col("term").isin(terms)).drop("shards")

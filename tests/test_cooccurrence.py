@@ -149,3 +149,13 @@ def test_the_number_of_pairs_to_come_is_known(spark):
 def test_lines_of_keeps_blank_lines(spark):
     documents = spark.createDataFrame([(5, "a\n\nb")], "doc_id bigint, text string")
     assert [tuple(r) for r in lines_of(documents).collect()] == [(5, 0, "a"), (5, 1, ""), (5, 2, "b")]
+
+
+def test_lines_need_no_key(spark):
+    """Keyless lines, one key for all and repeated lines all count line by line."""
+    texts = ["a c"] * 10 + ["b d"] * 10
+    bare = spark.createDataFrame([(t,) for t in texts], "line string")
+    for lines in (bare, bare.selectExpr("7 AS doc_id", "line"), bare.repartition(5)):
+        found = {tuple(r) for r in co.pair_counts(lines).collect()}
+        assert found == {("a", "c", 10), ("c", "a", 10), ("b", "d", 10), ("d", "b", 10)}
+        assert co.pair_counts(lines).count() == 4
