@@ -29,7 +29,7 @@ SAMPLE_CLEAN = 6000
 
 # A word beginning counts if this many sampled toxic texts have it and it is this telling.
 LEAST_TEXTS = 5
-LEAST_PROBABILITY = 0.8
+LEAST_PROBABILITY = 0.9
 BEGINNINGS = (3, 4, 5, 6)
 
 CACHE_ENTRIES = 200_000
