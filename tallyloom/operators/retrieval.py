@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import postfix_condition, preview, query_terms
+from tallyloom.plans.lookups import fits_broadcast
+from tallyloom.plans.storage import materialize
 
 
 def lookup_postings(frequencies: DataFrame, *terms: str) -> DataFrame:
@@ -53,12 +55,18 @@ def boolean_or(frequencies: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def fetch(hits: DataFrame, documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The hits with the text of their documents."""
-    return hits.join(documents.select(key, text), key)
+    """The hits with the text of their documents.
+
+    The hits are written and measured. Below the limit they travel to the texts;
+    beyond it both sides are shuffled, and Spark may keep other texts back by a
+    Bloom filter of the hits.
+    """
+    found = materialize(hits, "hits")
+    near = F.broadcast(found) if fits_broadcast(found) else found
+    return documents.select(key, text).join(near, key).select(*hits.columns, text)
 
 
 def fetch_preview(hits: DataFrame, documents: DataFrame, key: str = "doc_id",
                   text: str = "text") -> DataFrame:
     """The hits with the first 80 characters; texts are cut before they travel."""
-    cut = documents.select(key, preview(F.col(text)).alias("preview"))
-    return hits.join(cut, key)
+    return fetch(hits, documents.select(key, preview(F.col(text)).alias("preview")), key, "preview")

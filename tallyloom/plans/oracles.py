@@ -55,11 +55,8 @@ _EDGES = """edges AS (
 
 _GRAPH = "nodes AS (SELECT o_orderkey AS id FROM orders), " + _EDGES
 
-_OPEN_GRAPH = (
-    "nodes AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus <> 'F'), "
-    + _EDGES.replace("edges AS", "all_edges AS", 1)
-    + ", edges AS (SELECT * FROM all_edges WHERE src IN (SELECT id FROM nodes))"
-)
+_PART_GRAPH = """nodes AS (SELECT p_partkey AS id FROM part),
+edges AS (SELECT l_partkey AS src, l_orderkey AS dst FROM lineitem)"""
 
 
 def _steps(graph: str, steps: int, mode: str = "standard", last_mass: bool = False) -> str:
@@ -203,6 +200,7 @@ SELECT h.doc_id, d.text FROM hits h JOIN documents d ON d.doc_id = h.doc_id WHER
 SELECT h.query_id, h.doc_id, substr(d.text, 1, 80) AS preview
 FROM hits h JOIN documents d ON d.doc_id = h.doc_id""",
 
+    "events_from_tsv": f"WITH {_EVENTS} SELECT id, user_name, time, text FROM ev",
     "parse_event_time": f"WITH {_EVENTS} SELECT id, time FROM ev",
     "ragged_event_lines": f"""WITH {_EVENTS}
 SELECT id, user_name, time, CASE WHEN event_type <> 'error' THEN text END AS text
@@ -230,20 +228,22 @@ SELECT (SELECT count(*) FROM nodes) AS n_nodes, count(*) AS n_edges,
 GROUP BY 1 HAVING count(*) > 1""",
     "graph_partition": f"""WITH {_GRAPH}
 SELECT src, dst, count(*) OVER (PARTITION BY src) AS degree FROM edges""",
-    "ppr_mass_step": _steps(_OPEN_GRAPH, 2, last_mass=True)
+    "ppr_mass_step": _steps(_GRAPH, 2, last_mass=True)
     + f"\nSELECT id, source, {_nine_digits('q')} AS q FROM q2",
-    "ppr_missing_mass": _steps(_OPEN_GRAPH, 2, last_mass=True)
+    "ppr_missing_mass": _steps(_GRAPH, 2, last_mass=True)
     + f"\nSELECT source, {_nine_digits('m')} AS m FROM m2",
-    "ppr_missing_structure": f"""WITH {_OPEN_GRAPH}
+    "ppr_missing_structure": f"""WITH {_PART_GRAPH}
 SELECT dst AS id, count(*) AS n_messages FROM edges
 WHERE dst NOT IN (SELECT id FROM nodes) GROUP BY 1""",
-    "ppr_step_stats": f"""WITH {_OPEN_GRAPH}
+    "ppr_step_stats": f"""WITH {_PART_GRAPH}
 SELECT (SELECT count(*) FROM nodes) AS n_nodes, count(*) AS n_edges, count(*) AS n_sent,
        count(*) AS n_received,
        count(DISTINCT dst) FILTER (WHERE dst NOT IN (SELECT id FROM nodes)) AS n_missing
 FROM edges""",
-    "ppr_step_standard": _ranks(_OPEN_GRAPH, 2),
-    "ppr_step_compat": _ranks(_OPEN_GRAPH, 2, "compat"),
+    "ppr_step_standard": _ranks(_GRAPH, 2),
+    "ppr_step_compat": _ranks(_GRAPH, 2, "compat"),
+    "ranks_of_stored_graph": _ranks(_GRAPH, 2),
+    "ppr_resumed": _ranks(_GRAPH, 3),
     "ppr_iterate": _ranks(_GRAPH, 5),
     "ppr_iterate_compat": _ranks(_GRAPH, 5, "compat"),
     "ppr_log_rank": _steps(_GRAPH, 3) + """

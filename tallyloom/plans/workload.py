@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions.text import query_terms
 from tallyloom.operators import cooccurrence, events, graph, pagerank, postings, retrieval, words
 from tallyloom.plans.storage import new_folder, spread
 from tallyloom.sources import sinks
 from tallyloom.sources.adjacency import parse_adjacency
 from tallyloom.sources.text import lines_of
-from tallyloom.sources.tsv import split_event_lines
+from tallyloom.sources.tsv import EVENT_SCHEMA, read_event_tsv, split_event_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +47,25 @@ def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.inverted_index(_frequencies(spark, sf_dir))
 
 
+# The folders of the stored indexes, by application and tables.
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index of the documents, built and stored at first use in an application."""
+    place = (spark.sparkContext.applicationId, sf_dir)
+    if place not in _STORED:
+        folder = new_folder(spark, "index")
+        sinks.write_index(_index(spark, sf_dir), folder)
+        _STORED[place] = folder
+    return sinks.read_index(spark, _STORED[place])
+
+
+def _postings(spark: SparkSession, sf_dir: str, terms: list[str]) -> DataFrame:
+    """(term, doc_id, tf) of the terms, from their shards of the stored index."""
+    return postings.postings_of(sinks.stored_terms(_stored_index(spark, sf_dir), terms))
+
+
 # Words
 
 def tokens_per_doc(spark, sf_dir):
@@ -161,9 +181,7 @@ def index_wide_row_lookup(spark, sf_dir):
 
 def stored_index_lookup(spark, sf_dir):
     """The index as sorted files, read back by pruning."""
-    folder = new_folder(spark, "index")
-    sinks.write_index(_index(spark, sf_dir), folder)
-    return postings.postings_of(sinks.stored_terms(sinks.read_index(spark, folder), TERMS))
+    return _postings(spark, sf_dir, TERMS)
 
 
 def postings_gaps(spark, sf_dir):
@@ -177,42 +195,42 @@ def postings_gaps_decoded(spark, sf_dir):
 
 
 def tf_histogram(spark, sf_dir):
-    return postings.tf_histogram(_frequencies(spark, sf_dir), TERMS)
+    return postings.tf_histogram(_postings(spark, sf_dir, TERMS), TERMS)
 
 
 # Retrieval
 
 def postings_lookup(spark, sf_dir):
-    return retrieval.lookup_postings(_frequencies(spark, sf_dir), "the")
+    return retrieval.lookup_postings(_postings(spark, sf_dir, ["the"]), "the")
 
 
 def postings_multi_lookup(spark, sf_dir):
-    return retrieval.lookup_postings(_frequencies(spark, sf_dir), *TERMS)
+    return retrieval.lookup_postings(_postings(spark, sf_dir, TERMS), *TERMS)
 
 
 def missing_terms(spark, sf_dir):
-    return retrieval.missing_terms(_frequencies(spark, sf_dir), TERMS)
+    return retrieval.missing_terms(_postings(spark, sf_dir, TERMS), TERMS)
 
 
 def postings_with_text(spark, sf_dir):
-    hits = retrieval.lookup_postings(_frequencies(spark, sf_dir), "from")
+    hits = retrieval.lookup_postings(_postings(spark, sf_dir, ["from"]), "from")
     return retrieval.fetch(hits, _documents(spark, sf_dir))
 
 
 def boolean_and(spark, sf_dir):
-    return retrieval.boolean_and(_frequencies(spark, sf_dir), "the", "and")
+    return retrieval.boolean_and(_postings(spark, sf_dir, ["the", "and"]), "the", "and")
 
 
 def boolean_or(spark, sf_dir):
-    return retrieval.boolean_or(_frequencies(spark, sf_dir), "the", "nosuchword")
+    return retrieval.boolean_or(_postings(spark, sf_dir, ["the", "nosuchword"]), "the", "nosuchword")
 
 
 def boolean_postfix(spark, sf_dir):
-    return retrieval.boolean_query(_frequencies(spark, sf_dir), QUERIES["q4"])
+    return retrieval.boolean_query(_postings(spark, sf_dir, query_terms([QUERIES["q4"]])), QUERIES["q4"])
 
 
 def boolean_batch(spark, sf_dir):
-    return retrieval.boolean_batch(_frequencies(spark, sf_dir), QUERIES)
+    return retrieval.boolean_batch(_postings(spark, sf_dir, query_terms(list(QUERIES.values()))), QUERIES)
 
 
 def boolean_fetch(spark, sf_dir):
@@ -247,6 +265,14 @@ def _events(spark: SparkSession, sf_dir: str, ragged: bool = False) -> DataFrame
     return split_event_lines(_event_lines(spark, sf_dir, ragged)).drop("line")
 
 
+def events_from_tsv(spark, sf_dir):
+    """The events as a TSV file, written and read back."""
+    folder = new_folder(spark, "events")
+    names = [field.split()[0] for field in EVENT_SCHEMA.split(", ")]
+    sinks.write_tsv(_events(spark, sf_dir).select(*names), folder)
+    return read_event_tsv(spark, folder).select("id", "user_name", "time", "text")
+
+
 def parse_event_time(spark, sf_dir):
     return _events(spark, sf_dir).select("id", "time")
 
@@ -293,25 +319,24 @@ def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(F.col("o_orderkey").alias("id"))
 
 
-def _open_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders that are not finished only, so that edges lead to numbers without a node."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").where(F.col("o_orderstatus") != "F")
-    return orders.select(F.col("o_orderkey").alias("id"))
+def _part_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    return parts.select(F.col("p_partkey").alias("id"))
+
 
+def _part_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each line item leads from its part to its order number, taken as one of a part.
 
-def _open_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    starts = _open_nodes(spark, sf_dir).withColumnRenamed("id", "src")
-    return _edges(spark, sf_dir).join(starts, "src", "left_semi")
+    There are more orders than parts, so many edges lead to ids without a node.
+    """
+    items = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+    return items.select(F.col("l_partkey").alias("src"), F.col("l_orderkey").alias("dst"))
 
 
 def _graph(spark: SparkSession, sf_dir: str) -> graph.Graph:
     return graph.build_graph(_nodes(spark, sf_dir), _edges(spark, sf_dir))
 
 
-def _open_graph(spark: SparkSession, sf_dir: str) -> graph.Graph:
-    return graph.build_graph(_open_nodes(spark, sf_dir), _open_edges(spark, sf_dir))
-
-
 def adjacency_edges(spark, sf_dir):
     """Adjacency lines of an order with a part and a supplier as neighbours."""
     items = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
@@ -350,7 +375,7 @@ def _nine_digits(value: str) -> Column:
 
 def _mass(spark: SparkSession, sf_dir: str) -> tuple[graph.Graph, DataFrame]:
     """What arrives in the second step."""
-    built = _open_graph(spark, sf_dir)
+    built = _graph(spark, sf_dir)
     return built, pagerank.received_mass(built, pagerank.iterate(built, SOURCES, 1), SOURCES)
 
 
@@ -366,11 +391,11 @@ def ppr_missing_mass(spark, sf_dir):
 
 
 def ppr_missing_structure(spark, sf_dir):
-    return graph.missing_nodes(_open_nodes(spark, sf_dir), _open_edges(spark, sf_dir))
+    return graph.missing_nodes(_part_nodes(spark, sf_dir), _part_edges(spark, sf_dir))
 
 
 def ppr_step_stats(spark, sf_dir):
-    return graph.step_stats(_open_nodes(spark, sf_dir), _open_edges(spark, sf_dir))
+    return graph.step_stats(_part_nodes(spark, sf_dir), _part_edges(spark, sf_dir))
 
 
 def _ranks(built: graph.Graph, iterations: int, mode: str) -> DataFrame:
@@ -379,11 +404,26 @@ def _ranks(built: graph.Graph, iterations: int, mode: str) -> DataFrame:
 
 
 def ppr_step_standard(spark, sf_dir):
-    return _ranks(_open_graph(spark, sf_dir), 2, "standard")
+    return _ranks(_graph(spark, sf_dir), 2, "standard")
 
 
 def ppr_step_compat(spark, sf_dir):
-    return _ranks(_open_graph(spark, sf_dir), 2, "compat")
+    return _ranks(_graph(spark, sf_dir), 2, "compat")
+
+
+def ranks_of_stored_graph(spark, sf_dir):
+    """Two steps on a prepared graph that was stored and loaded again."""
+    folder = new_folder(spark, "graph")
+    graph.save_graph(_graph(spark, sf_dir), folder)
+    return _ranks(graph.load_graph(spark, folder), 2, "standard")
+
+
+def ppr_resumed(spark, sf_dir):
+    """Three steps, the last two by a run that goes on from the first one's folder."""
+    built, folder = _graph(spark, sf_dir), new_folder(spark, "steps")
+    pagerank.iterate(built, SOURCES, 1, folder=folder)
+    ranks = pagerank.personalized_pagerank(built, SOURCES, 3, start=1, folder=folder)
+    return ranks.withColumn("p", _nine_digits("p"))
 
 
 def ppr_iterate(spark, sf_dir):
@@ -414,10 +454,10 @@ QUERIES_BY_NAME: dict[str, Query] = {
         stored_index_lookup, postings_gaps, postings_gaps_decoded, tf_histogram,
         postings_lookup, postings_multi_lookup, missing_terms, postings_with_text, boolean_and,
         boolean_or, boolean_postfix, boolean_batch, boolean_fetch, boolean_preview,
-        parse_event_time, ragged_event_lines, hourly_counts_range, hourly_counts_keyword,
+        events_from_tsv, parse_event_time, ragged_event_lines, hourly_counts_range, hourly_counts_keyword,
         hourly_counts_unpadded, hourly_counts_keyword_unpadded,
         adjacency_edges, graph_build, graph_stats, graph_duplicate_nodes, graph_partition,
         ppr_mass_step, ppr_missing_mass, ppr_missing_structure, ppr_step_stats, ppr_step_standard,
-        ppr_step_compat, ppr_iterate, ppr_iterate_compat, ppr_log_rank, ppr_top_k,
+        ppr_step_compat, ranks_of_stored_graph, ppr_resumed, ppr_iterate, ppr_iterate_compat, ppr_log_rank, ppr_top_k,
     )
 }

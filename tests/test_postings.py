@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import postings as po
 from tallyloom.operators import retrieval as re
 from tallyloom.sources import sinks
+from tallyloom.sources.text import read_documents
 
 
 @pytest.fixture(scope="module")
@@ -183,6 +184,25 @@ def test_missing_terms(documents):
     assert [r.term for r in found.collect()] == ["absent"]
 
 
+def test_retrieval_over_several_files(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x y\n")
+    (tmp_path / "b.txt").write_text("z w\nx z\n")
+    documents = read_documents(spark, str(tmp_path))
+    frequencies = po.term_frequencies(documents)
+    hits = re.boolean_and(frequencies, "x", "z")
+    assert [r.text for r in re.fetch(hits, documents).collect()] == ["x z"]
+    found = re.fetch(re.boolean_query(frequencies, "x"), documents)
+    assert sorted(r.text for r in found.collect()) == ["x y", "x z"]
+    cells = po.postings_of(po.wide_rows(po.inverted_index(frequencies))).where("term = 'x'")
+    assert cells.count() == 2
+
+
+def test_texts_of_few_hits_are_not_shuffled(spark, documents):
+    hits = re.boolean_query(po.term_frequencies(documents), "w20")
+    plan = re.fetch(hits, documents)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_fetch_and_preview(spark):
     documents = spark.createDataFrame([(1, "x" * 100), (2, "short é")], "doc_id bigint, text string")
     hits = spark.createDataFrame([(1,), (2,)], "doc_id bigint")

@@ -32,8 +32,11 @@ def test_document_ids_are_byte_offsets(spark, tmp_path, split):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     for name, data in (("a.txt", DATA), ("b.txt", DATA[7:])):
-        found = sorted((r.doc_id, r.text) for r in rows if r.path.endswith(name))
+        found = sorted((r.offset, r.text) for r in rows if r.path.endswith(name))
         assert found == offsets(data)
+    second = min(r.doc_id for r in rows if r.path.endswith("b.txt"))
+    assert all(r.doc_id == r.offset + (second if r.path.endswith("b.txt") else 0) for r in rows)
+    assert len({r.doc_id for r in rows}) == len(rows)
 
 
 def test_read_lines(spark, tmp_path):
