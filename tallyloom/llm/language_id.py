@@ -30,7 +30,10 @@ ALL_LETTERS = 240_000
 PIECE = 2048
 
 # Pieces that are parsed side by side.
-SIDE_BY_SIDE = 4096
+SIDE_BY_SIDE = 1024
+
+# Places in which a row of transitions is tried at a time.
+TRIED_PLACES = 256
 
 FOLD_MODULUS, FOLD_TEST = 3, 1
 UNDETERMINED = "und"
@@ -68,29 +71,32 @@ def has_letter(text: str) -> bool:
 class Automata:
     """Suffix automata of several texts as one table of transitions.
 
-    ``next[state * width + letter]`` is the following state or -1; letters are
-    numbered, 0 is any letter that no text has.
+    The place of a transition is ``base[state] + letter``, where ``owner`` has the
+    state and ``next`` the following one; any other owner means that there is none.
+    The rows of the states lie in each other's gaps, so that the table grows with
+    the transitions alone, however many letters there are. Letters are numbered, 0
+    is any letter that no text has.
     """
 
     def __init__(self, names: list[str], texts: list[np.ndarray]):
         self.names = names
         self.alphabet = np.unique(np.concatenate([*texts, np.array([32], np.uint32)]))
         self.width = len(self.alphabet) + 1
-        tables, self.roots, at = [], [], 0
+        moves: list[dict[int, int]] = []
+        self.roots = []
         for text in texts:
-            table = self._build(self.number(text))
-            table[table >= 0] += at
-            self.roots.append(at)
-            at += len(table)
-            tables.append(table)
-        self.next = np.concatenate(tables).reshape(-1).astype(np.int32)
+            self.roots.append(len(moves))
+            moves += self._build(self.number(text), len(moves))
+        self._pack(moves)
         self.bits = [float(np.log2(max(2, len(t)))) for t in texts]
 
     def number(self, text: np.ndarray) -> np.ndarray:
         place = np.minimum(np.searchsorted(self.alphabet, text), len(self.alphabet) - 1)
-        return np.where(self.alphabet[place] == text, place + 1, 0).astype(np.int64)
+        return np.where(self.alphabet[place] == text, place + 1, 0).astype(np.int32)
 
-    def _build(self, text: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def _build(text: np.ndarray, first: int) -> list[dict[int, int]]:
+        """The transitions of each state; states are numbered from ``first``."""
         moves: list[dict[int, int]] = [{}]
         link, length, last = [-1], [0], 0
         for letter in text.tolist():
@@ -116,11 +122,37 @@ class Automata:
                         state = link[state]
                     link[target] = link[new] = copy
             last = new
-        table = np.full((len(moves), self.width), -1, np.int32)
-        for state, out in enumerate(moves):
-            if out:
-                table[state, list(out)] = list(out.values())
-        return table
+        return [{letter: first + state for letter, state in out.items()} for out in moves]
+
+    def _pack(self, moves: list[dict[int, int]]) -> None:
+        """Long rows first, each where its letters meet free places; single transitions fill the gaps."""
+        self.base = np.zeros(len(moves), np.int64)
+        single = [s for s, out in enumerate(moves) if len(out) == 1]
+        taken = np.zeros(0, bool)
+        low = self.width
+        for state in sorted((s for s, out in enumerate(moves) if len(out) > 1),
+                            key=lambda s: -len(moves[s])):
+            row = np.array(list(moves[state]))
+            while True:
+                if len(taken) < low + TRIED_PLACES + 2 * self.width:
+                    taken = np.append(taken, np.zeros(len(taken) + 4 * self.width + TRIED_PLACES, bool))
+                free = np.flatnonzero(~taken[low:low + TRIED_PLACES]) + low - row[0]
+                fits = free[~taken[free[:, None] + row].any(1)]
+                if len(fits):
+                    break
+                low += TRIED_PLACES // 2
+            self.base[state] = fits[0]
+            taken[fits[0] + row] = True
+        taken = np.append(taken, np.zeros(len(single) + self.width, bool))
+        gaps = np.flatnonzero(~taken[self.width:])[:len(single)] + self.width
+        self.base[single] = gaps - np.array([next(iter(moves[s])) for s in single], np.int64)
+        places = int(self.base.max()) + self.width
+        self.owner = np.full(places, -1, np.int64)
+        self.next = np.zeros(places, np.int64)
+        states = np.repeat(np.arange(len(moves)), [len(out) for out in moves])
+        at = self.base[states] + np.array([x for out in moves for x in out], np.int64)
+        self.owner[at] = states
+        self.next[at] = [x for out in moves for x in out.values()]
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of each text (of code points) in each language."""
@@ -134,24 +166,24 @@ class Automata:
         for a in range(0, len(order), SIDE_BY_SIDE):
             some = order[a:a + SIDE_BY_SIDE]
             sizes = np.array([len(pieces[i]) for i in some])
-            grid = np.zeros((len(some), sizes[0]), np.int64)
+            grid = np.zeros((len(some), sizes[0]), np.int32)
             flat = self.number(np.concatenate([pieces[i] for i in some]))
             grid[np.arange(sizes[0]) < sizes[:, None]] = flat
             grid = np.ascontiguousarray(grid.T)
             active = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), "right")
             for k, root in enumerate(self.roots):
-                states = np.full(len(some), root * self.width, np.int64)
+                states = np.full(len(some), root, np.int64)
                 found = np.zeros(len(some), np.int64)
-                first = self.next[root * self.width:(root + 1) * self.width].astype(np.int64)
-                first = np.where(first < 0, root, first) * self.width
+                from_root = self.base[root] + np.arange(self.width)
+                first = np.where(self.owner[from_root] == root, self.next[from_root], root)
                 for step in range(sizes[0]):
                     n = active[step]
-                    row = grid[step, :n]
-                    after = self.next[states[:n] + row].astype(np.int64)
-                    broken = after < 0
+                    row, state = grid[step, :n], states[:n]
+                    place = self.base.take(state) + row
+                    goes_on = self.owner.take(place) == state
                     # At the root a phrase begins; a letter that no text has is one by itself.
-                    found[:n] += broken | (states[:n] == root * self.width)
-                    states[:n] = np.where(broken, first[row], after * self.width)
+                    found[:n] += ~goes_on | (state == root)
+                    states[:n] = np.where(goes_on, self.next.take(place), first.take(row))
                 np.add.at(counts[:, k], [owners[i] for i in some], found)
         return counts
 

@@ -241,3 +241,26 @@ def test_restoring_disguised_words():
                              ("t-r-a-s-h", "trash"), ("plain words 1990 stay!", "plain words stay")):
         assert restorer.restore(disguised) == f" {plain} ", disguised
     assert restorer.restore(None) == restorer.restore("") == "  "
+
+
+def test_phrases_are_the_longest_matches_with_few_and_many_letters():
+    rng = np.random.default_rng(5)
+    for letters in (3, 2000):
+        texts = [rng.integers(100, 100 + letters, 400).astype(np.uint32) for _ in range(2)]
+        texts.append(np.array([97], np.uint32))
+        automata = language_id.Automata(["a", "b", "c"], texts)
+        # A place for every transition and a row's width, not for every state and letter.
+        assert len(automata.next) < 3 * 3 * 400 + 3 * automata.width
+        asked = [np.concatenate([texts[0][9:40], texts[1][3:60], np.array([7, 7], np.uint32)]),
+                 texts[1], np.array([97, 98], np.uint32)]
+        for query, found in zip(asked, automata.phrases(asked)):
+            for text, count in zip(texts, found):
+                at, phrases = 0, 0
+                while at < len(query):
+                    end = at + 1
+                    while end < len(query) and any(
+                            (text[i:i + end + 1 - at] == query[at:end + 1]).all()
+                            for i in range(len(text) - (end - at))):
+                        end += 1
+                    at, phrases = end, phrases + 1
+                assert count == phrases
