@@ -17,6 +17,7 @@ from tallyloom.functions.measures import pmi
 from tallyloom.functions.text import distinct_tokens
 from tallyloom.operators.words import line_tokens
 from tallyloom.plans.lookups import lookup
+from tallyloom.plans.ranking import best_of_each
 from tallyloom.plans.storage import materialize
 
 MIN_COUNT = 10
@@ -234,5 +235,4 @@ def greatest_pmi(scores: DataFrame) -> DataFrame:
 
 def top_neighbours(scores: DataFrame, k: int = 3) -> DataFrame:
     """The k best neighbours of every x, ranked; ties go to the smaller word."""
-    best = Window.partitionBy("x").orderBy(F.col("pmi").desc(), "y")
-    return scores.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return best_of_each(scores, "x", [F.col("pmi").desc(), F.col("y")], k)

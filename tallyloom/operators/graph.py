@@ -42,8 +42,9 @@ def build_graph(nodes: DataFrame, edges: DataFrame, slot_edges: int = SLOT_EDGES
                  weight=degrees.withColumnRenamed("degree", "n"))
     known = lookup(out, node_table.select(F.col("id").alias("dst"), F.col("slots").alias("dst_slots")),
                    "dst", weight=arrivals)
+    # Any slot will do; copies of an edge must not all get the same one.
     links = known.select(
-        "src", F.pmod(F.xxhash64("dst"), F.col("_slots")).cast("int").alias("slot"),
+        "src", F.floor(F.rand(7) * F.col("_slots")).cast("int").alias("slot"),
         "dst", "degree", "dst_slots",
     )
     return Graph(node_table, materialize(links, "links"))
@@ -104,15 +105,26 @@ def missing_nodes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return arrivals.join(nodes, "id", "left_anti")
 
 
-def step_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """One row on what one iteration sends and receives.
+def step_stats(nodes: DataFrame, edges: DataFrame, ranks: DataFrame) -> DataFrame:
+    """One row on the messages of the step that goes on from ``ranks`` (id, source, p).
 
-    A message goes over every edge; all of them are received, also those for
-    unknown ids, whose number is ``n_missing``.
+    Every rank above zero goes over all out-edges of its node. ``n_received`` counts
+    the messages that reach a node, ``n_missing`` the unknown ids that others lead to.
     """
-    missing = missing_nodes(nodes, edges).agg(F.count("*").alias("n"))
-    return graph_stats(nodes, edges).select(
-        "n_nodes", "n_edges",
-        F.col("n_edges").alias("n_sent"), F.col("n_edges").alias("n_received"),
-        missing.scalar().alias("n_missing"),
+    moving = ranks.where(F.col("p") > 0).groupBy(F.col("id").alias("src"))
+    moving = materialize(moving.agg(F.count("*").alias("n")), "moving")
+    arrived = lookup(edges.select("src", "dst"), moving, "src").groupBy(
+        F.col("dst").alias("id")).agg(F.sum("n").alias("n"))
+    there = F.col("known").isNotNull()
+    sums = arrived.join(
+        nodes.select("id", F.lit(True).alias("known")).distinct(), "id", "left"
+    ).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_sent"),
+        F.coalesce(F.sum(F.when(there, F.col("n"))), F.lit(0)).alias("n_received"),
+        F.count_if(~there).alias("n_missing"),
+    )
+    return sums.select(
+        nodes.agg(F.count("*").alias("n")).scalar().alias("n_nodes"),
+        edges.agg(F.count("*").alias("n")).scalar().alias("n_edges"),
+        "n_sent", "n_received", "n_missing",
     )

@@ -8,11 +8,12 @@ it cuts the lineage, and a later run can resume from it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.measures import fixed_point, log_rank
 from tallyloom.operators.graph import Graph
+from tallyloom.plans.ranking import best_of_each
 from tallyloom.plans.storage import new_folder, write_and_read
 
 ALPHA = 0.15
@@ -146,6 +147,5 @@ def with_log_rank(ranks: DataFrame) -> DataFrame:
 
 def top_nodes(ranks: DataFrame, k: int) -> DataFrame:
     """The k best nodes of every source, ranked; ties go to the smaller id."""
-    best = Window.partitionBy("source").orderBy(F.col("p").desc(), "id")
-    top = ranks.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    top = best_of_each(ranks, "source", [F.col("p").desc(), F.col("id")], k)
     return top.select("source", "rank", "id", "p", fixed_point(F.col("p")).alias("p_text"))

@@ -30,10 +30,10 @@ pairs AS (
 def _pmi(total: str) -> str:
     source = "frequent" if total == "frequent" else "marg"
     return _PAIRS + f""", pmi AS (
-  SELECT p.x, p.y,
-         round(log10(p.nxy::double * (SELECT sum(n)::bigint FROM {source}) / (a.n::double * b.n)), 6)
-           AS pmi
-  FROM pairs p JOIN frequent a ON a.w = p.x JOIN frequent b ON b.w = p.y)"""
+  SELECT x, y, score, round(score, 6) AS pmi FROM (
+    SELECT p.x, p.y,
+           log10(p.nxy::double * (SELECT sum(n)::bigint FROM {source}) / (a.n::double * b.n)) AS score
+    FROM pairs p JOIN frequent a ON a.w = p.x JOIN frequent b ON b.w = p.y))"""
 
 
 _TF = r"""tf AS (
@@ -157,9 +157,9 @@ FROM pairs p JOIN frequent f ON f.w = p.x GROUP BY p.x, f.n""",
     "pmi_stripes": f"WITH {_pmi('all')} SELECT x, y, pmi FROM pmi",
     "pmi_pair_total": f"WITH {_PAIRS} SELECT count(*) AS n_pairs FROM pairs",
     "pmi_top_pair": f"""WITH {_pmi('frequent')}
-SELECT x, y, pmi FROM pmi ORDER BY pmi DESC, x, y LIMIT 1""",
+SELECT x, y, pmi FROM pmi ORDER BY score DESC, x, y LIMIT 1""",
     "pmi_top_neighbors": f"""WITH {_pmi('frequent')}, ranked AS (
-  SELECT x, y, pmi, row_number() OVER (PARTITION BY x ORDER BY pmi DESC, y) AS rank
+  SELECT x, y, pmi, row_number() OVER (PARTITION BY x ORDER BY score DESC, y) AS rank
   FROM pmi WHERE x IN ('the', 'der', 'que', 'nosuchword'))
 SELECT x, y, pmi, rank FROM ranked WHERE rank <= 3""",
 
@@ -235,11 +235,12 @@ SELECT src, dst, count(*) OVER (PARTITION BY src) AS degree FROM edges""",
     "ppr_missing_structure": f"""WITH {_PART_GRAPH}
 SELECT dst AS id, count(*) AS n_messages FROM edges
 WHERE dst NOT IN (SELECT id FROM nodes) GROUP BY 1""",
-    "ppr_step_stats": f"""WITH {_PART_GRAPH}
-SELECT (SELECT count(*) FROM nodes) AS n_nodes, count(*) AS n_edges, count(*) AS n_sent,
-       count(*) AS n_received,
+    "ppr_step_stats": _steps(_PART_GRAPH, 1) + """, sent AS (
+  SELECT e.dst FROM r1 r JOIN edges e ON e.src = r.id WHERE r.p > 0)
+SELECT (SELECT count(*) FROM nodes) AS n_nodes, (SELECT count(*) FROM edges) AS n_edges,
+       count(*) AS n_sent, count(*) FILTER (WHERE dst IN (SELECT id FROM nodes)) AS n_received,
        count(DISTINCT dst) FILTER (WHERE dst NOT IN (SELECT id FROM nodes)) AS n_missing
-FROM edges""",
+FROM sent""",
     "ppr_step_standard": _ranks(_GRAPH, 2),
     "ppr_step_compat": _ranks(_GRAPH, 2, "compat"),
     "ranks_of_stored_graph": _ranks(_GRAPH, 2),

@@ -140,12 +140,12 @@ def pmi_pair_total(spark, sf_dir):
 
 
 def pmi_top_pair(spark, sf_dir):
-    return cooccurrence.greatest_pmi(pmi_pairs(spark, sf_dir))
+    return _rounded(cooccurrence.greatest_pmi(cooccurrence.pmi_pairs(_lines(spark, sf_dir))))
 
 
 def pmi_top_neighbors(spark, sf_dir):
-    scores = _rounded(cooccurrence.pmi_of_anchors(_lines(spark, sf_dir), ANCHORS))
-    top = cooccurrence.top_neighbours(scores, 3)
+    scores = cooccurrence.pmi_of_anchors(_lines(spark, sf_dir), ANCHORS)
+    top = _rounded(cooccurrence.top_neighbours(scores, 3))
     return top.select("x", "y", "pmi", F.col("rank").cast("bigint").alias("rank"))
 
 
@@ -395,7 +395,10 @@ def ppr_missing_structure(spark, sf_dir):
 
 
 def ppr_step_stats(spark, sf_dir):
-    return graph.step_stats(_part_nodes(spark, sf_dir), _part_edges(spark, sf_dir))
+    """The messages of the second step."""
+    nodes, edges = _part_nodes(spark, sf_dir), _part_edges(spark, sf_dir)
+    ranks = pagerank.iterate(graph.build_graph(nodes, edges), SOURCES, 1)
+    return graph.step_stats(nodes, edges, ranks)
 
 
 def _ranks(built: graph.Graph, iterations: int, mode: str) -> DataFrame:

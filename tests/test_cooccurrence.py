@@ -121,6 +121,13 @@ def test_top_neighbours_rank_and_break_ties_by_word(spark):
     assert tuple(co.greatest_pmi(scores).first()) == ("x", "c", 3.0)
 
 
+def test_many_best_of_a_large_group(spark):
+    scores = spark.range(5000).selectExpr("'x' as x", "cast(id as string) as y", "id % 700 * 1.0D as pmi")
+    top = co.top_neighbours(scores, 1500).orderBy("rank").collect()
+    rows = sorted(scores.collect(), key=lambda r: (-r.pmi, r.y))[:1500]
+    assert [(r["rank"], r.y) for r in top] == [(i, r.y) for i, r in enumerate(rows, 1)]
+
+
 def test_unknown_total_is_refused(spark):
     with pytest.raises(ValueError):
         co.pmi_pairs(lines_frame(spark, ["a b"]), total="some")

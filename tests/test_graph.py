@@ -73,7 +73,10 @@ def test_stats_and_missing_nodes(spark):
     nodes, edges = frames(spark, SMALL)
     assert tuple(gr.graph_stats(nodes, edges).first()) == (13, 28, 12)
     assert [tuple(r) for r in gr.missing_nodes(nodes, edges).collect()] == [(99, 1)]
-    assert tuple(gr.step_stats(nodes, edges).first()) == (13, 28, 28, 28, 1)
+    # Node 1 sends to 2, 3 and the unknown 99; node 2 sends twice to 3 and once to 1.
+    ranks = pr.initial_ranks(gr.build_graph(nodes, edges), [1, 2])
+    assert tuple(gr.step_stats(nodes, edges, ranks).first()) == (13, 28, 6, 5, 1)
+    assert tuple(gr.step_stats(nodes, edges, ranks.where("p > 1")).first()) == (13, 28, 0, 0, 0)
 
 
 def test_a_repeated_node_fails_the_build(spark):
@@ -127,6 +130,12 @@ def skewed():
     return adjacency
 
 
+def test_copies_of_an_edge_are_spread_over_the_slots(spark):
+    built = build(spark, {1: [2] * 1000, 2: []}, slot_edges=100)
+    counts = [r["count"] for r in built.links.groupBy("slot").count().collect()]
+    assert len(counts) == 10 and max(counts) < 200
+
+
 @pytest.mark.parametrize("slot_edges", [100_000, 5])
 def test_a_hub_in_slots_gives_the_same_ranks(spark, skewed, slot_edges):
     built = build(spark, skewed, slot_edges=slot_edges)
