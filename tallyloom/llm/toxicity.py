@@ -27,9 +27,15 @@ FOLD_MODULUS, FOLD_TEST = 5, 0
 SAMPLE_TOXIC = 3000
 SAMPLE_CLEAN = 6000
 
-# A word beginning counts if this many sampled toxic texts have it and it is this telling.
-LEAST_TEXTS = 5
-LEAST_PROBABILITY = 0.9
+# A word beginning may count if at least this many sampled toxic texts have it. How much
+# evidence it must give (in nats, see ``evidence``) is chosen by cross-validation.
+LEAST_TEXTS = 2
+LEVELS = (20.0, 14.0, 10.0, 7.0, 5.0)
+PARTS = 5
+
+# The penalty on squared weights, and the steps of fitting them.
+PENALTY, STEPS = 1.0, 300
+
 BEGINNINGS = (3, 4, 5, 6)
 
 CACHE_ENTRIES = 200_000
@@ -196,14 +202,115 @@ def _likeness(restored: str) -> int:
                 for i in range(max(1, len(words) - 2))), default=0)
 
 
+def evidence(t, c, toxic, clean):
+    """Nats by which the texts that have a beginning are more often toxic than the sample is.
+
+    Of numbers, arrays or columns. That chance alone does so has a probability of at
+    most e to the minus this, whatever the sample's size and share of toxic texts.
+    """
+    n, share = t + c, toxic / (toxic + clean)
+    columns = not isinstance(n, (np.ndarray, int, float))
+    log, most = (F.log, F.greatest) if columns else (np.log, np.maximum)
+    one = F.lit(1) if columns else 1
+    gain = t * log(most(t, one) / (n * share)) + c * log(most(c, one) / (n * (1 - share)))
+    more = t * clean > c * toxic
+    return F.when(more, gain).otherwise(0.0) if columns else np.where(more, gain, 0.0)
+
+
+def fit_weights(rows: np.ndarray, columns: np.ndarray, labels: np.ndarray,
+                width: int) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a logistic regression on rows that have columns; both labels weigh the same."""
+    n, toxic = len(labels), int(labels.sum())
+    weigh = np.where(labels == 1, min(toxic, n - toxic) / toxic, min(toxic, n - toxic) / (n - toxic))
+    # The greatest curvature, by power iteration; column ``width`` is the intercept.
+    along = np.ones(width + 1)
+    for _ in range(20):
+        along /= np.linalg.norm(along)
+        out = (np.bincount(rows, along[columns], n) + along[-1]) * weigh
+        along = np.append(np.bincount(columns, out[rows], width), out.sum())
+    pace = 1 / (0.3 * np.linalg.norm(along) + PENALTY)
+    at = ahead = np.zeros(width + 1)
+    for step in range(STEPS):
+        odds = np.clip(np.bincount(rows, ahead[columns], n) + ahead[-1], -50, 50)
+        slope = weigh * (1 / (1 + np.exp(-odds)) - labels)
+        down = np.append(np.bincount(columns, slope[rows], width) + PENALTY * ahead[:-1], slope.sum())
+        last, at = at, ahead - pace * down
+        ahead = at + step / (step + 3) * (at - last)
+    return at[:-1], float(at[-1])
+
+
+def best_threshold(odds: np.ndarray, labels: np.ndarray, prior: float) -> tuple[float, float]:
+    """(F1, threshold): of the gaps between log odds the one with the best F1 at the share ``prior``.
+
+    Texts with log odds of minus infinity are never marked.
+    """
+    toxic = max(1, int(labels.sum()))
+    clean = max(1, len(labels) - int(labels.sum()))
+    order = np.argsort(-odds, kind="stable")
+    order = order[np.isfinite(odds[order])]
+    if not len(order):
+        return 0.0, 0.0
+    ranked, hits = odds[order], labels[order]
+    right, wrong = np.cumsum(hits) * prior / toxic, np.cumsum(1 - hits) * (1 - prior) / clean
+    score = 2 * right / (right + wrong + prior)
+    score[:-1][ranked[:-1] == ranked[1:]] = -1
+    i = int(np.argmax(score))
+    below = ranked[i + 1] if i + 1 < len(ranked) else ranked[i] - 2
+    return float(score[i]), float((ranked[i] + max(below, ranked[i] - 2)) / 2)
+
+
+def choose_weights(rows: np.ndarray, columns: np.ndarray, labels: np.ndarray, parts: np.ndarray,
+                   t: np.ndarray, c: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
+    """Weights of the columns (0: not chosen) and the intercept, so that log odds above 0 mark a text.
+
+    ``t`` and ``c`` have the toxic and clean texts of each column and part. The level
+    of evidence and the threshold are those with the best F1 on texts of parts that
+    were left out when columns and weights were chosen.
+    """
+    shift = float(np.log(prior / (1 - prior)))
+
+    def learned(level: float, without: int | None) -> tuple[np.ndarray, float]:
+        mine = parts != without
+        toxic, clean = int(labels[mine].sum()), int((1 - labels[mine]).sum())
+        weights = np.zeros(t.shape[0])
+        if not toxic or not clean:
+            return weights, 0.0
+        left = [k for k in range(PARTS) if k != without]
+        own_t, own_c = t[:, left].sum(1), c[:, left].sum(1)
+        chosen = np.flatnonzero((own_t >= LEAST_TEXTS) & (evidence(own_t, own_c, toxic, clean) >= level))
+        if not len(chosen):
+            return weights, 0.0
+        place, row = np.full(t.shape[0], -1), np.cumsum(mine) - 1
+        place[chosen] = np.arange(len(chosen))
+        kept = mine[rows] & (place[columns] >= 0)
+        weights[chosen], intercept = fit_weights(
+            row[rows[kept]], place[columns[kept]], labels[mine], len(chosen))
+        return weights, intercept + shift
+
+    best = (-1.0, 0.0, LEVELS[0])
+    for level in LEVELS:
+        odds = np.full(len(labels), -np.inf)
+        for k in range(PARTS):
+            weights, intercept = learned(level, k)
+            some = (parts[rows] == k) & (weights[columns] != 0)
+            has = np.unique(rows[some])
+            odds[has] = intercept + np.bincount(rows[some], weights[columns[some]], len(labels))[has]
+        f1, threshold = best_threshold(odds, labels, prior)
+        if f1 > best[0] + 1e-9:
+            best = (f1, threshold, level)
+    weights, intercept = learned(best[2], None)
+    return weights, intercept - best[1]
+
+
 def learn_weights(documents: DataFrame, labels: DataFrame, model: np.ndarray,
                   id_column: str = "doc_id", text_column: str = "text",
-                  label_column: str = "toxic") -> tuple[dict[str, float], float]:
-    """Probabilities of label 1 for word beginnings, and for texts that have none of them.
+                  label_column: str = "toxic") -> tuple[dict[str, float], float, float]:
+    """Weights of word beginnings, the intercept, and the score of texts that have none of them.
 
     Learned from at most ``SAMPLE_TOXIC`` and ``SAMPLE_CLEAN`` labelled rows that are
     not held out, those with the least hashes of their ids, of which near copies
-    count once.
+    count once. Both labels weigh the same; the share of toxic labels in the whole
+    table only corrects the intercept and weighs the errors in cross-validation.
     """
     spark = documents.sparkSession
     known = labels.where(
@@ -214,7 +321,7 @@ def learn_weights(documents: DataFrame, labels: DataFrame, model: np.ndarray,
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     prior = (sizes.get(1, 0) + 1) / (sum(sizes.values()) + 2)
     if not sizes.get(1) or not sizes.get(0):
-        return {}, prior / 2
+        return {}, 0.0, prior / 2
     by_hash = [F.xxhash64("_id"), "_id"]
     sample = known.where("label = 1").orderBy(*by_hash).limit(SAMPLE_TOXIC).unionByName(
         known.where("label = 0").orderBy(*by_hash).limit(SAMPLE_CLEAN))
@@ -235,38 +342,70 @@ def learn_weights(documents: DataFrame, labels: DataFrame, model: np.ndarray,
         documents.join(F.broadcast(sample), F.col(id_column) == F.col("_id"))
         .select("label", F.col(text_column).alias("text"))
         .mapInArrow(features, "label int, likeness long, has array<string>")
-        .dropDuplicates(["label", "likeness"]), "features")
-    seen = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    toxic, clean = seen.get(1, 0), seen.get(0, 0)
-    counts = rows.select("label", F.explode("has").alias("has")).groupBy("has").agg(
-        F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
-    share = prior * F.col("t") / max(1, toxic)
-    score = share / (share + (1 - prior) * (F.col("c") + 1) / max(1, clean))
-    chosen = counts.select("has", "t", score.alias("p")).where(
-        (F.col("t") >= LEAST_TEXTS) & (F.col("p") >= LEAST_PROBABILITY))
-    return {r["has"]: r["p"] for r in chosen.collect()}, prior / 2
-
-
-def score_texts(documents: DataFrame, model: np.ndarray, weights: dict[str, float], rest: float,
-                id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, held_out, score, predicted): the likeliest of a restored text's beginnings decides."""
-    shared = documents.sparkSession.sparkContext.broadcast((model, weights, rest))
+        .dropDuplicates(["label", "likeness"])
+        .withColumn("part", F.pmod(F.xxhash64("likeness"), F.lit(PARTS)).cast("int")), "features")
+    # Equal likeness can stand under both labels, never twice under one.
+    seen = rows.select("label", "likeness", "part").toArrow().sort_by(
+        [("label", "ascending"), ("likeness", "ascending")])
+    known_labels, likeness, parts = (seen.column(i).to_numpy() for i in range(3))
+    toxic = np.bincount(parts[known_labels == 1], minlength=PARTS)
+    clean = np.bincount(parts[known_labels == 0], minlength=PARTS)
+    if not toxic.sum() or not clean.sum():
+        return {}, 0.0, prior / 2
+    # Texts of each label and part that have a beginning.
+    pair = F.col("label") * PARTS + F.col("part")
+    counts = rows.select(pair.alias("pair"), F.explode("has").alias("has")).groupBy("has").agg(
+        *(F.sum((F.col("pair") == k).cast("int")).cast("int").alias(f"n{k}") for k in range(2 * PARTS)))
+    t_all = sum((F.col(f"n{PARTS + k}") for k in range(PARTS)), F.lit(0))
+    c_all = sum((F.col(f"n{k}") for k in range(PARTS)), F.lit(0))
+    may = F.lit(False)
+    for k in (None, *range(PARTS)):
+        t, c, own_toxic, own_clean = t_all, c_all, int(toxic.sum()), int(clean.sum())
+        if k is not None:
+            t, c = t - F.col(f"n{PARTS + k}"), c - F.col(f"n{k}")
+            own_toxic, own_clean = own_toxic - int(toxic[k]), own_clean - int(clean[k])
+        if own_toxic and own_clean:
+            may |= (t >= LEAST_TEXTS) & (evidence(t, c, own_toxic, own_clean) >= min(LEVELS) - 1e-6)
+    found = materialize(counts.where(may), "beginnings").toArrow().sort_by("has")
+    names = found.column("has").to_pylist()
+    if not names:
+        return {}, 0.0, prior / 2
+    number = spark.createDataFrame(pa.table({"has": found.column("has"), "at": np.arange(len(names))}))
+    cells = rows.select("label", "likeness", F.explode("has").alias("has")).join(
+        F.broadcast(number), "has").select("label", "likeness", "at").toArrow()
+    place = {key: i for i, key in enumerate(zip(known_labels.tolist(), likeness.tolist()))}
+    cell_rows = np.array([place[key] for key in zip(
+        cells.column("label").to_pylist(), cells.column("likeness").to_pylist())], np.int64)
+    cell_columns = cells.column("at").to_numpy()
+    order = np.lexsort((cell_columns, cell_rows))
+    by_pair = np.array([found.column(f"n{k}").to_numpy() for k in range(2 * PARTS)]).T
+    weights, intercept = choose_weights(
+        cell_rows[order], cell_columns[order], known_labels.astype(np.int64), parts,
+        by_pair[:, PARTS:], by_pair[:, :PARTS], prior)
+    return {names[i]: float(weights[i]) for i in np.flatnonzero(weights)}, intercept, prior / 2
+
+
+def score_texts(documents: DataFrame, model: np.ndarray, weights: dict[str, float], intercept: float,
+                rest: float, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, held_out, score, predicted): the weights of a restored text's distinct beginnings decide."""
+    shared = documents.sparkSession.sparkContext.broadcast((model, weights, intercept, rest))
     key = documents.schema[id_column].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
 
-        model, weights, rest = shared.value
+        model, weights, intercept, rest = shared.value
         restorer, search = Restorer(model), ahocorasick.Automaton()
-        for gram, p in weights.items():
-            search.add_word(gram, p)
+        for gram, weight in weights.items():
+            search.add_word(gram, (gram, weight))
         search.make_automaton()
         for batch in batches:
             scores = []
             for text in batch.column(2):
                 restored = restorer.restore(text.as_py())
-                found = (p for _, p in search.iter(restored)) if weights else ()
-                scores.append(max(found, default=rest))
+                found = dict(x for _, x in search.iter(restored)) if weights else {}
+                odds = intercept + math.fsum(found.values())
+                scores.append(max(rest, 1 / (1 + math.exp(-max(-700, min(700, odds))))) if found else rest)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(scores, pa.float64()),
                  pa.array([int(s >= 0.5) for s in scores], pa.int32())],
@@ -284,12 +423,13 @@ def toxicity(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     """Score every whole text for toxicity as the labels mark it.
 
     Returns doc_id, held_out, score (0 to 1) and predicted (score >= 0.5) for each
-    row. Null and empty texts, and texts of unknown words, score half the share of
-    toxic labels. Without labels of both kinds every text does. Labels other than 0
+    row; 0.5 is the threshold that did best in cross-validation on the rows that are
+    not held out. Null and empty texts, and texts of unknown words, score half the
+    share of toxic labels. Without labels of both kinds every text does. Labels other than 0
     and 1, or without id, are not used; of repeated labels of one document the
     greatest counts. Repeated rows get equal scores; a null id is not held out.
     Other columns are not read; an empty table gives no rows.
     """
     model = language_model(trigram_counts(documents, text_column))
-    weights, rest = learn_weights(documents, labels, model, id_column, text_column, label_column)
-    return score_texts(documents, model, weights, rest, id_column, text_column)
+    weights, intercept, rest = learn_weights(documents, labels, model, id_column, text_column, label_column)
+    return score_texts(documents, model, weights, intercept, rest, id_column, text_column)

@@ -228,6 +228,29 @@ def test_toxicity(spark, messy, clashing, empty, documents):
     assert toxicity.toxicity(empty, odd).count() == 0
 
 
+def test_toxic_words_are_learned_at_any_share_of_labels(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(400)]
+    for rows, every in ((200, 8), (6000, 600)):
+        docs, labels = [], []
+        for i in range(rows):
+            text, toxic = rng.choices(words, k=12), int(i % every == 0)
+            if toxic:
+                text[rng.randrange(12)] = rng.choice(["vuzzwyx", "quxxarz"])
+            docs.append((i, " ".join(text)))
+            labels.append((i, toxic))
+        docs = spark.createDataFrame(docs, "doc_id long, text string")
+        made = toxicity.toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+        got = {r.doc_id: r.predicted for r in made.collect()}
+        wrong = [i for i, toxic in labels if got[i] != toxic]
+        assert len(wrong) <= 1, (rows, every, wrong)
+
+
+def test_evidence_is_bounded_by_the_sample_alone():
+    assert toxicity.evidence(0, 4, 10, 58) == toxicity.evidence(1, 9, 10, 58) == 0
+    assert abs(toxicity.evidence(5, 0, 3000, 6000) - 5 * np.log(3)) < 1e-9
+
+
 def test_restoring_disguised_words():
     words = "the idiot was a loser and stupid trash talk is pathetic or worthless scum".split()
     counts = np.zeros(toxicity.SYMBOLS ** 3)
