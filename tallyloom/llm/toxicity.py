@@ -45,9 +45,17 @@ STANDS_FOR = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t",
 }
-SIGNS = re.compile(r"[0134578@$!|+]+(?=[^\W\d_])")
-REPEATS = re.compile(r"([^\W\d_])\1\1+")
-SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .\-*]){3,}[^\W\d_](?![^\W_])")
+# Also the option of a step that stands for any one of them.
+ANY_LETTER = "abcdefghijklmnopqrstuvwxyz"
+WILDCARD, MOST_WILDCARDS = "*", 8
+
+# What is decoded, with the tokens around it: signs beside a letter, words of signs alone
+# (not numbers or sums of money), repeated letters, and single letters or signs apart.
+SIGNS = re.compile(r"[0134578@$!|+*]+")
+ONLY_SIGNS = re.compile(r"(?=.{3})[^@$]*(?:@|\$[^$]*\$).*")
+REPEATS = re.compile(r"([^\W\d_])\1+")
+SPACED = re.compile(r"(?<![^\W_])(?:[^\W_269]|[@$!|+])(?:(?:[^\w@$!|+]|_)+(?:[^\W_269]|[@$!|+])){3,}(?![^\W_])")
+LETTER = re.compile(r"[^\W\d_]")
 NO_LETTERS = re.compile(r"[\W\d_]+")
 
 # Symbols of the language model: 0 between words, 1 to 26 for a to z, 27 other letters.
@@ -55,6 +63,7 @@ SYMBOLS = 28
 
 # Natural logarithms of what the channel costs.
 COST_SIGN, COST_DROP, COST_BREAK, COST_REPEAT, COST_JOIN = -1.0, -12.0, -8.0, -1.0, -0.5
+COST_DOUBLE, COST_STAR_DROP, COST_END, COST_EMPHASIS = -3.0, -3.0, -4.0, -1.0
 
 
 def _symbol_table() -> np.ndarray:
@@ -109,6 +118,7 @@ class Restorer:
     """Restores disguised words of lower-case texts; remembers those it has met."""
 
     def __init__(self, model: np.ndarray):
+        self.table = model
         self.model = model.tolist()
         self.cache: dict[str, str] = {}
 
@@ -121,24 +131,48 @@ class Restorer:
             if char.isalpha():
                 if n >= 3:
                     steps.append([(char, COST_REPEAT), (char * 2, COST_REPEAT)])
+                elif n == 2:
+                    steps.append([(char * 2, 0.0), (char, COST_DOUBLE)])
                 else:
-                    steps.append([(char * n, 0.0)])
+                    steps.append([(char, 0.0)])
             elif char in STANDS_FOR:
+                # Punctuation that ends a token is often no letter.
+                ends = char in "!|+" and run.end() == len(token)
                 steps.append([(x, COST_SIGN) for x in STANDS_FOR[char]]
                              + [(x * 2, COST_SIGN) for x in STANDS_FOR[char] if n > 1]
-                             + [("", COST_DROP), (" ", COST_BREAK)])
+                             + [("", COST_DROP), (" ", COST_END if ends else COST_BREAK)])
+            elif char == WILDCARD:
+                # Any letter for each; a long run is a rule, and one at an end often emphasis.
+                ends = run.start() == 0 or run.end() == len(token)
+                nothing = [("", COST_STAR_DROP), (" ", COST_EMPHASIS if ends else COST_END)]
+                if n > MOST_WILDCARDS:
+                    steps.append(nothing)
+                else:
+                    steps += [[*nothing, (ANY_LETTER, COST_SIGN)]] * n
             else:
                 steps.append([("", COST_JOIN), (" ", 0.0)])
         return steps
 
-    def decode(self, token: str) -> str:
-        """The most likely path through the lattice; history is the last two symbols."""
-        known = self.cache.get(token)
-        if known is not None:
-            return known
+    def _any_letter(self, paths: dict, cost: float, bound: float, after: dict) -> None:
+        """Put into ``after`` the best path to each letter from each last symbol of ``paths``."""
+        by_last: dict[int, list] = {}
+        for (a, b), found in paths.items():
+            by_last.setdefault(b, []).append((a, found))
+        for b, some in by_last.items():
+            totals = self.table[[a for a, _ in some], b, 1:27] + np.array([[f[0] + cost] for _, f in some])
+            best = totals.argmax(0).tolist()
+            for s, (i, total) in enumerate(zip(best, totals.max(0).tolist()), 1):
+                if total >= bound:
+                    after[b, s] = (total, (some[i][1][1], ANY_LETTER[s - 1]))
+
+    def _best_path(self, steps: list, bound: float) -> tuple[float, tuple]:
+        """The likeliest path, with its score. No path below ``bound`` can win: scores only fall."""
         paths: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-        for options in [*self.lattice(token), [(" ", 0.0)]]:
+        for options in steps:
             after: dict[tuple[int, int], tuple[float, tuple]] = {}
+            if options[-1][0] == ANY_LETTER:
+                *options, (_, cost) = options
+                self._any_letter(paths, cost, bound, after)
             for (a, b), (score, path) in paths.items():
                 for meant, cost in options:
                     x, y, total = a, b, score + cost
@@ -147,10 +181,23 @@ class Restorer:
                         if s or y:
                             total += self.model[x][y][s]
                             x, y = y, s
-                    if (x, y) not in after or total > after[x, y][0]:
+                    if total >= bound and ((x, y) not in after or total > after[x, y][0]):
                         after[x, y] = (total, (path, meant))
             paths = after
-        path, parts = max(paths.values(), key=lambda p: p[0])[1], []
+        return max(paths.values(), key=lambda p: p[0])
+
+    def decode(self, token: str) -> str:
+        """The most likely path through the lattice; history is the last two symbols."""
+        known = self.cache.get(token)
+        if known is not None:
+            return known
+        steps = [*self.lattice(token), [(" ", 0.0)]]
+        bound = -math.inf
+        if any(options[-1][0] == ANY_LETTER for options in steps):
+            # What the token scores without wildcards bounds the search with them.
+            bound = self._best_path([[o for o in options if o[0] != ANY_LETTER] for options in steps],
+                                    bound)[0] - 1e-6
+        path, parts = self._best_path(steps, bound)[1], []
         while path:
             path, meant = path
             parts.append(meant)
@@ -164,21 +211,28 @@ class Restorer:
     def restore(self, text: str | None) -> str:
         """The words of a text, disguised ones restored, with one blank around each."""
         low = (text or "").lower()
-        odd = [m.span() for m in SPACED.finditer(low)] if SPACED.search(low) else []
+        odd = [m.span() for m in SPACED.finditer(low) if LETTER.search(m[0])]
+        odd += [m.span() for m in REPEATS.finditer(low)]
         for m in SIGNS.finditer(low):
-            odd.append(m.span())
-        for m in REPEATS.finditer(low):
-            odd.append(m.span())
-        if odd:
+            start, end = m.span()
+            if low[start - 1:start].isalpha() or low[end:end + 1].isalpha() or ONLY_SIGNS.fullmatch(m[0]):
+                odd.append((start, end))
+        spans: list[list[int]] = []
+        for start, end in sorted(odd):
+            if spans and end <= spans[-1][1]:
+                continue
+            # The whole tokens around it, up to white space.
+            while start and not low[start - 1].isspace():
+                start -= 1
+            while end < len(low) and not low[end].isspace():
+                end += 1
+            if spans and start < spans[-1][1]:
+                spans[-1][1] = end
+            else:
+                spans.append([start, end])
+        if spans:
             parts, at = [], 0
-            for start, end in sorted(odd):
-                if start < at:
-                    continue
-                # The whole token around it, up to white space.
-                while start > at and not low[start - 1].isspace():
-                    start -= 1
-                while end < len(low) and not low[end].isspace():
-                    end += 1
+            for start, end in spans:
                 parts += [low[at:start], self.decode(low[start:end])]
                 at = end
             low = "".join([*parts, low[at:]])

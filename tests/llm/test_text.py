@@ -266,6 +266,27 @@ def test_restoring_disguised_words():
     assert restorer.restore(None) == restorer.restore("") == "  "
 
 
+def test_restoring_combined_disguises():
+    words = ("the idiot was a loser and stupid trash talk is pathetic or worthless scum "
+             "moron ass pass class letter").split()
+    counts = np.zeros(toxicity.SYMBOLS ** 3)
+    for w in words * 50:
+        s = [0, *map(toxicity._symbol, w), 0]
+        for a, b, c in zip(s, s[1:], s[2:]):
+            counts[(a * toxicity.SYMBOLS + b) * toxicity.SYMBOLS + c] += 1
+    restorer = toxicity.Restorer(toxicity.language_model(counts))
+    for disguised, plain in (
+            ("l o s 3 r", "loser"), ("m 0 r 0 n", "moron"), ("1 d 1 0 t", "idiot"), ("5 c u m", "scum"),
+            ("m-0-r-0-n", "moron"), ("1.d.1.0.t", "idiot"), ("i_d_i_o_t", "idiot"), ("i/d/i/o/t", "idiot"),
+            ("l,o,s,e,r", "loser"), ("i\xa0d\xa0i\xa0o\xa0t", "idiot"), ("i  d  i  o  t", "idiot"),
+            ("iiddiioott", "idiot"), ("mor*n", "moron"), ("@$$", "ass"), ("s t u p 1 d", "stupid"),
+            ("i*d*i*o*t", "idiot"), ("l o $ e r", "loser"), ("p @ t h e t ! c", "pathetic"),
+            # What is no disguise stays.
+            ("**scum**", "scum"), ("the letter was a class", "the letter was a class"), ("the scum!", "the scum"),
+            ("1 2 3 4 5", ""), ("$100 and 5,000", "and"), ("********* scum", "scum")):
+        assert restorer.restore(disguised).strip() == plain, disguised
+
+
 def test_phrases_are_the_longest_matches_with_few_and_many_letters():
     rng = np.random.default_rng(5)
     for letters in (3, 2000):
