@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyloom.llm import (
-    decontamination, language_id, mixing, repeats, sharding, simhash, token_counts, topk, toxicity, warc,
+    bpe, decontamination, language_id, mixing, repeats, sharding, simhash, token_counts, topk, toxicity, warc,
 )
 
 
@@ -59,10 +60,17 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_bpe(spark, sf_dir):
+    coded = bpe.encode_and_decode(_table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", F.sha2("code", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (op1_sharding, op2_warc, op3_mixing, op4_token_counts, op5_repeats, op6_simhash,
-                  op7_decontamination, op8_language_id, op9_topk, op10_toxicity)
+                  op7_decontamination, op8_language_id, op9_topk, op10_toxicity, op12_bpe)
 }
 
 SQL = {
