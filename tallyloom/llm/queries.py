@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
-    bpe, decontamination, language_id, mixing, repeats, sharding, simhash, token_counts, topk, toxicity, warc,
+    bpe, conversations, decontamination, language_id, mixing, repeats, sharding, simhash, token_counts, topk, toxicity, warc,
 )
 
 
@@ -67,10 +67,15 @@ def op12_bpe(spark, sf_dir):
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_conversations(spark, sf_dir):
+    return conversations.damaged_and_repaired(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (op1_sharding, op2_warc, op3_mixing, op4_token_counts, op5_repeats, op6_simhash,
-                  op7_decontamination, op8_language_id, op9_topk, op10_toxicity, op12_bpe)
+                  op7_decontamination, op8_language_id, op9_topk, op10_toxicity, op12_bpe,
+                  op13_conversations)
 }
 
 SQL = {
