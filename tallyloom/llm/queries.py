@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
-    bpe, conversations, decontamination, language_id, mixing, repeats, sharding, simhash, token_counts, topk, toxicity, warc,
+    bpe, conversations, decontamination, language_id, mixing, repeats, sharding, simhash, spelling, token_counts, topk, toxicity, warc,
 )
 
 
@@ -60,6 +60,10 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_spelling(spark, sf_dir):
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def op12_bpe(spark, sf_dir):
     coded = bpe.encode_and_decode(_table(spark, sf_dir, "documents"),
                                   public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -74,7 +78,7 @@ def op13_conversations(spark, sf_dir):
 QUERIES = {
     query.__name__: query
     for query in (op1_sharding, op2_warc, op3_mixing, op4_token_counts, op5_repeats, op6_simhash,
-                  op7_decontamination, op8_language_id, op9_topk, op10_toxicity, op12_bpe,
+                  op7_decontamination, op8_language_id, op9_topk, op10_toxicity, op11_spelling, op12_bpe,
                   op13_conversations)
 }
 
