@@ -39,21 +39,17 @@ def has_keyword(text: Column, keywords: list[str]) -> Column:
     return text.rlike("(?i)(" + quoted + ")")
 
 
-def postfix_condition(query: str, term_is_present) -> Column:
-    """Fold a postfix AND/OR query into one Boolean column.
-
-    ``term_is_present(term)`` gives the column that tells whether the document
-    at hand holds the term.
-    """
-    pending: list[Column] = []
+def postfix_fold(query: str, term, both, either):
+    """Fold a postfix AND/OR query: ``term`` of each word, ``both`` and ``either`` of two results."""
+    pending: list = []
     for word in query.split():
         if word not in ("AND", "OR"):
-            pending.append(term_is_present(word))
+            pending.append(term(word))
             continue
         if len(pending) < 2:
             raise ValueError(f"{word} lacks an operand in {query!r}")
         right, left = pending.pop(), pending.pop()
-        pending.append(left & right if word == "AND" else left | right)
+        pending.append(both(left, right) if word == "AND" else either(left, right))
     if not pending:
         raise ValueError("the query is empty")
     if len(pending) > 1:
@@ -61,6 +57,15 @@ def postfix_condition(query: str, term_is_present) -> Column:
     return pending[-1]
 
 
+def postfix_condition(query: str, term_is_present) -> Column:
+    """A postfix query as one Boolean column.
+
+    ``term_is_present(term)`` gives the column that tells whether the document
+    at hand holds the term.
+    """
+    return postfix_fold(query, term_is_present, lambda a, b: a & b, lambda a, b: a | b)
+
+
 def query_terms(queries: list[str]) -> list[str]:
     """The distinct terms that the postfix queries name, in order."""
     words = (word for query in queries for word in query.split())

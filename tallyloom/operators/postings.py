@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.arrays import once
 from tallyloom.functions.text import index_tokens
+from tallyloom.operators import ordinals
 
 BLOCK_DOCS = 65536
 
@@ -19,23 +20,25 @@ BLOCK_DOCS = 65536
 STRETCH_BLOCKS = 65536
 
 
-def term_frequencies(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(term, doc_id, tf), for documents of one row each.
+def term_frequencies(documents: DataFrame, key: str = "doc_id", text: str = "text",
+                     besides: tuple[str, ...] = ()) -> DataFrame:
+    """(term, doc_id, tf), for documents of one row each, and the columns ``besides``.
 
     A document is in one row, so its histogram needs no shuffle: in its sorted
     tokens, the distance from one term's start to the next one's is the frequency.
     """
     ordered = documents.select(
-        F.col(key).alias("doc_id"), once(F.sort_array(index_tokens(F.col(text)))).alias("ws")
+        F.col(key).alias("doc_id"), *besides, once(F.sort_array(index_tokens(F.col(text)))).alias("ws")
     ).where(F.size("ws") > 0)
     begins = F.expr("filter(sequence(0, size(ws) - 1), i -> i = 0 or ws[i] <> ws[i - 1])")
-    runs = ordered.select("doc_id", "ws", once(begins).alias("starts"))
+    runs = ordered.select("doc_id", *besides, "ws", once(begins).alias("starts"))
     return runs.select(
-        "doc_id", "ws", "starts", F.posexplode("starts").alias("nth", "start")
+        "doc_id", *besides, "ws", "starts", F.posexplode("starts").alias("nth", "start")
     ).selectExpr(
         "ws[start] as term",
         "doc_id",
         "cast(coalesce(get(starts, nth + 1), size(ws)) - start as bigint) as tf",
+        *besides,
     )
 
 
@@ -55,6 +58,19 @@ def inverted_index(frequencies: DataFrame, block_docs: int = BLOCK_DOCS) -> Data
     )
 
 
+def ordinal_index(frequencies: DataFrame, block_docs: int = ordinals.BLOCK_DOCS) -> DataFrame:
+    """(term, block, postings) of (term, doc_id, tf, ordinal) rows, in blocks of ordinals.
+
+    Postings are (ordinal, doc_id, tf). A block is full unless documents lack the term,
+    whatever the ids are.
+    """
+    return (
+        frequencies.withColumn("block", ordinals.block_of("ordinal", block_docs))
+        .groupBy("term", "block")
+        .agg(F.sort_array(F.collect_list(F.struct("ordinal", "doc_id", "tf"))).alias("postings"))
+    )
+
+
 def wide_rows(index: DataFrame) -> DataFrame:
     """(term, block, cells): each block as a map from document to frequency."""
     return index.select("term", "block", F.map_from_entries("postings").alias("cells"))
@@ -64,6 +80,11 @@ def postings_of(index: DataFrame) -> DataFrame:
     """(term, doc_id, tf) of an index or of wide rows."""
     if "cells" in index.columns:
         return index.select("term", F.explode("cells").alias("doc_id", "tf"))
+    return index.select("term", F.inline("postings")).select("term", "doc_id", "tf")
+
+
+def postings_with_ordinals(index: DataFrame) -> DataFrame:
+    """(term, ordinal, doc_id, tf) of an index by ordinals."""
     return index.select("term", F.inline("postings"))
 
 

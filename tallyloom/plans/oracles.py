@@ -194,6 +194,10 @@ FROM tf t JOIN documents d ON d.doc_id = t.doc_id WHERE t.term = 'from'""",
     "boolean_or": f"WITH {_TF} ({_having('the')}) UNION ({_having('nosuchword')})",
     "boolean_postfix": f"WITH {_TF} {_Q4}",
     "boolean_batch": f"WITH {_TF}, {_HITS} SELECT query_id, doc_id FROM hits",
+    "ordinal_index": f"""WITH {_TF}, placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS ordinal FROM documents)
+SELECT term, ordinal // 256 AS block, string_agg(ordinal || ':' || tf, ',' ORDER BY ordinal) AS postings
+FROM tf JOIN placed ON placed.doc_id = tf.doc_id GROUP BY 1, 2""",
     "boolean_fetch": f"""WITH {_TF}, {_HITS}
 SELECT h.doc_id, d.text FROM hits h JOIN documents d ON d.doc_id = h.doc_id WHERE h.query_id = 'q4'""",
     "boolean_preview": f"""WITH {_TF}, {_HITS}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -51,3 +52,19 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def is_table(spark: SparkSession, folder: str) -> bool:
+    """Whether the folder still is a table that can be read."""
+    try:
+        spark.read.parquet(folder)
+    except AnalysisException:
+        return False
+    return True
+
+
+def file_state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files that a table is read from."""
+    files = spark.read.parquet(path).select(
+        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    return (path, *sorted(tuple(row) for row in files.collect()))

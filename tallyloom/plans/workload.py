@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import query_terms
-from tallyloom.operators import cooccurrence, events, graph, pagerank, postings, retrieval, words
-from tallyloom.plans.storage import new_folder, spread
+from tallyloom.functions.text import preview
+from tallyloom.operators import bitmaps, cooccurrence, events, graph, ordinals, pagerank, postings, retrieval, words
+from tallyloom.plans.storage import file_state, is_table, new_folder, spread
 from tallyloom.sources import sinks
 from tallyloom.sources.adjacency import parse_adjacency
 from tallyloom.sources.text import lines_of
@@ -47,18 +47,30 @@ def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings.inverted_index(_frequencies(spark, sf_dir))
 
 
-# The folders of the stored indexes, by application and tables.
-_STORED: dict[tuple[str, str], str] = {}
+# The folders of the stored indexes and texts, by what they were made from.
+_STORED: dict[tuple, str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the documents by ordinal and their index, made at first use of the
+    files as they are: files that were replaced, or a folder that was cleaned, are made anew."""
+    state = (spark.sparkContext.applicationId, file_state(spark, f"{sf_dir}/documents.parquet"))
+    folder = _STORED.get(state)
+    if folder is None or not is_table(spark, f"{folder}/index"):
+        folder = new_folder(spark, "stored")
+        ordinals.write_store(_documents(spark, sf_dir), f"{folder}/texts")
+        frequencies = postings.term_frequencies(spread(_store(spark, folder)), besides=("ordinal",))
+        sinks.write_index(postings.ordinal_index(frequencies), f"{folder}/index")
+        _STORED[state] = folder
+    return folder
+
+
+def _store(spark: SparkSession, folder: str) -> DataFrame:
+    return ordinals.read_store(spark, f"{folder}/texts")
 
 
 def _stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The index of the documents, built and stored at first use in an application."""
-    place = (spark.sparkContext.applicationId, sf_dir)
-    if place not in _STORED:
-        folder = new_folder(spark, "index")
-        sinks.write_index(_index(spark, sf_dir), folder)
-        _STORED[place] = folder
-    return sinks.read_index(spark, _STORED[place])
+    return sinks.read_index(spark, f"{_stored(spark, sf_dir)}/index")
 
 
 def _postings(spark: SparkSession, sf_dir: str, terms: list[str]) -> DataFrame:
@@ -66,6 +78,17 @@ def _postings(spark: SparkSession, sf_dir: str, terms: list[str]) -> DataFrame:
     return postings.postings_of(sinks.stored_terms(_stored_index(spark, sf_dir), terms))
 
 
+def _hits(spark: SparkSession, sf_dir: str, queries: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(query_id, ordinal) of the batch, and the stored documents."""
+    folder = _stored(spark, sf_dir)
+    return bitmaps.boolean_batch(sinks.read_index(spark, f"{folder}/index"), queries), _store(spark, folder)
+
+
+def _matches(spark: SparkSession, sf_dir: str, query: str, *columns: str) -> DataFrame:
+    hits, store = _hits(spark, sf_dir, {"": query})
+    return ordinals.fetch(hits.select("ordinal"), store, "doc_id", *columns).select("doc_id", *columns)
+
+
 # Words
 
 def tokens_per_doc(spark, sf_dir):
@@ -213,32 +236,47 @@ def missing_terms(spark, sf_dir):
 
 
 def postings_with_text(spark, sf_dir):
-    hits = retrieval.lookup_postings(_postings(spark, sf_dir, ["from"]), "from")
-    return retrieval.fetch(hits, _documents(spark, sf_dir))
+    folder = _stored(spark, sf_dir)
+    rows = sinks.stored_terms(sinks.read_index(spark, f"{folder}/index"), ["from"])
+    hits = postings.postings_with_ordinals(rows)
+    return ordinals.fetch(hits, _store(spark, folder), "text").select("term", "doc_id", "tf", "text")
 
 
 def boolean_and(spark, sf_dir):
-    return retrieval.boolean_and(_postings(spark, sf_dir, ["the", "and"]), "the", "and")
+    return _matches(spark, sf_dir, "the and AND")
 
 
 def boolean_or(spark, sf_dir):
-    return retrieval.boolean_or(_postings(spark, sf_dir, ["the", "nosuchword"]), "the", "nosuchword")
+    return _matches(spark, sf_dir, "the nosuchword OR")
 
 
 def boolean_postfix(spark, sf_dir):
-    return retrieval.boolean_query(_postings(spark, sf_dir, query_terms([QUERIES["q4"]])), QUERIES["q4"])
+    return _matches(spark, sf_dir, QUERIES["q4"])
 
 
 def boolean_batch(spark, sf_dir):
-    return retrieval.boolean_batch(_postings(spark, sf_dir, query_terms(list(QUERIES.values()))), QUERIES)
+    hits, store = _hits(spark, sf_dir, QUERIES)
+    return ordinals.fetch(hits, store, "doc_id").select("query_id", "doc_id")
 
 
 def boolean_fetch(spark, sf_dir):
-    return retrieval.fetch(boolean_postfix(spark, sf_dir), _documents(spark, sf_dir))
+    return _matches(spark, sf_dir, QUERIES["q4"], "text")
 
 
 def boolean_preview(spark, sf_dir):
-    return retrieval.fetch_preview(boolean_batch(spark, sf_dir), _documents(spark, sf_dir))
+    hits, store = _hits(spark, sf_dir, QUERIES)
+    cut = store.withColumn("preview", preview(F.col("text")))
+    return ordinals.fetch(hits, cut, "doc_id", "preview").select("query_id", "doc_id", "preview")
+
+
+def ordinal_index(spark, sf_dir):
+    """The index of documents whose ids are hashes: blocks of ordinals are full all the same."""
+    hashed = _documents(spark, sf_dir).select(F.xxhash64("doc_id").alias("hashed"), "doc_id", "text")
+    numbered = ordinals.with_ordinals(hashed, "doc_id")
+    frequencies = postings.term_frequencies(numbered, key="hashed", besides=("ordinal",))
+    index = postings.ordinal_index(frequencies, block_docs=256)
+    cell = F.transform("postings", lambda p: F.concat_ws(":", p["ordinal"], p["tf"]))
+    return index.select("term", "block", F.array_join(cell, ",").alias("postings"))
 
 
 # Events
@@ -456,7 +494,7 @@ QUERIES_BY_NAME: dict[str, Query] = {
         term_doc_tf, term_stats, inverted_index, index_wide_row, index_wide_row_lookup,
         stored_index_lookup, postings_gaps, postings_gaps_decoded, tf_histogram,
         postings_lookup, postings_multi_lookup, missing_terms, postings_with_text, boolean_and,
-        boolean_or, boolean_postfix, boolean_batch, boolean_fetch, boolean_preview,
+        boolean_or, boolean_postfix, boolean_batch, boolean_fetch, boolean_preview, ordinal_index,
         events_from_tsv, parse_event_time, ragged_event_lines, hourly_counts_range, hourly_counts_keyword,
         hourly_counts_unpadded, hourly_counts_keyword_unpadded,
         adjacency_edges, graph_build, graph_stats, graph_duplicate_nodes, graph_partition,
