@@ -13,6 +13,9 @@ from tallyloom.plans.storage import materialize
 # The out-edges of a node are kept together up to this number, then in slots.
 SLOT_EDGES = 100_000
 
+# Links in a bucket of a stored graph.
+BUCKET_LINKS = 2_000_000
+
 
 @dataclass(frozen=True)
 class Graph:
@@ -21,11 +24,14 @@ class Graph:
     ``nodes`` is (id, slots): into how many slots the out-edges of the node are
     split, 0 when it has none. ``links`` is (src, slot, dst, degree, dst_slots):
     the edges to known nodes, each with the out-degree of its source. Edges to
-    unknown ids count in the degree, but nothing can arrive over them.
+    unknown ids count in the degree, but nothing can arrive over them. ``placed``
+    tells that the links already lie by (src, slot), so that steps join them as
+    they are.
     """
 
     nodes: DataFrame
     links: DataFrame
+    placed: bool = False
 
 
 def build_graph(nodes: DataFrame, edges: DataFrame, slot_edges: int = SLOT_EDGES) -> Graph:
@@ -60,6 +66,29 @@ def load_graph(spark: SparkSession, folder: str) -> Graph:
     return Graph(spark.read.parquet(f"{folder}/nodes"), spark.read.parquet(f"{folder}/links"))
 
 
+def save_bucketed(graph: Graph, table: str, folder: str | None = None, buckets: int | None = None) -> None:
+    """Store a prepared graph as the catalog tables ``table_nodes`` and ``table_links``.
+
+    The links are bucketed by (src, slot), which is what a step joins on, so no later
+    run shuffles them; a slot bounds the links of a key, so buckets are even. Without a
+    folder the tables lie in the warehouse.
+    """
+    if buckets is None:
+        cores = graph.links.sparkSession.sparkContext.defaultParallelism
+        buckets = max(cores, -(-graph.links.count() // BUCKET_LINKS))
+    for name, rows in (("nodes", graph.nodes), ("links", graph.links.repartition(buckets, "src", "slot"))):
+        writer = rows.write.mode("overwrite").format("parquet")
+        if name == "links":
+            writer = writer.bucketBy(buckets, "src", "slot").sortBy("src", "slot")
+        if folder:
+            writer = writer.option("path", f"{folder}/{name}")
+        writer.saveAsTable(f"{table}_{name}")
+
+
+def load_bucketed(spark: SparkSession, table: str) -> Graph:
+    return Graph(spark.table(f"{table}_nodes"), spark.table(f"{table}_links"), placed=True)
+
+
 def duplicate_nodes(nodes: DataFrame) -> DataFrame:
     """(id, n) for ids with more than one node."""
     return nodes.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") > 1)

@@ -8,7 +8,7 @@ it cuts the lineage, and a later run can resume from it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyloom.functions.measures import fixed_point, log_rank
@@ -42,12 +42,17 @@ def for_all_nodes(graph: Graph, values: DataFrame, sources: list[int], value: st
     )
 
 
-def received_mass(graph: Graph, ranks: DataFrame, sources: list[int]) -> DataFrame:
+def received_mass(graph: Graph, ranks: DataFrame, sources: list[int],
+                  counts: tuple[Observation, Observation] | None = None) -> DataFrame:
     """(id, source, q, slots): what each node receives from its in-neighbours.
 
-    A source node always has its row, with q = 0 when nothing arrives.
+    A source node always has its row, with q = 0 when nothing arrives. Of ``counts``,
+    the first observes the ranks that move on, the second the messages that arrive.
     """
-    sent = ranks.where(F.col("slots") > 0).select(
+    moving = ranks.where(F.col("slots") > 0)
+    if counts:
+        moving = moving.observe(counts[0], F.count(F.lit(1)).alias("n"))
+    sent = moving.select(
         F.col("id").alias("src"), "source", "p",
         F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"),
     )
@@ -55,6 +60,8 @@ def received_mass(graph: Graph, ranks: DataFrame, sources: list[int]) -> DataFra
         F.col("dst").alias("id"), "source", (F.col("p") / F.col("degree")).alias("q"),
         F.col("dst_slots").alias("slots"),
     )
+    if counts:
+        messages = messages.observe(counts[1], F.count(F.lit(1)).alias("n"))
     own = initial_ranks(graph, sources).select("id", "source", F.lit(0.0).alias("q"), "slots")
     return (
         messages.unionByName(own)
@@ -119,19 +126,27 @@ def cached_links(graph: Graph) -> Graph:
 
 
 def iterate(graph: Graph, sources: list[int], end: int, start: int = 0, folder: str | None = None,
-            alpha: float = ALPHA, mode: str = "standard") -> DataFrame:
+            alpha: float = ALPHA, mode: str = "standard",
+            statistics: list[tuple[int, int, int]] | None = None) -> DataFrame:
     """Ranks above zero after the steps ``start`` to ``end - 1``.
 
-    With a ``folder``, every step stays there, and a later call may start from it.
+    With a ``folder``, every step stays there, and a later call may start from it. To
+    ``statistics`` a row is added for each step: its number from 1, the ranks that moved
+    on and the messages that arrived, counted as the step runs, without a further pass.
+    Rows that a lost task has to send again are counted again.
     """
     folder = folder or new_folder(graph.nodes.sparkSession, "pagerank")
-    near = cached_links(graph)
+    near = graph if graph.placed else cached_links(graph)
     try:
         for step in range(start, end):
             ranks = ranks_at(near, sources, folder, step, alpha, mode)
-            write_and_read(received_mass(near, ranks, sources), _step_folder(folder, step + 1))
+            counts = None if statistics is None else (Observation(), Observation())
+            write_and_read(received_mass(near, ranks, sources, counts), _step_folder(folder, step + 1))
+            if counts:
+                statistics.append((step + 1, *(count.get["n"] for count in counts)))
     finally:
-        near.links.unpersist()
+        if not graph.placed:
+            near.links.unpersist()
     return ranks_at(graph, sources, folder, end, alpha, mode)
 
 

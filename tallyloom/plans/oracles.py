@@ -248,14 +248,20 @@ FROM sent""",
     "ppr_step_standard": _ranks(_GRAPH, 2),
     "ppr_step_compat": _ranks(_GRAPH, 2, "compat"),
     "ranks_of_stored_graph": _ranks(_GRAPH, 2),
+    "ranks_of_bucketed_graph": _ranks(_GRAPH, 2),
+    "ppr_statistics": _steps(_GRAPH, 2) + """, moved AS (""" + " UNION ALL ".join(
+        f"SELECT {i + 1}::bigint AS step, id, source FROM r{i} WHERE p > 0" for i in range(3)) + """)
+SELECT step, count(DISTINCT (m.id, m.source)) AS n_moving,
+       count(*) FILTER (WHERE e.dst IN (SELECT id FROM nodes)) AS n_messages
+FROM moved m JOIN edges e ON e.src = m.id GROUP BY step""",
     "ppr_resumed": _ranks(_GRAPH, 3),
     "ppr_iterate": _ranks(_GRAPH, 5),
     "ppr_iterate_compat": _ranks(_GRAPH, 5, "compat"),
     "ppr_log_rank": _steps(_GRAPH, 3) + """
 SELECT id, source, CASE WHEN p = 0 THEN '-infinity'::double ELSE round(ln(p), 6) END AS log_p
 FROM r3""",
-    "ppr_top_k": _steps(_GRAPH, 5) + f""", rounded AS (SELECT id, source, {_nine_digits('p')} AS p FROM r5),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY p DESC, id) AS rank FROM rounded)
-SELECT source, rank, id, p, round(p::decimal(12, 9), 5)::varchar AS p_text FROM ranked WHERE rank <= 10""",
+    "ppr_top_k": _steps(_GRAPH, 5) + f""", ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY round(p, 13) DESC, id) AS rank FROM r5),
+cut AS (SELECT source, rank, id, {_nine_digits('round(p, 13)')} AS p FROM ranked WHERE rank <= 10)
+SELECT source, rank, id, p, round(p::decimal(12, 9), 5)::varchar AS p_text FROM cut""",
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions.measures import fixed_point
 from tallyloom.functions.text import preview
 from tallyloom.operators import bitmaps, cooccurrence, events, graph, ordinals, pagerank, postings, retrieval, words
 from tallyloom.plans.storage import file_state, is_table, new_folder, spread
@@ -459,6 +460,23 @@ def ranks_of_stored_graph(spark, sf_dir):
     return _ranks(graph.load_graph(spark, folder), 2, "standard")
 
 
+def ranks_of_bucketed_graph(spark, sf_dir):
+    """A second run on a graph that lies in buckets, after one for other sources."""
+    folder = new_folder(spark, "graph")
+    table = "graph_" + folder.rsplit("-", 1)[-1]
+    graph.save_bucketed(_graph(spark, sf_dir), table, folder)
+    stored = graph.load_bucketed(spark, table)
+    pagerank.iterate(stored, [4, 5], 1)
+    return _ranks(stored, 2, "standard")
+
+
+def ppr_statistics(spark, sf_dir):
+    """What moved in each of three steps, counted while they ran."""
+    found: list[tuple[int, int, int]] = []
+    pagerank.iterate(_graph(spark, sf_dir), SOURCES, 3, statistics=found)
+    return spark.createDataFrame(found, "step bigint, n_moving bigint, n_messages bigint")
+
+
 def ppr_resumed(spark, sf_dir):
     """Three steps, the last two by a run that goes on from the first one's folder."""
     built, folder = _graph(spark, sf_dir), new_folder(spark, "steps")
@@ -481,8 +499,11 @@ def ppr_log_rank(spark, sf_dir):
 
 
 def ppr_top_k(spark, sf_dir):
-    top = pagerank.top_nodes(_ranks(_graph(spark, sf_dir), 5, "standard"), 10)
-    return top.withColumn("rank", F.col("rank").cast("bigint"))
+    ranks = pagerank.personalized_pagerank(_graph(spark, sf_dir), SOURCES, 5)
+    # Ranked by all digits that do not depend on the order of a sum, then cut to nine.
+    top = pagerank.top_nodes(ranks.withColumn("p", F.round("p", 13)), 10)
+    return top.withColumns({"rank": F.col("rank").cast("bigint"), "p": _nine_digits("p")}).withColumn(
+        "p_text", fixed_point(F.col("p")))
 
 
 QUERIES_BY_NAME: dict[str, Query] = {
@@ -499,6 +520,7 @@ QUERIES_BY_NAME: dict[str, Query] = {
         hourly_counts_unpadded, hourly_counts_keyword_unpadded,
         adjacency_edges, graph_build, graph_stats, graph_duplicate_nodes, graph_partition,
         ppr_mass_step, ppr_missing_mass, ppr_missing_structure, ppr_step_stats, ppr_step_standard,
-        ppr_step_compat, ranks_of_stored_graph, ppr_resumed, ppr_iterate, ppr_iterate_compat, ppr_log_rank, ppr_top_k,
+        ppr_step_compat, ranks_of_stored_graph, ranks_of_bucketed_graph,
+        ppr_statistics, ppr_resumed, ppr_iterate, ppr_iterate_compat, ppr_log_rank, ppr_top_k,
     )
 }

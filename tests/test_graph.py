@@ -201,3 +201,63 @@ def test_log_rank_and_top_nodes(spark):
     top = [tuple(r) for r in pr.top_nodes(ranks, 2).orderBy("source", "rank").collect()]
     assert top == [(8, 1, 2, 1.0, "1.00000"), (8, 2, 1, 0.036125, "0.03613"),
                    (9, 1, 1, 0.5, "0.50000"), (9, 2, 2, 0.25, "0.25000")]
+
+
+@pytest.fixture
+def bucketed(spark, tmp_path):
+    """A ring with a hub, stored in buckets, and the same graph as it was built."""
+    edges = [(n, (n + 1) % 60) for n in range(60)] + [(7, n) for n in range(60)] + [(n, 7) for n in range(0, 60, 3)]
+    edges += [(5, 1000), (5, 1001)]
+    built = gr.build_graph(
+        spark.createDataFrame([(n,) for n in range(61)], "id bigint"),
+        spark.createDataFrame(edges, "src bigint, dst bigint"), slot_edges=8)
+    table = "ring_" + tmp_path.name.replace("-", "_")
+    gr.save_bucketed(built, table, str(tmp_path / "graph"), buckets=4)
+    yield built, gr.load_bucketed(spark, table), edges
+    for name in ("nodes", "links"):
+        spark.sql(f"DROP TABLE {table}_{name}")
+
+
+def test_a_bucketed_graph_gives_the_same_ranks_again_and_again(bucketed):
+    built, stored, _ = bucketed
+    for sources in ([1, 2], [7, 60]):
+        wanted, found = ({(r[0], r[1]): r[2] for r in pr.personalized_pagerank(g, sources, 2).collect()}
+                         for g in (built, stored))
+        assert found.keys() == wanted.keys()
+        assert all(abs(found[k] - wanted[k]) < 1e-12 for k in wanted)
+
+
+def test_steps_neither_shuffle_nor_cache_bucketed_links(spark, bucketed):
+    _, stored, _ = bucketed
+    pr.iterate(stored, [1], 1)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranks = pr.initial_ranks(stored, [1, 7])
+        plan = pr.received_mass(stored, ranks, [1, 7])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    links = next(line for line in plan.splitlines() if "dst_slots" in line and "FileScan" in line)
+    assert "Bucketed: true" in links
+    above = plan.splitlines()[:plan.splitlines().index(links)]
+    depth = len(links) - len(links.lstrip(" :+-"))
+    path = [line for i, line in enumerate(above) if not any(
+        len(x) - len(x.lstrip(" :+-")) <= len(line) - len(line.lstrip(" :+-")) for x in [*above[i + 1:], links])]
+    join = max(i for i, line in enumerate(path) if "Join" in line)
+    assert depth > 0 and not any("Exchange" in line for line in path[join:])
+    assert spark._jsc.sc().getPersistentRDDs().size() == 0
+
+
+def test_statistics_are_counted_as_the_steps_run(bucketed):
+    built, stored, edges = bucketed
+    for g in (built, stored):
+        statistics = []
+        pr.iterate(g, [1, 7], 2, statistics=statistics)
+        reached = {1: {1}, 7: {7}}
+        known = set(range(61))
+        for step, moving, messages in statistics:
+            out = {s: [d for n in held for a, d in edges if a == n] for s, held in reached.items()}
+            assert moving == sum(any(a == n for a, _ in edges) for held in reached.values() for n in held)
+            assert messages == sum(d in known for found in out.values() for d in found)
+            reached = {s: {d for d in found if d in known} | {s} for s, found in out.items()}
+        assert [row[0] for row in statistics] == [1, 2]
