@@ -20,15 +20,15 @@ BLOCK_DOCS = 32768
 _ROW_BITS = 33
 
 
-def with_ordinals(rows: DataFrame, key: str) -> DataFrame:
-    """The rows with ``ordinal``, their place from 0 by ``key``, nulls first.
+def with_ordinals(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows with ``ordinal``, their place from 0 by the keys, nulls first.
 
     The rows are range partitioned once and written with their place in the partition;
     the sizes of the partitions before, one number each, are added when they are read.
     """
-    order = F.col(key).asc_nulls_first()
+    order = [F.col(key).asc_nulls_first() for key in keys]
     placed = materialize(
-        rows.repartitionByRange(order).sortWithinPartitions(order)
+        rows.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id()), "placed")
     part = F.shiftright("_place", _ROW_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
