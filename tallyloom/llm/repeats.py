@@ -14,13 +14,12 @@ buckets and one refinement are enough, and only where buckets are shared:
    refined bucket. Its 50-byte strings are refined on their own by the buckets at
    their start and 25 bytes later, the same buckets used again, and sorted likewise.
 
-A bucket and its refinement are held in 108 bits, so that strings in one are taken as equal.
+A bucket and its refinement are held in 106 bits, so that strings in one are taken as equal.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import small_side
+from tallyloom.operators.ordinals import with_ordinals
 from tallyloom.plans.storage import materialize
 
 STRING_BYTES = 50
@@ -43,10 +43,10 @@ HELD_ANCHORS = 1 << 20
 # Contexts of anchors that are taken apart at once.
 HELD_CONTEXTS = 1 << 15
 
-# The packed place of an anchor: a tag of its text (20 bits, tells rows of one
-# doc_id apart), its position (31), the bytes of context before and after it (5 each).
-# Until it is sorted, the tag is in the last bits of the refined bucket.
-TAG_BITS, TAG_SHIFT, POSITION_SHIFT = 20, 41, 10
+# The packed place of an anchor: the number of its text among the different texts of one
+# doc_id (22 bits), its position (31), the bytes of context before and after it (5 each).
+# Until it is sorted, the number, or tag, is in the last bits of the refined bucket.
+TAG_BITS, TAG_SHIFT, POSITION_SHIFT = 22, 41, 10
 TAG_MASK = (1 << TAG_BITS) - 1
 
 _K1 = np.uint64(0x9E3779B97F4A7C15)
@@ -54,10 +54,6 @@ _K2 = np.uint64(0xC2B2AE3D27D4EB4F)
 _K3 = np.uint64(0x165667B19E3779F9)
 
 
-def _tag(data: bytes) -> int:
-    return zlib.crc32(data) & TAG_MASK
-
-
 def _buckets(data: np.ndarray) -> np.ndarray:
     """A 64-bit bucket, never 0, of the 25 bytes at each position of an array of bytes."""
     n = len(data) - GRAM + 1
@@ -168,9 +164,9 @@ def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     held: list[tuple[np.ndarray, ...]] = []
     buffer, count = Buffer(), 0
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for doc, tag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
             data = (text.as_py() or "").encode()
-            last, tag = len(data) - STRING_BYTES + 1, _tag(data)
+            last = len(data) - STRING_BYTES + 1
             for first in range(0, max(0, last), BUFFER_BYTES):
                 end = min(first + BUFFER_BYTES, last)
                 buffer.add(data, max(0, first - GRAM), min(len(data), end + STRING_BYTES + GRAM),
@@ -219,7 +215,6 @@ def _find_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarra
         for doc, text, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
             data = (text.as_py() or "").encode()
             place = wanted.values.to_numpy(zero_copy_only=False)
-            place = place[place >> TAG_SHIFT == _tag(data)]
             source = np.frombuffer(data + bytes(3 * GRAM), np.uint8)
             for a in range(0, len(place), HELD_CONTEXTS):
                 some = place[a:a + HELD_CONTEXTS]
@@ -307,8 +302,8 @@ def _sorted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From places sorted by document: the maximal removed runs of each text, as pairs of bytes."""
-    doc_held, place_held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    """From places sorted by document and tag: the maximal removed runs of each text, as pairs of bytes."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def emit(doc, place):
         text = place >> TAG_SHIFT
@@ -333,34 +328,42 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([pairs[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())],
             ["doc", "tag", "runs"])
 
+    def emit_held():
+        yield emit(*(np.concatenate(x) for x in zip(*held)))
+        held.clear()
+
     for batch in batches:
-        doc = np.concatenate([doc_held, batch.column(0).to_numpy()])
-        place = np.concatenate([place_held, batch.column(1).to_numpy()])
+        doc, place = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         if not len(doc):
             continue
-        cut = int(np.searchsorted(doc, doc[-1], "left"))
-        if cut:
+        text = place >> TAG_SHIFT
+        # The last text may go on in the next batch; it is joined once, when it ends.
+        cut = int(np.flatnonzero((doc != doc[-1]) | (text != text[-1]))[-1]) + 1 if (
+            (doc != doc[-1]) | (text != text[-1])).any() else 0
+        if held and (cut or doc[0] != held[-1][0][-1] or text[0] != held[-1][1][-1] >> TAG_SHIFT):
+            if cut:
+                held.append((doc[:cut], place[:cut]))
+                doc, place = doc[cut:], place[cut:]
+            yield from emit_held()
+        elif cut:
             yield emit(doc[:cut], place[:cut])
-        doc_held, place_held = doc[cut:], place[cut:]
-    if len(doc_held):
-        yield emit(doc_held, place_held)
+            doc, place = doc[cut:], place[cut:]
+        held.append((doc, place))
+    if held:
+        yield from emit_held()
 
 
 def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     for batch in batches:
         out: list[list] = [[], [], [], []]
-        for text, tags, runs in zip(batch.column(1), batch.column(2), batch.column(3)):
+        for text, runs in zip(batch.column(1), batch.column(2)):
             data, removed, spans = (text.as_py() or "").encode(), 0, 0
             kept, at = hashlib.sha256(), 0
             if runs.is_valid:
-                own = _tag(data)
-                for tag, pairs in zip(tags.as_py(), runs.as_py()):
-                    if tag != own:
-                        continue
-                    for start, end in np.frombuffer(pairs, "<i4").reshape(-1, 2).tolist():
-                        kept.update(data[at:start])
-                        removed, spans, at = removed + end - start, spans + 1, end
+                for start, end in np.frombuffer(runs.as_py(), "<i4").reshape(-1, 2).tolist():
+                    kept.update(data[at:start])
+                    removed, spans, at = removed + end - start, spans + 1, end
             kept.update(data[at:])
             for column, value in zip(out, (len(data), removed, spans, kept.hexdigest())):
                 column.append(value)
@@ -379,6 +382,28 @@ def _sort_buckets(anchors: DataFrame) -> DataFrame:
     return anchors.repartition(to).sortWithinPartitions(*order).mapInArrow(_sorted_runs, _PLACE)
 
 
+def _with_tags(rows: DataFrame) -> DataFrame:
+    """The rows (doc, text) with ``tag``, the number of the text among the different ones of its id.
+
+    Only texts of ids that repeat are told apart, by their SHA-256, and numbered in one
+    order over all of them, so that no task gathers the texts of an id.
+    """
+    counts = rows.where("doc is not null").groupBy("doc").agg(F.count("*").alias("n"))
+    repeated = materialize(counts.where("n > 1").select("doc"), "repeated")
+    if repeated.isEmpty():
+        return rows.withColumn("tag", F.lit(0).cast("long"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    texts = rows.join(small_side(repeated), "doc", "left_semi").select("doc", digest.alias("digest")).distinct()
+    numbered = materialize(with_ordinals(texts, "doc", "digest"), "numbered")
+    firsts = materialize(numbered.groupBy("doc").agg(F.min("ordinal").alias("first")), "firsts")
+    tags = materialize(numbered.join(small_side(firsts), "doc").select(
+        "doc", "digest", (F.col("ordinal") - F.col("first")).alias("tag")), "tags")
+    if tags.agg(F.max("tag")).first()[0] > TAG_MASK:
+        raise ValueError(f"more than {TAG_MASK + 1} different texts have one id")
+    return rows.withColumn("digest", digest).join(small_side(tags), ["doc", "digest"], "left").select(
+        "doc", "text", F.coalesce("tag", F.lit(0)).alias("tag"))
+
+
 def remove_repeats(documents: DataFrame, id_column: str = "doc_id",
                    text_column: str = "text") -> DataFrame:
     """Remove each byte covered by a 50-byte string that also starts in an earlier document.
@@ -387,26 +412,25 @@ def remove_repeats(documents: DataFrame, id_column: str = "doc_id",
     n_spans (maximal removed runs) and kept_sha256 (of the bytes that are left) for
     each row. Strings never cross documents, overlap freely, and are judged on the
     input. A null text is empty. Rows with the same id are not earlier than one
-    another. A row without id is kept whole and does not count as a source. Texts of
+    another, however many there are (up to four million different texts of one id;
+    more are refused). A row without id is kept whole and does not count as a source. Texts of
     under 50 bytes are kept. Other columns are not read; an empty table gives no rows.
     """
-    rows = documents.select(F.col(id_column).cast("long").alias("doc"),
-                            F.col(text_column).alias("text"))
-    named = rows.where("doc is not null")
+    rows = _with_tags(documents.select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).alias("text")))
+    named = rows.where("doc is not null").select("doc", "tag", "text")
     first = materialize(_sort_buckets(named.mapInArrow(_find_anchors, _ANCHOR)), "places")
+    tag = F.shiftright("place", TAG_SHIFT).alias("tag")
     wanted = materialize(
-        first.where("open").groupBy("doc").agg(F.collect_list("place").alias("places")), "wanted")
-    strings = named.join(small_side(wanted), "doc").select("doc", "text", "places").mapInArrow(
+        first.where("open").groupBy("doc", tag).agg(F.collect_list("place").alias("places")), "wanted")
+    strings = named.join(small_side(wanted), ["doc", "tag"]).select("doc", "text", "places").mapInArrow(
         _apart, _ANCHOR)
     second = materialize(_sort_buckets(strings).where("not open"), "strings")
     repeated = first.where("not open").select("doc", "place").unionByName(second.select("doc", "place"))
     runs = materialize(
-        repeated.repartition("doc").sortWithinPartitions("doc")
+        repeated.repartition(F.col("doc"), tag).sortWithinPartitions("doc", tag)
         .mapInArrow(_merged, "doc long, tag int, runs binary"), "runs")
-    # Rows of one id are few; their runs stand side by side, each with its text's tag.
-    per_id = materialize(runs.groupBy("doc").agg(
-        F.collect_list("tag").alias("tags"), F.collect_list("runs").alias("runs")), "removed")
+    removed = runs.withColumn("tag", F.col("tag").cast("long"))
     return (
-        rows.join(small_side(per_id), "doc", "left").select("doc", "text", "tags", "runs")
+        rows.join(small_side(removed), ["doc", "tag"], "left").select("doc", "text", "runs")
         .mapInArrow(_strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     )

@@ -80,11 +80,41 @@ def test_repeats_of_random_pieces(spark, seed, monkeypatch):
     assert rows_of(repeats.remove_repeats(df)) == brute_repeats(rows)
 
 
+def test_repeats_in_many_rows_of_one_id(spark):
+    """Texts of one id are told apart however many they are, also where checksums agree."""
+    rng = random.Random(7)
+    passages = ["".join(rng.choice("abcdefgh ") for _ in range(90)) for _ in range(20)]
+    rows = [(4, passages[0] + passages[1]), (5, passages[0] + "own" * 40)]
+    # Texts whose CRC-32 has the same last 20 bits, one with and one without an earlier passage.
+    seen, twins = {}, []
+    while len(twins) < 2:
+        text = "".join(rng.choice("klmnopq") for _ in range(rng.choice([400, 130]))) + rng.choice(["", passages[1]])
+        other = seen.setdefault(zlib.crc32(text.encode()) & 0xFFFFF, text)
+        if len(other) != len(text):
+            twins += [(5, other), (5, text)]
+    rows += twins
+    rows += [(5, f"{n} " * 12 + (passages[n % 20] if n % 3 else "") + f" {n}" * 12) for n in range(1500)]
+    rows += [(6, passages[5]), (6, passages[5]), (6, passages[5] + "!"), (None, passages[0]), (6, None), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert rows_of(repeats.remove_repeats(df)) == brute_repeats(rows)
+
+
+def test_repeats_of_a_long_periodic_text(spark):
+    period = "".join(random.Random(3).choice("abcdefgh") for _ in range(61))
+    long = period * 20_000
+    found = {r["doc_id"]: r for r in repeats.remove_repeats(spark.createDataFrame(
+        [(1, period * 3), (2, long), (3, "q" * 60 + long)], "doc_id long, text string")).collect()}
+    assert (found[1]["n_removed"], found[1]["n_spans"]) == (0, 0)
+    assert (found[2]["n_removed"], found[2]["n_spans"]) == (len(long), 1)
+    assert (found[3]["n_removed"], found[3]["n_spans"], found[3]["kept_sha256"]) == (
+        len(long), 1, hashlib.sha256(b"q" * 60).hexdigest())
+
+
 def test_parts_of_a_long_text(monkeypatch):
     import pyarrow as pa
     rng = random.Random(1)
     text = "".join(rng.choice("abcdefgh ") for _ in range(5000))
-    batch = pa.RecordBatch.from_arrays([pa.array([3]), pa.array([text])], ["doc", "text"])
+    batch = pa.RecordBatch.from_arrays([pa.array([3]), pa.array([0]), pa.array([text])], ["doc", "tag", "text"])
 
     def places():
         return {(g, c, p) for b in repeats._find_anchors(iter([batch]))
