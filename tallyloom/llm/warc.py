@@ -103,7 +103,8 @@ def read_archive(spark, folder: str, key_type: str = "long") -> DataFrame:
     """Read the records back, with all fields taken from the header bytes.
 
     Each payload's digest is computed again; a payload that does not have the
-    digest it is stored under fails the read, and so does a record without payload.
+    digest it is stored under fails the read, and so does a record without payload,
+    whichever columns are selected: the check is a condition on the rows.
     ``record`` is the exact record, ``original`` the record as a response with its
     payload even where the archive has a revisit.
     """
@@ -122,13 +123,11 @@ def read_archive(spark, folder: str, key_type: str = "long") -> DataFrame:
     sound = F.col("payload_digest").eqNullSafe(F.col("digest"))
     end = F.lit(RECORD_END).cast("binary")
     full = F.concat("header", "http_header", "payload", end)
-    return records.join(stored, "digest", "left").select(
+    checked = F.when(sound, F.lit(True)).otherwise(F.raise_error(F.concat(
+        F.lit("no sound payload for "), F.coalesce("digest", F.lit("a record")))).cast("boolean"))
+    return records.join(stored, "digest", "left").where(checked).select(
         F.when(F.col("page") != "", F.col("page")).cast(key_type).alias("page_id"), "url",
-        F.col("payload_bytes"),
-        F.when(sound, F.col("payload_digest")).otherwise(
-            F.raise_error(F.concat(F.lit("no sound payload for "), F.coalesce("digest", F.lit("a record")))))
-        .alias("payload_digest"),
-        "record_type",
+        "payload_bytes", "payload_digest", "record_type",
         F.when(F.col("refers") != "", F.col("refers")).cast(key_type).alias("refers_to"),
         F.when(F.col("record_type") == "revisit", F.concat("header", "http_header", end))
         .otherwise(full).alias("record"),

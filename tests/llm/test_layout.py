@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.llm import mixing, sharding, warc
 
@@ -115,14 +116,23 @@ def test_archive(spark, clashing):
     assert warc.read_archive(spark, warc.write_archive(pages.limit(0))).count() == 0
 
 
-def test_damaged_archive_is_refused(spark, tmp_path):
+@pytest.mark.parametrize("damage", ["missing", "replaced"])
+def test_damaged_archive_is_refused_whatever_is_read(spark, tmp_path, damage):
     pages = spark.createDataFrame([(1, "u", "x" * 200), (2, "u", "y")], "page_id long, url string, html string")
     folder = warc.write_archive(pages, str(tmp_path / "archive"))
-    spark.read.parquet(f"{folder}/payloads").limit(1).write.parquet(f"{tmp_path}/less")
+    payloads = spark.read.parquet(f"{folder}/payloads")
+    if damage == "missing":
+        payloads.limit(1).write.parquet(f"{tmp_path}/other")
+    else:
+        payloads.withColumn("payload", F.lit(b"other")).write.parquet(f"{tmp_path}/other")
     (tmp_path / "archive" / "payloads").rename(tmp_path / "whole")
-    (tmp_path / "less").rename(tmp_path / "archive" / "payloads")
+    (tmp_path / "other").rename(tmp_path / "archive" / "payloads")
+    found = warc.read_archive(spark, folder)
+    for column in found.columns:
+        with pytest.raises(Exception, match="no sound payload"):
+            found.select(column).collect()
     with pytest.raises(Exception, match="no sound payload"):
-        warc.read_archive(spark, folder).collect()
+        found.count()
 
 
 def test_targets():
