@@ -1,7 +1,8 @@
 """Benchmark decontamination by size-partitioned MinHash containment search.
 
 A test item is sought in long documents by containment: the share of its distinct
-five-word shingles that a document has. Items are partitioned by size. Each has a
+five-word shingles that a document has; a shorter item is one shingle of all its words.
+Items are partitioned by size. Each has a
 bottom-k MinHash sketch of its own shingles, k chosen by the partition: where at
 least the wanted share is contained, fewer than k shingles of the item can be
 missing, so one of its k least hashes must be in the document. Documents are probed
@@ -29,19 +30,20 @@ def item_words(text: str) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), NO_WORD), lambda w: w != "")
 
 
-def shingle_hashes(words: str, n: int = SHINGLE_WORDS) -> Column:
+def _starts(words: str, n: int | Column) -> Column:
+    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1))
+    return F.coalesce(starts, F.array().cast("array<int>"))
+
+
+def shingle_hashes(words: str, n: int | Column = SHINGLE_WORDS) -> Column:
     """Hashes of the n-word shingles of an array column, repeats included."""
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
-    return F.transform(F.coalesce(starts, F.array().cast("array<int>")),
-                       lambda i: F.xxhash64(F.slice(words, i, n)))
+    return F.transform(_starts(words, n), lambda i: F.xxhash64(F.slice(words, i, n)))
 
 
-def shingles(words: str, n: int = SHINGLE_WORDS) -> Column:
+def shingles(words: str, n: int | Column = SHINGLE_WORDS) -> Column:
     """The distinct n-word shingles of an array column, as strings."""
-    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
     return F.array_distinct(F.transform(
-        F.coalesce(starts, F.array().cast("array<int>")),
-        lambda i: F.array_join(F.slice(words, i, n), " ")))
+        _starts(words, n), lambda i: F.array_join(F.slice(words, i, n), " ")))
 
 
 def sketches(items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
@@ -52,7 +54,7 @@ def sketches(items: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """
     upper = F.pow(F.lit(2.0), F.ceil(F.log2(F.size("hashes"))))
     k = (F.floor(upper * (1 - containment) + 1e-9) + 1).cast("int")
-    return items.where(F.size("hashes") > 0).select(
+    return items.select(
         "item_id", F.explode(F.slice("hashes", 1, k)).alias("hash"))
 
 
@@ -65,21 +67,27 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, containment: flo
     many of them the document has) and containment, one row for each pair of ids.
 
     Case, punctuation and white space do not count. An item of fewer than five words
-    has no shingle and is never found; nor is a null text. Repeated items and
+    is found where its words stand one after the other; documents are probed with shingles
+    of as few words only if there are such items. An item without a word is never found,
+    nor is a null text. Texts of any length are searched whole. Repeated items and
     documents give one row per pair of ids, with the best containment among rows
     of one id. Null ids are ids. An empty table on either side gives no rows. Other
     columns are not read.
     """
+    worded_items = benchmark.select(F.col(item_id_column).alias("item_id"),
+                                    once(item_words(item_text_column)).alias("words"))
+    width = F.least(F.size("words"), F.lit(SHINGLE_WORDS))
     items = materialize(
-        benchmark.select(F.col(item_id_column).alias("item_id"),
-                         once(item_words(item_text_column)).alias("words"))
-        .select("item_id", F.array_sort(F.array_distinct(shingle_hashes("words"))).alias("hashes"),
-                shingles("words").alias("shingles"))
-        .where(F.size("hashes") > 0), "items")
+        worded_items.where(F.size("words") > 0).select(
+            "item_id", width.alias("width"),
+            F.array_sort(F.array_distinct(shingle_hashes("words", width))).alias("hashes"),
+            shingles("words", width).alias("shingles")), "items")
+    widths = sorted(row["width"] for row in items.select("width").distinct().collect()) or [SHINGLE_WORDS]
     sketch = materialize(sketches(items, containment), "sketches")
     worded = documents.select(F.col(id_column).alias("doc_id"),
                               once(item_words(text_column)).alias("words"))
-    probes = worded.select("doc_id", F.explode(shingle_hashes("words")).alias("hash"))
+    probes = worded.select("doc_id", F.explode(
+        F.concat(*(shingle_hashes("words", n) for n in widths))).alias("hash"))
     candidates = materialize(
         probes.join(small_side(sketch), "hash").groupBy("doc_id", "item_id").agg(
             F.count("*").alias("n")).groupBy("doc_id").agg(F.collect_list(F.struct("item_id")).alias("items")),
@@ -88,7 +96,7 @@ def contained_items(documents: DataFrame, benchmark: DataFrame, containment: flo
     kept = documents.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     sought = kept.join(small_side(near), kept.doc_id.eqNullSafe(F.col("_id")))
     texts = sought.select("doc_id", "items", once(item_words("text")).alias("words")).select(
-        "doc_id", "items", once(shingles("words")).alias("has"))
+        "doc_id", "items", once(F.concat(*(shingles("words", n) for n in widths))).alias("has"))
     pairs = texts.select("doc_id", "has", F.explode("items.item_id").alias("_item"))
     wanted = small_side(items.select("item_id", "shingles"))
     found = pairs.join(wanted, F.col("_item").eqNullSafe(F.col("item_id"))).select(

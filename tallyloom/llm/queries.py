@@ -125,17 +125,20 @@ SELECT doc_id, size, source_size, target,
 FROM placed""",
     "op7_decontamination": r"""
 WITH items AS (
-  SELECT item_id, [x for x in regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') if x <> ''] AS w
-  FROM benchmark),
+  SELECT item_id, w, least(5, len(w)) AS k FROM (
+    SELECT item_id, [x for x in regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') if x <> ''] AS w
+    FROM benchmark)
+  WHERE len(w) > 0),
 item_shingles AS (
-  SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM items)),
+  SELECT DISTINCT item_id, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM items)),
 docs AS (
   SELECT doc_id, [x for x in regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') if x <> ''] AS w
   FROM documents),
 doc_shingles AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM docs)),
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM docs, (SELECT DISTINCT k FROM items))),
 sizes AS (SELECT item_id, count(*)::INTEGER AS item_shingles FROM item_shingles GROUP BY 1)
 SELECT d.doc_id, i.item_id, item_shingles, count(*)::INTEGER AS found,
        count(*) / item_shingles AS containment

@@ -47,7 +47,7 @@ def test_query_and_sql(spark, small, name):
 
 def test_queries_are_registered():
     assert {*queries.QUERIES, "pipeline"} <= registry.queries().keys()
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_pipeline(spark, small, documents):
