@@ -26,7 +26,7 @@ SAMPLE_DOCUMENTS = 64
 SAMPLE_LETTERS = 40_000
 ALL_LETTERS = 240_000
 
-# Texts are parsed in pieces of this many letters, so that the number of steps is bounded.
+# Long texts are parsed in pieces of this many letters side by side, then joined exactly.
 PIECE = 2048
 
 # Pieces that are parsed side by side.
@@ -155,38 +155,63 @@ class Automata:
         self.next[at] = [x for out in moves for x in out.values()]
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Phrases of each text (of code points) in each language."""
+        """Phrases of each text (of code points) in each language, from its start to its end.
+
+        All pieces of a text are first parsed as if a phrase began with each, then again
+        from the state in which the piece before it ended. Parses that differ soon meet in
+        the same state, so hardly a piece ends otherwise than it did; those that follow one
+        that does are parsed once more, in order.
+        """
+        pieces = [self.number(text[a:a + PIECE]) for text in texts for a in range(0, len(text), PIECE)]
+        owners = np.repeat(np.arange(len(texts)), [-(-len(text) // PIECE) for text in texts])
+        later = np.flatnonzero(owners[1:] == owners[:-1]) + 1
+        starts = np.tile(np.array(self.roots, np.int64), (len(pieces), 1))
+        found, ends = np.zeros_like(starts), starts.copy()
+
+        def parse(places: np.ndarray) -> None:
+            order = places[np.argsort([-len(pieces[i]) for i in places], kind="stable")]
+            for a in range(0, len(order), SIDE_BY_SIDE):
+                some = order[a:a + SIDE_BY_SIDE]
+                found[some], ends[some] = self._parse([pieces[i] for i in some], starts[some])
+
+        parse(np.arange(len(pieces)))
+        starts[later] = ends[later - 1]
+        parse(later)
+        for i in later:
+            if (starts[i] != ends[i - 1]).any():
+                starts[i] = ends[i - 1]
+                parse(np.array([i]))
         counts = np.zeros((len(texts), len(self.names)))
-        pieces, owners = [], []
-        for i, text in enumerate(texts):
-            for a in range(0, len(text), PIECE):
-                pieces.append(text[a:a + PIECE])
-                owners.append(i)
-        order = np.argsort([-len(p) for p in pieces], kind="stable")
-        for a in range(0, len(order), SIDE_BY_SIDE):
-            some = order[a:a + SIDE_BY_SIDE]
-            sizes = np.array([len(pieces[i]) for i in some])
-            grid = np.zeros((len(some), sizes[0]), np.int32)
-            flat = self.number(np.concatenate([pieces[i] for i in some]))
-            grid[np.arange(sizes[0]) < sizes[:, None]] = flat
-            grid = np.ascontiguousarray(grid.T)
-            active = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), "right")
-            for k, root in enumerate(self.roots):
-                states = np.full(len(some), root, np.int64)
-                found = np.zeros(len(some), np.int64)
-                from_root = self.base[root] + np.arange(self.width)
-                first = np.where(self.owner[from_root] == root, self.next[from_root], root)
-                for step in range(sizes[0]):
-                    n = active[step]
-                    row, state = grid[step, :n], states[:n]
-                    place = self.base.take(state) + row
-                    goes_on = self.owner.take(place) == state
-                    # At the root a phrase begins; a letter that no text has is one by itself.
-                    found[:n] += ~goes_on | (state == root)
-                    states[:n] = np.where(goes_on, self.next.take(place), first.take(row))
-                np.add.at(counts[:, k], [owners[i] for i in some], found)
+        np.add.at(counts, owners, found)
         return counts
 
+    def _parse(self, pieces: list[np.ndarray], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases begun in each piece, and the state at its end, in each language.
+
+        The pieces are of numbered letters, the longest first, each from its own states.
+        """
+        sizes = np.array([len(p) for p in pieces])
+        grid = np.zeros((len(pieces), sizes[0]), np.int32)
+        grid[np.arange(sizes[0]) < sizes[:, None]] = np.concatenate(pieces)
+        grid = np.ascontiguousarray(grid.T)
+        active = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), "right")
+        found, ends = np.zeros_like(starts), starts.copy()
+        for k, root in enumerate(self.roots):
+            states = starts[:, k].copy()
+            count = np.zeros(len(pieces), np.int64)
+            from_root = self.base[root] + np.arange(self.width)
+            first = np.where(self.owner[from_root] == root, self.next[from_root], root)
+            for step in range(sizes[0]):
+                n = active[step]
+                row, state = grid[step, :n], states[:n]
+                place = self.base.take(state) + row
+                goes_on = self.owner.take(place) == state
+                # At the root a phrase begins; a letter that no text has is one by itself.
+                count[:n] += ~goes_on | (state == root)
+                states[:n] = np.where(goes_on, self.next.take(place), first.take(row))
+            found[:, k], ends[:, k] = count, states
+        return found, ends
+
     def decide(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, score) of each text; the score is the winner's share of the likelihoods."""
         answers = [(UNDETERMINED, 0.0)] * len(texts)
@@ -209,28 +234,36 @@ def learn(documents: DataFrame, id_column: str = "doc_id", text_column: str = "t
           sample_letters: int = SAMPLE_LETTERS) -> Automata:
     """Automata from a bounded sample of the labelled documents that are not held out.
 
-    At most ``per_language`` documents of each language, chosen by a hash of the id,
-    with ``sample_letters`` letters in all, in equal parts from each. Every language
-    gets equally few letters if there are many languages.
+    At most ``per_language`` different texts of each language, chosen by a hash of the
+    text, with ``sample_letters`` letters in all, in equal parts from each. Of a long text
+    they are taken from a place that the hash chooses. Every language gets equally few
+    letters if there are many languages. Null texts, languages and ids teach nothing.
     """
     chosen = (
         documents.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull()
                         & F.col(id_column).isNotNull()
                         & ~held_out(id_column, FOLD_MODULUS, FOLD_TEST))
         .select(F.col(id_column).alias("id"), F.col(lang_column).alias("lang"),
-                F.xxhash64(id_column, text_column).alias("hash"))
+                F.xxhash64(text_column).alias("hash"))
+        .groupBy("lang", "hash").agg(F.min("id").alias("id"))
     )
     names = sorted(r["lang"] for r in chosen.select("lang").distinct().collect())
     if not names:
         return Automata([], [np.array([32], np.uint32)])
     share = min(sample_letters, max(256, ALL_LETTERS // len(names)))
-    ranked = chosen.withColumn(
-        "rank", F.row_number().over(W.partitionBy("lang").orderBy("hash", "id"))
-    ).where(F.col("rank") <= per_language)
-    picked = ranked.select(F.col("lang").alias("_lang"), F.col("hash").alias("_hash"))
-    rows = documents.where(F.col(text_column).isNotNull()).join(
-        F.broadcast(picked), F.xxhash64(id_column, text_column) == F.col("_hash")
-    ).select("_lang", "_hash", F.substring(text_column, 1, 4 * share).alias("text")).distinct()
+    picked = chosen.withColumn(
+        "rank", F.row_number().over(W.partitionBy("lang").orderBy("hash"))
+    ).where(F.col("rank") <= per_language).select(
+        F.col("lang").alias("_lang"), F.col("hash").alias("_hash"), F.col("id").alias("_id"))
+    wanted = 4 * share
+    length = F.char_length(text_column)
+    start = F.when(length > wanted, F.pmod(F.xxhash64("_hash"), length - wanted + 1)).otherwise(0) + 1
+    rows = documents.join(
+        F.broadcast(picked),
+        (F.xxhash64(text_column) == F.col("_hash")) & (F.col(id_column) == F.col("_id"))
+        & (F.col(lang_column) == F.col("_lang"))
+    ).select("_lang", "_hash", F.substring(F.col(text_column), start.cast("int"), F.lit(wanted)).alias("text")
+             ).distinct()
     texts: dict[str, list[tuple[int, np.ndarray]]] = {}
     for lang, key, text in rows.toLocalIterator():
         texts.setdefault(lang, []).append((key, letters(text)))

@@ -183,18 +183,20 @@ def test_decontamination(spark, messy, clashing, empty, documents, small):
     own = spark.createDataFrame(
         [(1, "quick brown fox jumps over the lazy dog"), (1, "quick, brown FOX jumps"), (2, "too short item"),
          (3, None), (None, "passage of more than fifty bytes that several"), (4, ""),
-         (5, "quick brown fox jumps over the lazy dog"), (6, "a b c d e f g h i j")],
+         (5, "quick brown fox jumps over the lazy dog"), (6, "a b c d e f g h i j"), (7, "LAZY"), (7, "lazy, dog."),
+         (8, "the lazy dog near"), (9, "brown quick"), (10, "!?")],
         "item_id long, text string")
     split = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
-    shingles = lambda w: {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    shingles = lambda w, n: {tuple(w[i:i + n]) for i in range(len(w) - n + 1)}
     for docs, items in ((messy, own), (clashing(messy), clashing(own)), (documents, benchmark)):
-        sought = [(r.item_id, shingles(split(r.text))) for r in items.select("item_id", "text").collect()]
+        sought = [(r.item_id, split(r.text)) for r in items.select("item_id", "text").collect()]
+        sought = [(i, min(5, len(w)), shingles(w, min(5, len(w)))) for i, w in sought if w]
         best = {}
         for i, t in texts_of(docs):
-            has = shingles(split(t))
-            for k, q in sought:
-                if q and len(q & has) / len(q) >= 0.8:
-                    best[i, k] = max(best.get((i, k), 0), len(q & has) / len(q))
+            has = {n: shingles(split(t), n) for n in range(1, 6)}
+            for k, n, q in sought:
+                if len(q & has[n]) / len(q) >= 0.8:
+                    best[i, k] = max(best.get((i, k), 0), len(q & has[n]) / len(q))
         got = decontamination.contained_items(docs, items).collect()
         assert len(got) == len(best)
         assert {(r.doc_id, r.item_id): r.containment for r in got} == best and best
@@ -202,6 +204,15 @@ def test_decontamination(spark, messy, clashing, empty, documents, small):
     assert decontamination.contained_items(messy, own.limit(0)).count() == 0
 
 
+def test_short_items_are_found_as_a_whole(spark):
+    docs = spark.createDataFrame([(1, "前 一段没有空格的文字 后"), (2, "say Hello, world!"), (3, "world hello")],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(1, "一段没有空格的文字"), (2, "hello world"), (3, "say hello world again")],
+                                  "item_id long, text string")
+    got = decontamination.contained_items(docs, items).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 1, 1, 1.0), (2, 2, 1, 1, 1.0)]
+
+
 def brute_phrases(text, reference):
     """Phrases of a text, each the longest that the reference has, or one letter."""
     count, at = 0, 0
@@ -218,11 +229,34 @@ def test_cross_parsing():
     references = ["".join(rng.choice("abc d") for _ in range(300)), "".join(rng.choice("ade ") for _ in range(200))]
     coded = [np.array([ord(c) for c in r], np.uint32) for r in references]
     automata = language_id.Automata(["x", "y"], coded)
-    texts = ["".join(rng.choice("abcdez ") for _ in range(n)) for n in (1, 5, 60, 400, 2048, 700)]
+    texts = ["".join(rng.choice("abcdez ") for _ in range(n)) for n in (1, 5, 60, 400, 2048, 700, 2049, 5000, 20000)]
+    # Periodic texts, whose pieces never come to end as if a phrase began with them.
+    texts += [(references[0][:7] + "z" * 3) * 900, references[1][:31] * 300, "z" * 9000, references[0] * 20]
     got = automata.phrases([np.array([ord(c) for c in t], np.uint32) for t in texts])
     assert got.tolist() == [[brute_phrases(t, r) for r in references] for t in texts]
 
 
+def test_learning_takes_different_texts_from_any_place(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefg") for _ in range(6)) for _ in range(400)]
+    long = "x " * 300_000 + " ".join(rng.choice(words) for _ in range(60_000))
+    rows = [(i, "qqqq rrrr " * 30, "one") for i in range(400)] + [(9000 + i, f"{w} end", "one") for i, w in
+                                                               enumerate(words[:40])]
+    rows += [(20_000 + i, f"{i} " + long, "two") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(df)
+    asked = spark.createDataFrame(
+        [(i, " ".join(words[i:i + 12]), None) for i in range(40)], df.schema)
+    taught = [w for i, w in enumerate(words[:40]) if zlib.crc32(str(9000 + i).encode()) % 3 != 1]
+    seen = model.phrases([language_id.letters(f"{w} end") for w in taught])
+    assert (seen[:, model.names.index("one")] == 1).all()
+    assert {r.lang_pred for r in language_id.identify(asked, model).collect()} <= {"one", "two"}
+    again = language_id.learn(df.repartition(5))
+    assert again.names == model.names and (again.next == model.next).all() and (again.base == model.base).all()
+    two = model.phrases([language_id.letters(" ".join(words[100:160]))])[0, model.names.index("two")]
+    assert two < 200
+
+
 def test_language(messy, clashing, empty, documents):
     model = language_id.learn(documents)
     assert model.names == ["de", "en", "es", "fr"]
