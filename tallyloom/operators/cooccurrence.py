@@ -7,6 +7,7 @@ been applied to them.
 
 from __future__ import annotations
 
+import copy
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -65,6 +66,12 @@ class Vocabulary:
         self.words = stored.where(frequent)
         self._total = stored.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
 
+    def up_to(self, ceiling: int) -> Vocabulary:
+        """Only the tokens in at most ``ceiling`` lines, with the same ids and total."""
+        some = copy.copy(self)
+        some.words = self.words.where(F.col("n") <= ceiling)
+        return some
+
     def total(self) -> Column:
         return self._total.scalar()
 
@@ -76,15 +83,20 @@ class Vocabulary:
         return (self.words.agg(F.sum("partners").alias("n")).first()["n"] or 0) // 2
 
 
-def _frequent_ids(lines: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
-    """Per line and token: the line's number, the id, its block and the number of blocks.
+def _numbered(lines: DataFrame, text: str) -> DataFrame:
+    """(_words, _line): the distinct tokens of each line that has several.
 
     Lines are numbered here and written with their numbers, since nothing that the
     caller has in other columns need tell them apart.
     """
     words = lines.select(once(distinct_tokens(F.col(text))).alias("_words"))
-    words = words.where(F.size("_words") > 1).withColumn("_line", F.monotonically_increasing_id())
-    placed = materialize(words, "lines").select(
+    return materialize(
+        words.where(F.size("_words") > 1).withColumn("_line", F.monotonically_increasing_id()), "lines")
+
+
+def _frequent_ids(numbered: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Per line and token: the line's number, the id, its block and the number of blocks."""
+    placed = numbered.select(
         "_line",
         F.ceil(F.size("_words") / F.lit(BLOCK_TOKENS)).cast("int").alias("_blocks"),
         F.posexplode("_words").alias("_pos", "w"),
@@ -94,19 +106,23 @@ def _frequent_ids(lines: DataFrame, text: str, vocabulary: Vocabulary) -> DataFr
 
 
 def _id_pairs(lines: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
+    return _pairs_of_numbered(_numbered(lines, text), vocabulary)
+
+
+def _pairs_of_numbered(numbered: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(a, b, nxy) with a < b, for the pairs that reach the minimum count.
 
     The ids of a line are gathered by pair of blocks. A usual line is one block;
     a very long one becomes many groups of at most two blocks. They are dealt out by
     the number of pairs to come, which their size in bytes does not show.
     """
-    ids = _frequent_ids(lines, text, vocabulary)
+    ids = _frequent_ids(numbered, vocabulary)
     met = ids.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     met = met.withColumn("_low", F.least("_block", "_other")).withColumn(
         "_high", F.greatest("_block", "_other")
     )
     in_low = F.col("_block") == F.col("_low")
-    cores = lines.sparkSession.sparkContext.defaultParallelism
+    cores = numbered.sparkSession.sparkContext.defaultParallelism
     tasks = max(cores, math.ceil(vocabulary.pairs_met() / PAIRS_PER_TASK))
     group = ["_line", "_low", "_high"]
     groups = met.repartition(tasks, *group).groupBy(*group).agg(
@@ -233,6 +249,35 @@ def greatest_pmi(scores: DataFrame) -> DataFrame:
     return scores.orderBy(F.col("pmi").desc(), "x", "y").limit(1)
 
 
+def greatest_pmi_pair(lines: DataFrame, text: str = "line", min_count: int = MIN_COUNT,
+                      total: str = "frequent", vocabulary: Vocabulary | None = None,
+                      report: list[tuple[int, int, int]] | None = None) -> DataFrame:
+    """The row of ``greatest_pmi`` over all pairs, without pairing all words.
+
+    Neither word of a pair is in fewer lines than the pair, so its score is at most
+    log10(N / max(nx, ny)). Words are paired from the rarest on, up to a ceiling on their
+    lines that doubles until the best pair found is above the bound of all others, or
+    no word is left. No frequent pair gives no row. ``report`` gets (ceiling, words, bound
+    of the pairs met) for each round.
+    """
+    vocabulary = vocabulary or Vocabulary(lines, text, min_count, total)
+    largest = vocabulary.words.agg(F.max("n").alias("n")).first()["n"] or 0
+    numbered = _numbered(lines, text)
+    ceiling = 2 * max(1, min_count)
+    while True:
+        some = vocabulary.up_to(ceiling)
+        if report is not None:
+            report.append((ceiling, some.size(), some.pairs_met()))
+        named = _named(_pairs_of_numbered(numbered, some), some)
+        score = pmi(F.col("nxy"), F.col("nx"), F.col("ny"), vocabulary.total())
+        best = materialize(greatest_pmi(_both_orders(named.withColumn("pmi", score))), "best")
+        found = best.first()
+        # All other pairs have a word in more lines than the ceiling.
+        if ceiling >= largest or (found and found.nxy * ceiling >= found.nx * found.ny):
+            return best.select("x", "y", "pmi")
+        ceiling *= 2
+
+
 def top_neighbours(scores: DataFrame, k: int = 3) -> DataFrame:
     """The k best neighbours of every x, ranked; ties go to the smaller word."""
     return best_of_each(scores, "x", [F.col("pmi").desc(), F.col("y")], k)

@@ -133,6 +133,34 @@ def _ordinals() -> str:
     return f"WITH {_WORDS} " + " UNION ALL ".join(out)
 
 
+def _positions(places: list[int]) -> str:
+    """The terms at places from the start and, if negative, from the end, of both kinds."""
+    listed = ", ".join(map(str, places))
+    return f"""WITH {_WORDS}, counts AS (SELECT term, count(*) AS n FROM words GROUP BY 1),
+kinds AS (
+  SELECT 'all' AS kind, term, n FROM counts
+  UNION ALL SELECT 'alphabetic', term, n FROM counts WHERE regexp_full_match(term, '[A-Za-z]+')),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY kind ORDER BY term) AS up,
+         -row_number() OVER (PARTITION BY kind ORDER BY term DESC) AS down FROM kinds)
+SELECT kind, position, term, n
+FROM ranked JOIN (SELECT unnest([{listed}])::bigint AS position) ON position IN (up, down)"""
+
+
+_BROKEN = _EVENTS + """, lines AS (
+  SELECT *, CASE id % 11
+           WHEN 0 THEN 'x' || whole WHEN 1 THEN replace(whole, '+0000', '+0000?')
+           WHEN 2 THEN whole || chr(9) || 'more' ELSE whole END AS line
+  FROM (SELECT *, concat_ws(chr(9), id, user_name,
+          CASE WHEN event_type <> 'signup' THEN strftime(time, '%a %b %d %H:%M:%S +0000 %Y') END,
+          CASE WHEN event_type NOT IN ('signup', 'error') THEN text END) AS whole FROM ev)),
+judged AS (
+  SELECT *, CASE WHEN len(f) < 4 THEN 'too few fields' WHEN len(f) > 4 THEN 'too many fields'
+                 WHEN NOT regexp_full_match(f[1], '[0-9]+') THEN 'id is no number'
+                 WHEN f[3] LIKE '%?%' THEN 'no valid time' END AS reason
+  FROM (SELECT *, string_split(line, chr(9)) AS f FROM lines))"""
+
+
 ORACLES: dict[str, str] = {
     "tokens_per_doc": f"""WITH {_WORDS}
 SELECT d.doc_id, count(w.term) AS n_tokens
@@ -147,6 +175,7 @@ UNION ALL
 SELECT 'alphabetic', count(DISTINCT term), count(*) FROM words
 WHERE regexp_full_match(term, '[A-Za-z]+')""",
     "term_ordinals": _ordinals(),
+    "terms_by_position": _positions([2, 100, 1000, 5000, -2, -100, -1000, -5000]),
 
     "token_marginals": f"WITH {_LINE_TOKENS} SELECT token AS w, count(*) AS n FROM toks GROUP BY 1",
     "cooc_pairs": f"WITH {_PAIRS} SELECT x, y, nxy FROM pairs",
@@ -173,6 +202,10 @@ FROM tf GROUP BY 1, 2""",
 SELECT term, doc_id // 65536 AS block, string_agg(doc_id || ':' || tf, ',' ORDER BY doc_id) AS cells
 FROM tf GROUP BY 1, 2""",
     "index_wide_row_lookup": f"WITH {_TF} SELECT term, doc_id, tf FROM tf WHERE term = 'the'",
+    "keyed_table_lookup": f"""WITH {_TF}
+SELECT term, doc_id, tf FROM tf WHERE term IN (
+  SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\v\\f\\r]+')) FROM benchmark)""",
+    "replaced_counts": f"WITH {_WORDS} SELECT term, count(*) AS n FROM words GROUP BY 1",
     "stored_index_lookup": f"WITH {_TF} SELECT term, doc_id, tf FROM tf WHERE term IN {_TERMS}",
     "postings_gaps": f"""WITH {_TF}
 SELECT term, doc_id // 65536 AS block,
@@ -209,6 +242,9 @@ FROM hits h JOIN documents d ON d.doc_id = h.doc_id""",
     "ragged_event_lines": f"""WITH {_EVENTS}
 SELECT id, user_name, time, CASE WHEN event_type <> 'error' THEN text END AS text
 FROM ev WHERE event_type <> 'signup'""",
+    "checked_event_lines": f"""WITH {_BROKEN}
+SELECT f[1]::bigint AS id, f[2] AS user_name, time, f[4] AS text FROM judged WHERE reason IS NULL""",
+    "rejected_event_lines": f"WITH {_BROKEN} SELECT line, reason FROM judged WHERE reason IS NOT NULL",
     "hourly_counts_range": f"""WITH {_EVENTS}
 SELECT strftime(date_trunc('hour', time), '%m/%d %H') AS hour, count(*) AS n
 FROM ev WHERE {_IN_RANGE} GROUP BY date_trunc('hour', time)""",

@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.measures import fixed_point
-from tallyloom.functions.text import preview
+from tallyloom.functions.text import index_tokens, preview
 from tallyloom.operators import bitmaps, cooccurrence, events, graph, ordinals, pagerank, postings, retrieval, words
 from tallyloom.plans.storage import file_state, is_table, new_folder, spread
 from tallyloom.sources import sinks
 from tallyloom.sources.adjacency import parse_adjacency
 from tallyloom.sources.text import lines_of
-from tallyloom.sources.tsv import EVENT_SCHEMA, read_event_tsv, split_event_lines
+from tallyloom.sources.tsv import EVENT_SCHEMA, read_event_tsv, split_event_lines, store_checked_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,7 @@ QUERIES = {
     "q4": "to and OR in a AND OR the AND",
     "q5": "nosuchword the AND",
 }
+POSITIONS = [2, 100, 1000, 5000, -2, -100, -1000, -5000]
 KEYWORDS = ["Error", "PURCH"]
 RANGE = ("2024-01-05", "2024-01-20")
 SOURCES = [1, 2, 3]
@@ -110,23 +111,18 @@ def word_count_alpha(spark, sf_dir):
 
 
 def unique_terms(spark, sf_dir):
-    every = words.unique_terms(word_count_all(spark, sf_dir)).withColumn("kind", F.lit("all"))
-    plain = words.unique_terms(word_count_alpha(spark, sf_dir)).withColumn("kind", F.lit("alphabetic"))
-    return every.unionByName(plain)
+    return words.unique_terms_of_kinds(word_count_all(spark, sf_dir))
 
 
 def term_ordinals(spark, sf_dir):
-    found = None
-    for kind, counts in (
-        ("all", word_count_all(spark, sf_dir)),
-        ("alphabetic", word_count_alpha(spark, sf_dir)),
-    ):
-        for place, position, from_end in (("first", 1, False), ("third to last", 3, True)):
-            row = words.term_at(counts, position, from_end).select(
-                F.lit(kind).alias("kind"), F.lit(place).alias("place"), "term", "n"
-            )
-            found = row if found is None else found.unionByName(row)
-    return found
+    found = words.terms_at(words.with_kinds(word_count_all(spark, sf_dir)), [1, -3])
+    place = F.when(F.col("position") == 1, "first").otherwise("third to last")
+    return found.select("kind", place.alias("place"), "term", "n")
+
+
+def terms_by_position(spark, sf_dir):
+    """Terms far from both ends of the sorted vocabulary."""
+    return words.terms_at(words.with_kinds(word_count_all(spark, sf_dir)), POSITIONS)
 
 
 # Co-occurrence
@@ -164,7 +160,7 @@ def pmi_pair_total(spark, sf_dir):
 
 
 def pmi_top_pair(spark, sf_dir):
-    return _rounded(cooccurrence.greatest_pmi(cooccurrence.pmi_pairs(_lines(spark, sf_dir))))
+    return _rounded(cooccurrence.greatest_pmi_pair(_lines(spark, sf_dir)))
 
 
 def pmi_top_neighbors(spark, sf_dir):
@@ -203,6 +199,24 @@ def index_wide_row_lookup(spark, sf_dir):
     return postings.postings_of(sinks.stored_terms(sinks.read_index(spark, folder), ["the"]))
 
 
+def keyed_table_lookup(spark, sf_dir):
+    """The postings of every term of the benchmark, from a keyed table, joined in its buckets."""
+    folder = new_folder(spark, "keyed")
+    table = "keyed_" + folder.rsplit("-", 1)[-1]
+    sinks.save_keyed_table(_index(spark, sf_dir), table, folder)
+    asked = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    wanted = asked.select(F.explode(index_tokens(F.col("text"))).alias("term"))
+    return postings.postings_of(sinks.lookup_batch(spark, table, wanted))
+
+
+def replaced_counts(spark, sf_dir):
+    """Word counts that replaced those of the alphabetic words, as a whole."""
+    folder = new_folder(spark, "counts")
+    sinks.replace_rows(word_count_alpha(spark, sf_dir), folder)
+    sinks.replace_rows(word_count_all(spark, sf_dir), folder, [f"{sf_dir}/documents.parquet"])
+    return sinks.read_current(spark, folder)
+
+
 def stored_index_lookup(spark, sf_dir):
     """The index as sorted files, read back by pruning."""
     return _postings(spark, sf_dir, TERMS)
@@ -321,6 +335,28 @@ def ragged_event_lines(spark, sf_dir):
     return found.select("id", "user_name", "time", "text")
 
 
+def _checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The ragged lines, some with a broken id, a broken time or a field too many."""
+    lines = _event_lines(spark, sf_dir, ragged=True).withColumn(
+        "_id", F.split_part("line", F.lit("\t"), F.lit(1)).cast("bigint"))
+    case = F.col("_id") % 11
+    broken = (
+        F.when(case == 0, F.concat(F.lit("x"), "line"))
+        .when(case == 1, F.regexp_replace("line", r"\+0000", "+0000?"))
+        .when(case == 2, F.concat("line", F.lit("\tmore")))
+        .otherwise(F.col("line"))
+    )
+    return store_checked_events(lines.select(broken.alias("line")), new_folder(spark, "events"))
+
+
+def checked_event_lines(spark, sf_dir):
+    return _checked(spark, sf_dir)[0].select("id", "user_name", "time", "text")
+
+
+def rejected_event_lines(spark, sf_dir):
+    return _checked(spark, sf_dir)[1]
+
+
 def hourly_counts_range(spark, sf_dir):
     return events.hourly_counts(events.in_range(_events(spark, sf_dir), *RANGE))
 
@@ -510,13 +546,15 @@ QUERIES_BY_NAME: dict[str, Query] = {
     query.__name__: query
     for query in (
         tokens_per_doc, line_tokens, word_count_all, word_count_alpha, unique_terms, term_ordinals,
+        terms_by_position,
         token_marginals, cooc_pairs, cooc_stripes, pmi_pairs, pmi_stripes, pmi_pair_total,
         pmi_top_pair, pmi_top_neighbors,
         term_doc_tf, term_stats, inverted_index, index_wide_row, index_wide_row_lookup,
-        stored_index_lookup, postings_gaps, postings_gaps_decoded, tf_histogram,
+        keyed_table_lookup, replaced_counts, stored_index_lookup, postings_gaps, postings_gaps_decoded, tf_histogram,
         postings_lookup, postings_multi_lookup, missing_terms, postings_with_text, boolean_and,
         boolean_or, boolean_postfix, boolean_batch, boolean_fetch, boolean_preview, ordinal_index,
-        events_from_tsv, parse_event_time, ragged_event_lines, hourly_counts_range, hourly_counts_keyword,
+        events_from_tsv, parse_event_time, ragged_event_lines, checked_event_lines,
+        rejected_event_lines, hourly_counts_range, hourly_counts_keyword,
         hourly_counts_unpadded, hourly_counts_keyword_unpadded,
         adjacency_edges, graph_build, graph_stats, graph_duplicate_nodes, graph_partition,
         ppr_mass_step, ppr_missing_mass, ppr_missing_structure, ppr_step_stats, ppr_step_standard,

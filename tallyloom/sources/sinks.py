@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+from collections.abc import Iterable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.plans.storage import materialize
+
 SHARDS = 64
 
+# Rows (of a term and block) in a bucket of a keyed table.
+BUCKET_ROWS = 1 << 16
+
+_MANIFEST = "version bigint, folder string, inputs array<string>"
+
 
 def write_tsv(df: DataFrame, path: str) -> None:
     """``key<TAB>value`` part files."""
@@ -31,6 +42,38 @@ def read_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def replace_rows(df: DataFrame, path: str, inputs: Iterable[str] = ()) -> None:
+    """Write the rows as a new version and switch to it once it is whole.
+
+    The rows go to a folder of their own. The switch is one small file in the manifest,
+    which appears as a whole; until then, and if the write fails, readers see the version
+    before. ``inputs`` names what the rows were made from. Of writers that race, one wins.
+    """
+    before = current_version(df.sparkSession, path)
+    version = before.version + 1 if before else 1
+    folder = f"rows-{version}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{folder}")
+    manifest = df.sparkSession.createDataFrame([(version, folder, list(inputs))], _MANIFEST)
+    manifest.coalesce(1).write.mode("append").json(f"{path}/manifest")
+
+
+def current_version(spark: SparkSession, path: str) -> Row | None:
+    """(version, folder, inputs) of the newest whole version; None before the first."""
+    try:
+        found = spark.read.schema(_MANIFEST).json(f"{path}/manifest")
+    except AnalysisException:
+        return None
+    return found.orderBy(F.col("version").desc(), F.col("folder").desc()).first()
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the newest whole version."""
+    current = current_version(spark, path)
+    if current is None:
+        raise FileNotFoundError(f"no version of rows in {path}")
+    return spark.read.parquet(f"{path}/{current.folder}")
+
+
 def shard_of(term: Column, shards: Column) -> Column:
     return F.pmod(F.hash(term), shards)
 
@@ -75,3 +118,36 @@ def stored_terms(index: DataFrame, terms: list[str]) -> DataFrame:
         return index.drop("shards").limit(0)
     homes = F.col("shard").isin(*(shard_of(F.lit(term), F.col("shards")) for term in terms))
     return index.where(homes).where(F.col("term").isin(terms)).drop("shards")
+
+
+def save_keyed_table(index: DataFrame, table: str, folder: str | None = None,
+                     buckets: int | None = None) -> None:
+    """Store an index (term, block, ...) as the catalog tables ``table_rows`` and ``table_blocks``.
+
+    Rows are bucketed by the whole key, so the blocks of a frequent term lie in many
+    buckets. ``table_blocks`` has the blocks of each term, bucketed by term. Without a
+    folder the tables lie in the warehouse. Tables of the same name are replaced.
+    """
+    if buckets is None:
+        index = materialize(index, "index")
+        cores = index.sparkSession.sparkContext.defaultParallelism
+        buckets = max(cores, -(-index.count() // BUCKET_ROWS))
+    blocks = index.groupBy("term").agg(F.sort_array(F.collect_set("block")).alias("blocks"))
+    for name, rows, key in (("rows", index, ["term", "block"]), ("blocks", blocks, ["term"])):
+        writer = rows.repartition(buckets, *key).write.mode("overwrite").format("parquet")
+        if folder:
+            writer = writer.option("path", f"{folder}/{name}")
+        writer.bucketBy(buckets, *key).sortBy(*key).saveAsTable(f"{table}_{name}")
+
+
+def lookup_batch(spark: SparkSession, table: str, wanted: DataFrame) -> DataFrame:
+    """The rows of a keyed table for a batch of terms (term), as large as it may be.
+
+    Only the batch moves, to the buckets or, if it is small, to all tasks. Repeated,
+    absent and null terms are no error.
+    """
+    terms = materialize(wanted.select("term").where("term is not null").distinct(), "terms")
+    keys = materialize(
+        spark.table(f"{table}_blocks").join(terms, "term").select(
+            "term", F.explode("blocks").alias("block")), "keys")
+    return spark.table(f"{table}_rows").join(keys, ["term", "block"])

@@ -36,5 +36,47 @@ def split_event_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     )
 
 
+def checked_event_lines(lines: DataFrame, line: str = "line", fields: int = 4) -> DataFrame:
+    """The columns of ``split_event_lines`` and ``reason``, why the line is no event.
+
+    ``reason`` is NULL for a sound line. A line must have at least ``fields`` and at most
+    four fields, a number as its id and, if the time is among its fields, a valid time.
+    The first reason in this order is given.
+    """
+    size = F.size(F.split(F.col(line), "\t"))
+    reason = (
+        F.when(F.col(line).isNull() | (F.trim(F.col(line)) == ""), "empty line")
+        .when(size < fields, "too few fields")
+        .when(size > 4, "too many fields")
+        .when(F.col("id").isNull(), "id is no number")
+        .when((size >= 3) & F.col("time").isNull(), "no valid time")
+    )
+    return split_event_lines(lines, line).withColumn("reason", reason)
+
+
+def store_checked_events(lines: DataFrame, folder: str, line: str = "line",
+                         fields: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Sound events (id, user_name, creation_time, text, time) and rejected lines (line, reason).
+
+    Both are written in one pass over the lines, each to a directory of its own, so that
+    every line is in one of them.
+    """
+    checked = checked_event_lines(lines.select(F.col(line).alias("line")), fields=fields)
+    checked.withColumn("sound", F.col("reason").isNull()).write.mode("overwrite").partitionBy(
+        "sound").parquet(folder)
+    stored = lines.sparkSession.read.schema(f"{checked.schema.toDDL()}, sound boolean").parquet(folder)
+    return (
+        stored.where("sound").select("id", "user_name", "creation_time", "text", "time"),
+        stored.where("not sound").select("line", "reason"),
+    )
+
+
+def read_checked_events(spark: SparkSession, path: str, folder: str,
+                        fields: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Sound events and rejected lines of text files, stored in the folder."""
+    return store_checked_events(
+        spark.read.text(path).withColumnRenamed("value", "line"), folder, fields=fields)
+
+
 def _field(position: int) -> Column:
     return F.get("_fields", F.lit(position))

@@ -121,6 +121,31 @@ def test_top_neighbours_rank_and_break_ties_by_word(spark):
     assert tuple(co.greatest_pmi(scores).first()) == ("x", "c", 3.0)
 
 
+@pytest.mark.parametrize("total", ["frequent", "all"])
+@pytest.mark.parametrize("least", [1, 3, 10])
+def test_the_greatest_pmi_by_bounds_is_that_of_all_pairs(spark, random_lines, least, total):
+    frame = lines_frame(spark, random_lines)
+    scores = co.pmi_pairs(frame, min_count=least, total=total)
+    report = []
+    found = co.greatest_pmi_pair(frame, min_count=least, total=total, report=report)
+    assert [tuple(r) for r in found.collect()] == [tuple(r) for r in co.greatest_pmi(scores).collect()]
+    assert report[0][0] == 2 * least
+
+
+def test_the_greatest_pmi_pairs_few_words(spark):
+    # Two rare words that always meet, among many frequent ones.
+    lines = [f"w{i % 30} w{i % 29} w{i % 23} w{i % 19}" for i in range(3000)] + ["left right w1"] * 12
+    frame, report = lines_frame(spark, lines), []
+    found = co.greatest_pmi_pair(frame, report=report)
+    assert tuple(found.select("x", "y").first()) == ("left", "right")
+    assert report == [(20, 2, 24)]
+    assert co.Vocabulary(frame).pairs_met() > 15_000
+    # No pair is frequent: every word is tried, and nothing is found.
+    lonely, report = lines_frame(spark, [f"a{i} b{i % 7}" for i in range(100)]), []
+    assert co.greatest_pmi_pair(lonely, report=report).count() == 0 and report
+    assert co.greatest_pmi_pair(lonely.limit(0)).count() == 0
+
+
 def test_many_best_of_a_large_group(spark):
     scores = spark.range(5000).selectExpr("'x' as x", "cast(id as string) as y", "id % 700 * 1.0D as pmi")
     top = co.top_neighbours(scores, 1500).orderBy("rank").collect()

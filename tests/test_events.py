@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from tallyloom.functions.text import has_keyword
 from tallyloom.functions.times import parse_creation_time
 from tallyloom.operators import events as ev
-from tallyloom.sources.tsv import read_event_tsv, split_event_lines
+from tallyloom.sources.tsv import (
+    checked_event_lines, read_checked_events, read_event_tsv, split_event_lines,
+)
 
 LINES = [
     "1\tann\tSun Jan 23 00:00:00 +0000 2011\tfrom EgYpt",
@@ -84,3 +86,26 @@ def test_same_hour_of_two_years(spark):
     times = spark.createDataFrame([(datetime(2010, 1, 2, 3),), (datetime(2011, 1, 2, 3),)], "time timestamp_ntz")
     assert [tuple(r) for r in ev.hourly_counts(times).collect()] == [("01/02 03", 1), ("01/02 03", 1)]
     assert [tuple(r) for r in ev.hourly_counts_unpadded(times).collect()] == [("1/2 3", 2)]
+
+
+REJECTED = {
+    "": "empty line", "  ": "empty line", "3\tcat": "too few fields", LINES[8]: "too few fields",
+    LINES[3]: "too many fields", "x\tu\t" + LINES[0].split("\t")[2] + "\tt": "id is no number",
+    LINES[7]: "no valid time",
+}
+
+
+def test_every_line_is_kept_or_rejected_with_its_reason(spark, tmp_path):
+    sound = [x for x in LINES if x not in REJECTED]
+    (tmp_path / "a.tsv").write_text("\n".join([*sound, *REJECTED, *sound]) + "\n")
+    kept, rejected = read_checked_events(spark, str(tmp_path / "a.tsv"), str(tmp_path / "stored"))
+    assert sorted(r.id for r in kept.collect()) == sorted(2 * [int(x.split("\t")[0]) for x in sound])
+    assert all(r.time and r.user_name for r in kept.collect())
+    assert {r.line: r.reason for r in rejected.collect()} == REJECTED and rejected.count() == len(REJECTED)
+
+
+def test_lines_may_end_before_the_text(spark):
+    lines = spark.createDataFrame([(x,) for x in [*LINES, None]], "line string")
+    found = {r.line: r.reason for r in checked_event_lines(lines, fields=3).collect()}
+    assert found[LINES[8]] is None and found[LINES[2]] == "too few fields" and found[None] == "empty line"
+    assert found[LINES[7]] == "no valid time"

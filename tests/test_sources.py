@@ -76,6 +76,54 @@ def test_rows_round_trip(spark, tmp_path):
     assert sinks.read_rows(spark, path).count() == 3
 
 
+def test_a_failed_replacement_leaves_the_rows_before(spark, tmp_path):
+    path = str(tmp_path / "versions")
+    assert sinks.current_version(spark, path) is None
+    with pytest.raises(FileNotFoundError):
+        sinks.read_current(spark, path)
+    broken = spark.range(9, numPartitions=3).select(
+        F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("broken")).cast("bigint")).alias("id"))
+    for version, size in enumerate((5, 3, 0), 1):
+        with pytest.raises(Exception, match="broken"):
+            sinks.replace_rows(broken, path)
+        sinks.replace_rows(spark.range(size), path, ["a", "b"])
+        current = sinks.current_version(spark, path)
+        assert (current.version, current.inputs) == (version, ["a", "b"])
+        held = sinks.read_current(spark, path)
+        assert held.count() == size
+    # A reader that has begun goes on with its version.
+    sinks.replace_rows(spark.range(4), path)
+    assert held.count() == 0 and sinks.read_current(spark, path).count() == 4
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_batch_is_looked_up_in_the_buckets(spark, tmp_path):
+    index = spark.range(4000).selectExpr(
+        "concat('t', id % 50) as term", "id div 50 as block", "array(id) as postings").unionByName(
+        spark.range(900).selectExpr("'hot' as term", "id as block", "array(id) as postings"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for times in (1, 2):
+            sinks.save_keyed_table(index, "keyed_test", str(tmp_path / f"keyed{times}"), buckets=4 * times)
+        wanted = spark.createDataFrame([("t3",), ("hot",), ("t3",), ("absent",), (None,)], "term string")
+        found = sinks.lookup_batch(spark, "keyed_test", wanted)
+        assert found.count() == 80 + 900 and {r.term for r in found.collect()} == {"t3", "hot"}
+        # Only the keys are shuffled; the table is read in its buckets.
+        plan = plan_of(found).split("Initial Plan")[0]
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        sizes = [r["count"] for r in spark.table("keyed_test_rows").where("term = 'hot'").groupBy(
+            F.input_file_name()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 300
+        assert sinks.lookup_batch(spark, "keyed_test", wanted.limit(0)).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("rows", "blocks"):
+            spark.sql(f"DROP TABLE IF EXISTS keyed_test_{name}")
+
+
 class Context:
     master = "spark://somewhere"
 
