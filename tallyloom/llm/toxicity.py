@@ -396,7 +396,8 @@ def learn_weights(documents: DataFrame, labels: DataFrame, model: np.ndarray,
         documents.join(F.broadcast(sample), F.col(id_column) == F.col("_id"))
         .select("label", F.col(text_column).alias("text"))
         .mapInArrow(features, "label int, likeness long, has array<string>")
-        .dropDuplicates(["label", "likeness"])
+        # Of texts alike the one with the least beginnings stands for all, on every run.
+        .groupBy("label", "likeness").agg(F.min("has").alias("has"))
         .withColumn("part", F.pmod(F.xxhash64("likeness"), F.lit(PARTS)).cast("int")), "features")
     # Equal likeness can stand under both labels, never twice under one.
     seen = rows.select("label", "likeness", "part").toArrow().sort_by(
