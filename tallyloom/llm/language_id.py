@@ -89,6 +89,7 @@ class Automata:
             moves += self._build(self.number(text), len(moves))
         self._pack(moves)
         self.bits = [float(np.log2(max(2, len(t)))) for t in texts]
+        self.letter_bits = [float(np.log2(max(2, len(np.unique(t))))) for t in texts]
 
     def number(self, text: np.ndarray) -> np.ndarray:
         place = np.minimum(np.searchsorted(self.alphabet, text), len(self.alphabet) - 1)
@@ -212,20 +213,26 @@ class Automata:
             found[:, k], ends[:, k] = count, states
         return found, ends
 
-    def decide(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """(language, score) of each text; the score is the winner's share of the likelihoods."""
-        answers = [(UNDETERMINED, 0.0)] * len(texts)
+    def decide(self, texts: list[str | None]) -> list[tuple[str, float, float | None]]:
+        """(language, score, excess bits) of each text.
+
+        The score is the winner's share of the likelihoods. The excess is the bits of the
+        winner's phrases less those of as many letters drawn by chance from its alphabet.
+        """
+        answers: list[tuple[str, float, float | None]] = [(UNDETERMINED, 0.0, None)] * len(texts)
         known = [i for i, t in enumerate(texts) if self.names and t and has_letter(t)]
         if not known:
             return answers
         coded = [letters(texts[i]) for i in known]
-        entropy = self.phrases(coded) * np.array(self.bits)
-        entropy /= np.array([max(1, len(c)) for c in coded])[:, None]
+        sizes = np.array([max(1, len(c)) for c in coded])
+        cost = self.phrases(coded) * np.array(self.bits)
+        entropy = cost / sizes[:, None]
         weight = np.exp2(-8 * (entropy - entropy.min(1, keepdims=True)))
         share = weight / weight.sum(1, keepdims=True)
-        for i, row, part in zip(known, entropy, share):
+        excess = cost - sizes[:, None] * np.array(self.letter_bits)
+        for i, row, part, over in zip(known, entropy, share, excess):
             best = int(np.argmin(row))
-            answers[i] = (self.names[best], float(part[best]))
+            answers[i] = (self.names[best], float(part[best]), float(over[best]))
         return answers
 
 
@@ -285,7 +292,10 @@ def learn(documents: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
 def identify(documents: DataFrame, automata: Automata, id_column: str = "doc_id",
              text_column: str = "text") -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) of every row, from the whole text alone.
+    """(doc_id, held_out, lang_pred, score, excess_bits) of every row, from the whole text alone.
+
+    ``excess_bits`` above zero says that letters drawn by chance from the alphabet of the
+    language are a shorter account of the text than its phrases; null for ``und``.
 
     ``und`` with score 0 if the text is null or has no letter, or if no language was
     learned. Equal entropies go to the language whose name comes first. Repeated
@@ -298,26 +308,24 @@ def identify(documents: DataFrame, automata: Automata, id_column: str = "doc_id"
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            names, scores, some, size = [], [], [], 0
+            answers, some, size = [], [], 0
             for text in batch.column(2):
                 text = text.as_py()
                 some.append(text)
                 size += len(text or "")
                 if size >= PIECE * SIDE_BY_SIDE:
-                    for name, score in model.decide(some):
-                        names.append(name)
-                        scores.append(score)
+                    answers += model.decide(some)
                     some, size = [], 0
-            for name, score in model.decide(some):
-                names.append(name)
-                scores.append(score)
+            answers += model.decide(some)
+            names, scores, excess = zip(*answers) if answers else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()),
-                 pa.array(scores, pa.float64())],
-                ["doc_id", "held_out", "lang_pred", "score"])
+                 pa.array(scores, pa.float64()), pa.array(excess, pa.float64())],
+                ["doc_id", "held_out", "lang_pred", "score", "excess_bits"])
 
     return documents.select(
         F.col(id_column).alias("doc_id"),
         held_out(id_column, FOLD_MODULUS, FOLD_TEST).alias("held_out"),
         F.col(text_column).alias("text"),
-    ).mapInArrow(decide, f"doc_id {key}, held_out boolean, lang_pred string, score double")
+    ).mapInArrow(decide, f"doc_id {key}, held_out boolean, lang_pred string, score double, "
+                               "excess_bits double")

@@ -49,7 +49,7 @@ def op7_decontamination(spark, sf_dir):
 
 def op8_language_id(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents")
-    return language_id.identify(documents, language_id.learn(documents))
+    return language_id.identify(documents, language_id.learn(documents)).drop("excess_bits")
 
 
 def op9_topk(spark, sf_dir):

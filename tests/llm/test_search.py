@@ -1,11 +1,13 @@
 """Top-k search, the pipeline and the registry."""
 
 import math
+import random
 
 import corpus_pipeline
 import numpy as np
 import pytest
 from check_queries import difference, oracle_connection
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from tallyloom.llm import queries, topk
@@ -83,3 +85,30 @@ def test_pipeline_on_messy_rows(spark, messy, empty, clashing, small):
             assert docs.count() == 0
         else:
             assert docs.count() >= 5
+
+
+def test_pipeline_keeps_columns_of_any_name(spark, documents, small):
+    names = ["_key", "_times", "_TIME", "__key", "stays", "n", "excess_bits", "lang_pred"]
+    docs = documents.select("*", *(F.concat(F.lit(name), F.col("doc_id")).alias(name) for name in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.materialize(stage(spark, docs, small), name)
+        assert docs.columns == [*documents.columns, *names]
+        wrong = [F.col(column) != F.concat(F.lit(column), F.col("doc_id")) for column in names]
+        assert docs.count() > 0 and docs.where(F.greatest(*wrong)).count() == 0
+
+
+def test_language_stage_rejects_what_no_language_explains(spark, documents, small):
+    rng = random.Random(5)
+    noise = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    rejects = ["", "123 456", noise("qwzxjkvbp y", 400), noise("абвгдежзиклмнопрст ", 300),
+               noise("abcdefghijklmnopqrstuvwxyz ", 20_000), "漢字" * 100, None]
+    short = ["ok", "Xyzzy", "Ångström", "Qwq Ltd"]
+    rows = [(10**6 + i, t) for i, t in enumerate(rejects + short)]
+    planted = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.language(spark, documents.unionByName(planted, allowMissingColumns=True), small)
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert ids == {r.doc_id for r in documents.select("doc_id").collect()} | {
+        10**6 + len(rejects) + i for i in range(len(short))}
+    unlabelled = planted.withColumns({c: F.lit(None).cast("string") for c in ("lang", "source")})
+    kept = corpus_pipeline.language(spark, unlabelled, small)
+    assert {r.text for r in kept.collect()} == {t for t in rejects[2:] + short if t}
