@@ -26,7 +26,8 @@ def op2_warc(spark, sf_dir):
 
 
 def op3_mixing(spark, sf_dir):
-    return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
+    # Slot -1 where nothing is taken, as a number in every client.
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("source").fillna(-1, ["first_slot"])
 
 
 def op4_token_counts(spark, sf_dir):
@@ -113,16 +114,40 @@ targets AS (
     SELECT *, (sum(source_size) OVER () - coalesce(sum(target) OVER (), 0))::DOUBLE * w
               / sum(CASE WHEN target IS NULL THEN w END) OVER () AS share
     FROM fill WHERE step = (SELECT count(*) FROM sources))),
+plan AS (
+  SELECT *, floor(target + 0.5)::BIGINT AS take, (source_size + 511) // 512 AS blocks FROM targets),
+bounds AS (
+  SELECT *, (sum(wanted) OVER (ORDER BY source NULLS LAST) - wanted)::BIGINT AS low,
+         (sum(wanted) OVER ())::BIGINT AS total
+  FROM (SELECT *, CASE WHEN source_size = 0 THEN 0
+                       ELSE take // source_size * blocks + (take % source_size + 511) // 512 END AS wanted
+        FROM plan)),
+points AS (
+  SELECT i, total, list_sum([((i >> b) & 1) << (k - 1 - b) for b in range(k)])::BIGINT AS place
+  FROM (SELECT unnest(range(1::BIGINT << k)) AS i, k, total
+        FROM (SELECT DISTINCT total, greatest(1, length(bin(total - 1))) AS k FROM bounds WHERE total > 0))),
+slots AS (
+  SELECT source, source_size, slot, rank // blocks AS pass, rank % blocks * 512 AS low, take FROM (
+    SELECT b.*, slot, row_number() OVER (PARTITION BY b.source ORDER BY slot) - 1 AS rank
+    FROM (SELECT place, row_number() OVER (ORDER BY i) - 1 AS slot FROM points WHERE place < total) p
+    JOIN bounds b ON place >= low AND place < low + wanted)),
 placed AS (
-  SELECT s.*, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS take,
+  SELECT s.*, t.source_size, t.target, t.take,
          (sum(size) OVER (PARTITION BY s.source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id
             ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
-  FROM sized s JOIN targets t ON t.source IS NOT DISTINCT FROM s.source)
-SELECT doc_id, size, source_size, target,
+  FROM sized s JOIN plan t ON t.source IS NOT DISTINCT FROM s.source),
+firsts AS (
+  SELECT doc_id, min(slot) AS first_slot
+  FROM placed p JOIN slots s ON s.source IS NOT DISTINCT FROM p.source AND size > 0
+    AND low < start + size
+    AND least(low + 512, p.source_size, s.take - pass * p.source_size) > start
+  GROUP BY doc_id)
+SELECT p.doc_id, size, source_size, target,
        (CASE WHEN source_size = 0 THEN 0
              ELSE take // source_size * size
-                  + greatest(0, least(size, take % source_size - start)) END)::BIGINT AS taken
-FROM placed""",
+                  + greatest(0, least(size, take % source_size - start)) END)::BIGINT AS taken,
+       coalesce(first_slot, -1) AS first_slot
+FROM placed p LEFT JOIN firsts f ON f.doc_id IS NOT DISTINCT FROM p.doc_id""",
     "op7_decontamination": r"""
 WITH items AS (
   SELECT item_id, w, least(5, len(w)) AS k FROM (

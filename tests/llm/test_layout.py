@@ -135,10 +135,55 @@ def test_damaged_archive_is_refused_whatever_is_read(spark, tmp_path, damage):
         found.count()
 
 
-def test_targets():
-    assert mixing.source_targets([10, 10, 10], [1, 2, 3]) == [5, 10, 15]
-    assert mixing.source_targets([1, 1, 100], [1, 2, 3]) == [3.0, 3.0, 96.0]
-    assert mixing.source_targets([0, 0], [1, 2]) == [0.0, 0.0] and mixing.source_targets([], []) == []
+def shared_targets(sizes, weights, passes=3):
+    """Targets by hand: share by weight, cap, share the excess again."""
+    targets, open_, rest = [0.0] * len(sizes), set(range(len(sizes))), float(sum(sizes))
+    while open_:
+        weight = sum(weights[i] for i in open_)
+        share = {i: rest * weights[i] / weight for i in open_}
+        above = {i for i in open_ if share[i] > passes * sizes[i]}
+        for i in above or open_:
+            targets[i] = float(passes * sizes[i]) if above else share[i]
+        rest -= sum(targets[i] for i in above)
+        open_ = open_ - above if above else set()
+    return targets
+
+
+def test_targets(spark):
+    def targets(sizes, weights):
+        rows = spark.createDataFrame(list(enumerate(zip(sizes, map(float, weights)))),
+                                     "i int, x struct<size:long,weight:double>").select("i", "x.*")
+        return [r.target for r in mixing.source_targets(rows).orderBy("i").collect()]
+
+    assert targets([10, 10, 10], [1, 2, 3]) == [5, 10, 15]
+    assert targets([1, 1, 100], [1, 2, 3]) == [3.0, 3.0, 96.0]
+    assert targets([0, 0], [1, 2]) == [0.0, 0.0] and targets([], []) == []
+    random.seed(3)
+    sizes = [int(2 ** random.uniform(0, 30)) for _ in range(300)]
+    weights = [1 + i % 3 for i in range(300)]
+    assert targets(sizes, weights) == shared_targets(sizes, weights)
+
+
+def reversed_bits(i, bits):
+    return int(f"{i:0{bits}b}"[::-1], 2)
+
+
+def slots_by_points(plan, block):
+    """The schedule from its points, one after the other."""
+    ends, at = [], 0
+    for s, size, take in plan:
+        blocks = -(-size // block)
+        at += (take // size) * blocks + -(-(take % size) // block) if size else 0
+        ends.append((at, s, size, take, blocks))
+    bits, rank, out = max(1, (at - 1).bit_length()), defaultdict(int), []
+    for i in range(1 << bits):
+        place = reversed_bits(i, bits)
+        if place < at:
+            _, s, size, take, blocks = next(e for e in ends if place < e[0])
+            p, b = divmod(rank[s], blocks)
+            rank[s] += 1
+            out.append((len(out), s, p, b, min(block, size - b * block, take - p * size - b * block)))
+    return out
 
 
 @pytest.mark.parametrize("block", [1, 7, 512])
@@ -152,28 +197,61 @@ def test_mixing(spark, messy, clashing, documents, empty, block):
         assert sorted(((r.doc_id, r.source, r["size"]) for r in got), key=repr) == sorted(source, key=repr)
         names = sorted({s for _, s, _ in source}, key=lambda s: (s is None, s))
         total = {n: sum(z for _, s, z in source if s == n) for n in names}
-        targets = dict(zip(names, mixing.source_targets(
+        targets = dict(zip(names, shared_targets(
             [total[n] for n in names], [1 + i % 3 for i in range(len(names))])))
         taken = defaultdict(int)
         for r in got:
             taken[r.source] += r.taken
             assert r.source_size == total[r.source] and r.target == targets[r.source]
-            assert 0 <= r.taken <= 3 * r["size"]
+            assert 0 <= r.taken <= 3 * r["size"] and (r.first_slot is None) == (r.taken == 0)
         assert all(abs(taken[n] - targets[n]) <= 0.5 for n in names)
+        if df is documents:
+            by_slot = {(s, p, b): slot for slot, s, p, b, _ in slots_by_points(
+                [(n, total[n], int(targets[n] + 0.5)) for n in names], block)}
+            for n in names:
+                start = 0
+                for r in sorted((r for r in got if r.source == n),
+                                key=lambda r: hashlib.md5(str(r.doc_id).encode()).hexdigest()):
+                    assert r.taken == 0 or r.first_slot == by_slot[n, 0, start // block]
+                    start += r["size"]
         assert sorted(map(tuple, got), key=repr) == sorted(
             map(tuple, mixing.mix(df.repartition(3), block_words=block).collect()), key=repr)
     assert mixing.mix(empty).count() == 0
 
 
+PLAN = "source long, size long, take long"
+
+
+@pytest.mark.parametrize("plan, block", [
+    ([(0, 1000, 1000), (1, 1000, 2000), (2, 500, 250), (3, 0, 0)], 10),
+    ([(0, 1, 1)], 512), ([(0, 5, 15), (1, 70_000, 69_990)], 1), ([(0, 9, 0), (2, 9, 9), (5000, 30, 31)], 4)])
+def test_schedule_is_that_of_the_points(spark, plan, block):
+    got = mixing.schedule(spark.createDataFrame(plan, PLAN), block).orderBy("slot").collect()
+    assert [tuple(r) for r in got] == slots_by_points(plan, block)
+
+
 def test_schedule_interleaves(spark):
-    slots = mixing.schedule(spark, [(0, 1000, 1000), (1, 1000, 2000), (2, 500, 250), (3, 0, 0)], 10).orderBy(
-        "slot").collect()
-    assert len(slots) == len({r.slot for r in slots}) == 325  # a few numbers may be left out
+    slots = mixing.schedule(spark.createDataFrame(
+        [(0, 1000, 1000), (1, 1000, 2000), (2, 500, 250), (3, 0, 0)], PLAN), 10).orderBy("slot").collect()
+    assert [r.slot for r in slots] == list(range(325))
     assert sum(r.words for r in slots if r.source == 1) == 2000
     seen = [r.source for r in slots]
-    for n in range(13, 326, 13):
-        assert abs(seen[:n].count(1) - n * 200 / 325) < 5
+    for n in range(1, 326):
+        for s, share in ((0, 100), (1, 200), (2, 25)):
+            assert abs(seen[:n].count(s) - n * share / 325) < 5
     per_pass = defaultdict(list)
     for r in slots:
         per_pass[r.source, r["pass"]].append(r.block)
     assert all(b == list(range(len(b))) for b in per_pass.values())
+
+
+def test_mixing_of_many_sources_and_of_one_id(spark):
+    rows = spark.range(260_000).select(
+        F.when(F.col("id") < 60_000, F.lit(1)).otherwise(F.col("id")).alias("doc_id"),
+        F.expr("repeat('w ', 1 + CAST(id % 7 AS INT))").alias("text"),
+        F.when(F.col("id") >= 60_000, F.col("id").cast("string")).alias("source"))
+    got = mixing.mix(rows)
+    by_source = got.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"))
+    facts = by_source.agg(F.count("*").alias("n"), F.max(F.abs(F.col("taken") - F.col("target"))).alias("off")).first()
+    assert facts["n"] == 200_001 and facts["off"] <= 0.5
+    assert got.where("taken > 3 * size OR taken < 0").count() == 0 and got.count() == 260_000
