@@ -25,8 +25,10 @@ BLOCK_WORDS = 512
 WEIGHTS = (1, 2, 3)
 MOST_PASSES = 3
 
-# Slots in one row before they are made, and sources in one group of running sums.
+# Slots in one row before they are made, such rows in a task where there are many, and
+# sources in one group of running sums.
 CHUNK_SLOTS = 1 << 12
+CHUNKS_IN_TASK = 256
 GROUP_SOURCES = 1 << 12
 
 
@@ -95,7 +97,10 @@ def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     first = F.col("chunk") * CHUNK_SLOTS
     last = F.least(first + CHUNK_SLOTS, "wanted") - 1
     place = F.col("place")
-    slots = chunks.repartition("source", "chunk").withColumn(
+    # So many tasks, whatever the few bytes of the chunks make of it.
+    rows = total // CHUNK_SLOTS + 1
+    tasks = max(min(rows, sources.sparkSession.sparkContext.defaultParallelism), rows // CHUNKS_IN_TASK)
+    slots = chunks.repartition(tasks, "source", "chunk").withColumn(
         "place", F.explode(F.sequence(first + F.col("low"), last + F.col("low")))).select(
         "source", "size", "take", "blocks",
         _before(place, F.lit(total).cast("long"), bits).alias("slot"),
@@ -162,7 +167,8 @@ def mix(documents: DataFrame, weights: tuple = WEIGHTS, passes: int = MOST_PASSE
     last = F.expr(f"(start + size - 1) div {block_words}")
     about = ["row", "doc_id", "source_name", "size", "source_size", "target"]
     pieces = placed.select(*about, "source", "start", F.explode(F.sequence(first, last)).alias("block"))
-    slots = schedule(sources, block_words).select("source", "block", "words", "slot")
+    # Written, so that the join goes by the size of the slots and not by that of their chunks.
+    slots = materialize(schedule(sources, block_words).select("source", "block", "words", "slot"), "slots")
     low = F.greatest(F.col("start") - F.col("block") * block_words, F.lit(0))
     high = F.least(
         F.col("start") + F.col("size") - F.col("block") * block_words,
