@@ -1,8 +1,8 @@
 """Co-occurrence of distinct tokens within a line, and pointwise mutual information.
 
-Tokens that pass the minimum count get a numeric id. Pairs are counted on ids,
-once per unordered pair, and turned back into words after the minimum count has
-been applied to them.
+Tokens that pass the minimum count get a numeric id, the most frequent the least.
+Pairs are counted on ids, once per unordered pair, and turned back into words after
+the minimum count has been applied to them.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.arrays import once
 from tallyloom.functions.measures import pmi
 from tallyloom.functions.text import distinct_tokens
+from tallyloom.operators import ordinals
 from tallyloom.operators.words import line_tokens
 from tallyloom.plans.lookups import lookup
 from tallyloom.plans.ranking import best_of_each
@@ -26,8 +27,16 @@ MIN_COUNT = 10
 # A line with more distinct tokens than this is paired up in several groups.
 BLOCK_TOKENS = 256
 
-# How many pairs one task should meet.
-PAIRS_PER_TASK = 1 << 28
+# How many pairs one task should gather from lines, and how many it should count.
+PAIRS_GATHERED = 1 << 26
+PAIRS_COUNTED = 1 << 22
+
+# Pairs of these most frequent tokens are added up before they are shuffled.
+HEAD_TOKENS = 1024
+
+# Ids begin here when they travel, so that the most frequent 65 536 take two bytes.
+FIRST_ID = -(1 << 15)
+SHORT_IDS = 1 << 15
 
 # A stripe with more entries than this is stored as several maps.
 STRIPE_ENTRIES = 65536
@@ -62,7 +71,8 @@ class Vocabulary:
         if total == "frequent":
             counts = counts.where(frequent)
         # The ids are written with the words, so every later read sees the same ones.
-        stored = materialize(counts.withColumn("wid", F.monotonically_increasing_id()), "vocabulary")
+        ranked = ordinals.with_ordinals(counts.withColumn("_rarity", -F.col("n")), "_rarity", "w")
+        stored = materialize(ranked.drop("_rarity").withColumnRenamed("ordinal", "wid"), "vocabulary")
         self.words = stored.where(frequent)
         self._total = stored.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
 
@@ -102,43 +112,80 @@ def _frequent_ids(numbered: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         F.posexplode("_words").alias("_pos", "w"),
     ).withColumn("_block", F.expr(f"_pos div {BLOCK_TOKENS}").cast("int")).drop("_pos")
     frequent = vocabulary.words
-    return lookup(placed, frequent.select("w", "wid"), "w", weight=frequent.select("w", "n")).drop("w")
+    ids = frequent.select("w", (F.col("wid") + FIRST_ID).cast("int").alias("wid"))
+    return lookup(placed, ids, "w", weight=frequent.select("w", "n")).drop("w")
 
 
 def _id_pairs(lines: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
     return _pairs_of_numbered(_numbered(lines, text), vocabulary)
 
 
-def _pairs_of_numbered(numbered: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(a, b, nxy) with a < b, for the pairs that reach the minimum count.
+def _owned_ids(numbered: DataFrame, vocabulary: Vocabulary, tasks: int) -> DataFrame:
+    """(_owner, _near, _far): for each token of a line the line's more frequent ones.
 
     The ids of a line are gathered by pair of blocks. A usual line is one block;
     a very long one becomes many groups of at most two blocks. They are dealt out by
-    the number of pairs to come, which their size in bytes does not show.
+    the number of pairs to come, which their size in bytes does not show. ``_near``
+    has the ids of two bytes, ``_far`` the others; without any it is null.
     """
     ids = _frequent_ids(numbered, vocabulary)
     met = ids.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    met = met.withColumn("_low", F.least("_block", "_other")).withColumn(
-        "_high", F.greatest("_block", "_other")
+    met = met.select(
+        "_line", F.least("_block", "_other").alias("_low"), F.greatest("_block", "_other").alias("_high"),
+        (F.col("_block") <= F.col("_other")).alias("_in_low"), "wid",
     )
-    in_low = F.col("_block") == F.col("_low")
-    cores = numbered.sparkSession.sparkContext.defaultParallelism
-    tasks = max(cores, math.ceil(vocabulary.pairs_met() / PAIRS_PER_TASK))
     group = ["_line", "_low", "_high"]
+    is_short = F.col("wid") < SHORT_IDS
     groups = met.repartition(tasks, *group).groupBy(*group).agg(
-        F.collect_list(F.when(in_low, F.col("wid"))).alias("_left"),
-        F.collect_list(F.when(~in_low, F.col("wid"))).alias("_right"),
-    )
-    partners = F.when(
-        F.col("_low") == F.col("_high"), F.expr("slice(_left, _at + 2, size(_left))")
-    ).otherwise(F.col("_right"))
-    pairs = (
-        groups.select("_low", "_high", "_left", "_right", F.posexplode("_left").alias("_at", "_a"))
-        .select("_a", F.explode(partners).alias("_b"))
-        .select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+        F.sort_array(F.collect_list(F.when(F.col("_in_low"), F.col("wid")))).alias("_left"),
+        F.collect_list(F.when(~F.col("_in_low"), F.col("wid"))).alias("_right"),
+        F.sort_array(F.collect_list(F.when(
+            is_short & (F.col("_low") == F.col("_high")), F.col("wid").cast("smallint")))).alias("_short"),
     )
-    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("nxy"))
-    return counted.where(F.col("nxy") >= vocabulary.min_count)
+    owned = groups.select(
+        "_left", "_right", "_short", (F.col("_low") == F.col("_high")).alias("_alone"),
+        F.posexplode(F.concat("_left", "_right")).alias("_at", "_owner"))
+    in_left, n_short = F.col("_at") < F.size("_left"), F.size("_short")
+    others = F.when(in_left, F.col("_right")).otherwise(F.col("_left"))
+
+    def near(other: Column) -> Column:
+        return (other < F.col("_owner")) & (other < SHORT_IDS)
+
+    def far(other: Column) -> Column:
+        return (other < F.col("_owner")) & (other >= SHORT_IDS)
+
+    return owned.select(
+        "_owner",
+        F.when(F.col("_alone"), F.slice("_short", 1, F.least("_at", n_short)))
+        .otherwise(F.filter(others, near).cast("array<smallint>")).alias("_near"),
+        F.when(F.col("_alone"), F.slice("_left", n_short + 1, F.greatest(F.col("_at") - n_short, F.lit(0))))
+        .otherwise(F.filter(others, far)).alias("_far"),
+    ).where(F.size("_near") + F.size("_far") > 0).withColumn(
+        "_far", F.when(F.size("_far") > 0, F.col("_far")))
+
+
+def _pairs_of_numbered(numbered: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(a, b, nxy) with a < b, for the pairs that reach the minimum count.
+
+    A pair is counted where its rarer token is, which gets the more frequent ones of
+    each line as one array of ids. Few pairs are so frequent that adding them up first
+    would save more; those of the most frequent tokens are, and no other token has more
+    than a small share of all pairs.
+    """
+    cores, met = numbered.sparkSession.sparkContext.defaultParallelism, vocabulary.pairs_met()
+    owned = _owned_ids(numbered, vocabulary, max(cores, math.ceil(met / PAIRS_GATHERED)))
+    is_head = F.col("_owner") < FIRST_ID + HEAD_TOKENS
+    every = F.when(F.col("_far").isNull(), F.col("_near").cast("array<int>")).otherwise(
+        F.concat(F.col("_near").cast("array<int>"), "_far"))
+    of_heads = owned.where(is_head).select("_owner", F.explode(every).alias("_id"))
+    of_others = owned.where(~is_head).repartition(
+        max(cores, math.ceil(met / PAIRS_COUNTED)), "_owner").select("_owner", F.explode(every).alias("_id"))
+    counted = [
+        pairs.groupBy("_owner", "_id").agg(F.count("*").alias("nxy")).where(F.col("nxy") >= vocabulary.min_count)
+        for pairs in (of_heads, of_others)]
+    return counted[0].unionByName(counted[1]).select(
+        (F.col("_id").cast("bigint") - FIRST_ID).alias("a"),
+        (F.col("_owner").cast("bigint") - FIRST_ID).alias("b"), "nxy")
 
 
 def _named(pairs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -191,18 +238,25 @@ def stripes(lines: DataFrame, text: str = "line", min_count: int = MIN_COUNT,
     hash of the neighbour; all other words have part 0 only.
     """
     vocabulary = vocabulary or Vocabulary(lines, text, min_count)
-    counted = _id_pairs(lines, text, vocabulary)
-    pairs = materialize(_both_orders(_named(counted, vocabulary)), "pairs")
-    lengths = materialize(pairs.groupBy("x").agg(F.count("*").alias("n")), "lengths")
-    parts = lengths.select("x", F.ceil(F.col("n") / F.lit(entries)).alias("_parts"))
-    pairs = lookup(pairs, parts, "x", weight=lengths)
-    part = F.pmod(F.xxhash64("y"), F.col("_parts"))
+    counted = materialize(_id_pairs(lines, text, vocabulary), "pairs")
+    there, back = [F.struct(F.col(x).alias("_x"), F.col(y).alias("_y"), "nxy") for x, y in ("ab", "ba")]
+    pairs = counted.select(F.inline(F.array(there, back)))
+    lengths = materialize(pairs.groupBy("_x").agg(F.count("*").alias("n")), "lengths")
+    parts = lengths.select("_x", F.ceil(F.col("n") / F.lit(entries)).alias("_parts"))
+    words = vocabulary.words
+    left = words.select(F.col("wid").alias("_x"), F.col("w").alias("x"), F.col("n").alias("nx"))
+    right = words.select(F.col("wid").alias("_y"), F.col("w").alias("y"))
+    # Each word is a neighbour as often as it has neighbours.
+    met = lengths.withColumnRenamed("_x", "_y")
+    hashed = right.select("_y", F.xxhash64("y").alias("_hash"))
+    placed = lookup(lookup(pairs, parts, "_x", weight=lengths), hashed, "_y", weight=met)
+    part = F.pmod("_hash", F.col("_parts"))
+    # The pairs travel as numbers and get their words where the stripes are made.
+    dealt = placed.select("_x", part.alias("part"), "_y", "nxy").repartition("_x", "part")
+    named = lookup(lookup(dealt, right, "_y", weight=met), left, "_x", weight=lengths)
     cells = F.sort_array(F.collect_list(F.struct("y", "nxy")))
-    return (
-        pairs.withColumn("part", part)
-        .groupBy("x", "part", "nx")
-        .agg(F.map_from_entries(cells).alias("stripe"))
-    )
+    made = named.groupBy("_x", "part", "x", "nx").agg(F.map_from_entries(cells).alias("stripe"))
+    return made.select("x", "part", "nx", "stripe")
 
 
 def pairs_of_stripes(table: DataFrame) -> DataFrame:

@@ -62,6 +62,31 @@ def test_long_lines_are_paired_in_blocks(spark, random_lines, monkeypatch, block
     assert as_dict(co.pair_counts(frame, min_count=3)) == brute_pairs(random_lines, 3)
 
 
+@pytest.mark.parametrize("head, first, block", [(0, -32768, 256), (5, -6, 256), (7, -4, 3), (1000, -32768, 2)])
+def test_pairs_of_heads_and_of_short_and_long_ids(spark, random_lines, monkeypatch, head, first, block):
+    for name, value in (("HEAD_TOKENS", head), ("FIRST_ID", first), ("SHORT_IDS", max(0, -first)), ("BLOCK_TOKENS", block)):
+        monkeypatch.setattr(co, name, value)
+    monkeypatch.setattr(co, "PAIRS_COUNTED", 1000)
+    frame = lines_frame(spark, random_lines)
+    assert as_dict(co.pair_counts(frame, min_count=3)) == brute_pairs(random_lines, 3)
+    rows = co.stripes(frame, min_count=3, entries=4).collect()
+    assert {(r.x, y): n for r in rows for y, n in r.stripe.items()} == brute_pairs(random_lines, 3)
+
+
+def test_a_pair_travels_as_one_small_number(spark):
+    """A line sends an array for each token, and only to its rarer tokens."""
+    lines = [" ".join(f"w{i}" for i in range(k)) for k in range(1, 101)]
+    frame = lines_frame(spark, lines)
+    vocabulary = co.Vocabulary(frame, min_count=1)
+    ids = {r.w: r.wid for r in vocabulary.words.collect()}
+    assert [ids[f"w{i}"] for i in range(100)] == list(range(100))
+    owned = co._owned_ids(co._numbered(frame, "line"), vocabulary, 3)
+    assert dict(owned.dtypes)["_near"] == "array<smallint>" and owned.where("_far is not null").count() == 0
+    assert owned.count() == sum(k - 1 for k in range(1, 101))
+    assert owned.where("array_max(_near) >= _owner").count() == 0
+    assert owned.selectExpr("sum(size(_near))").first()[0] == sum(k * (k - 1) // 2 for k in range(1, 101))
+
+
 @pytest.mark.parametrize("total", ["frequent", "all"])
 @pytest.mark.parametrize("form", [co.pmi_pairs, co.pmi_stripes])
 def test_pmi_equals_brute_force(spark, random_lines, form, total):
