@@ -44,15 +44,16 @@ def build_graph(nodes: DataFrame, edges: DataFrame, slot_edges: int = SLOT_EDGES
         "nodes",
     )
     arrivals = edges.groupBy("dst").agg(F.count("*").alias("n"))
-    out = lookup(edges, degrees.withColumn("_slots", slots), "src",
-                 weight=degrees.withColumnRenamed("degree", "n"))
-    known = lookup(out, node_table.select(F.col("id").alias("dst"), F.col("slots").alias("dst_slots")),
+    known = lookup(edges, node_table.select(F.col("id").alias("dst"), F.col("slots").alias("dst_slots")),
                    "dst", weight=arrivals)
-    # Any slot will do; copies of an edge must not all get the same one.
-    links = known.select(
+    out = lookup(known, degrees.withColumn("_slots", slots), "src",
+                 weight=degrees.withColumnRenamed("degree", "n"))
+    # Any slot will do; copies of an edge must not all get the same one. The links of a
+    # node are written together, so they and the steps' shuffle of them take less room.
+    links = out.select(
         "src", F.floor(F.rand(7) * F.col("_slots")).cast("int").alias("slot"),
         "dst", "degree", "dst_slots",
-    )
+    ).sortWithinPartitions("src")
     return Graph(node_table, materialize(links, "links"))
 
 

@@ -9,6 +9,9 @@ from tallyloom.plans.storage import materialize
 
 BROADCAST_BYTES = 64 << 20
 
+# A task that hashes its part of a table should meet this many bytes of it.
+HASHED_BYTES = 64 << 20
+
 # A key is heavy when it holds more than one in this many rows, so there can
 # never be more heavy keys than this.
 HEAVY_SHARE = 1024
@@ -17,15 +20,17 @@ HEAVY_SHARE = 1024
 SPREAD = 4096
 
 
-def fits_broadcast(table: DataFrame, limit: int | None = None) -> bool:
-    """Measure a written table: fixed width columns plus the bytes of its strings."""
-    limit = BROADCAST_BYTES if limit is None else limit
+def measured(table: DataFrame) -> int:
+    """Bytes of a written table: fixed width columns plus the bytes of its strings."""
     row = F.lit(16 + 8 * len(table.columns))
     for name, kind in table.dtypes:
         if kind == "string":
             row = row + F.octet_length(name)
-    size = table.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
-    return size <= limit
+    return table.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
+
+
+def fits_broadcast(table: DataFrame, limit: int | None = None) -> bool:
+    return measured(table) <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, weight: DataFrame | None = None,
@@ -37,9 +42,19 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, weight: DataFrame | None
     broadcast on their own, so no task receives all rows of a heavy key.
     ``weight`` (key, n) gives the rows per key where that is already known.
     """
-    if fits_broadcast(table, limit):
+    size = measured(table)
+    if size <= (BROADCAST_BYTES if limit is None else limit):
         return rows.join(F.broadcast(table), key)
-    return heavy_key_lookup(rows, table, key, weight)
+    if weight is None:
+        rows = materialize(rows, "rows")
+        weight = rows.groupBy(key).agg(F.count("*").alias("n"))
+    sums = weight.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    if sums["n"] and sums["most"] * HEAVY_SHARE > sums["n"]:
+        return heavy_key_lookup(rows, table, key, weight)
+    # Without a heavy key the rows need no place. They are not sorted either where a
+    # task's part of the table, which has one row per key, is small.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.join(table.hint("shuffle_hash") if size <= tasks * HASHED_BYTES else table, key)
 
 
 def heavy_key_lookup(rows: DataFrame, table: DataFrame, key: str,

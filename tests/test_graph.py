@@ -261,3 +261,13 @@ def test_statistics_are_counted_as_the_steps_run(bucketed):
             assert messages == sum(d in known for found in out.values() for d in found)
             reached = {s: {d for d in found if d in known} | {s} for s, found in out.items()}
         assert [row[0] for row in statistics] == [1, 2]
+
+
+def test_links_of_a_node_are_written_together(spark, monkeypatch):
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", -1)
+    nodes = spark.range(500)
+    edges = spark.range(4000).selectExpr("id * 7 % 500 as src", "id * 13 % 600 as dst")
+    links = gr.build_graph(nodes, edges).links
+    parts = links.select(F.col("_metadata.file_name").alias("part"), F.monotonically_increasing_id().alias("at"), "src")
+    rows = [(r.part, r.src) for r in parts.orderBy("part", "at").collect()]
+    assert rows == sorted(rows) and len(rows) == edges.where("dst < 500").count()

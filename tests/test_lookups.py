@@ -28,6 +28,21 @@ def test_both_ways_give_the_same_rows(tables, monkeypatch):
     assert sorted(known.select(*usual[0].__fields__).collect()) == usual
 
 
+@pytest.mark.parametrize("hashed", [64 << 20, -1])
+def test_rows_without_a_heavy_key_are_joined_as_they_are(tables, monkeypatch, hashed):
+    rows, table = tables
+    monkeypatch.setattr(lookups, "HEAVY_SHARE", 2)
+    monkeypatch.setattr(lookups, "HASHED_BYTES", hashed)
+    usual = sorted(tuple(r) for r in rows.join(table, "k").collect())
+    counts = rows.groupBy("k").agg(F.count("*").alias("n"))
+    for weight in (None, counts):
+        found = lookups.lookup(rows, table, "k", weight=weight, limit=-1)
+        assert sorted(tuple(r) for r in found.collect()) == usual
+        plan = found._jdf.queryExecution().toString()
+        assert "_place" not in plan and ("shuffle_hash" in plan) == (hashed > 0)
+    assert lookups.lookup(rows.limit(0), table, "k", limit=-1).count() == 0
+
+
 def test_rows_of_a_heavy_key_spread_over_the_tasks(spark, tables, monkeypatch):
     rows, table = tables
     monkeypatch.setattr(lookups, "HEAVY_SHARE", 10)
