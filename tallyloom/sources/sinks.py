@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.operators import ordinals
 from tallyloom.plans.storage import materialize
 
 SHARDS = 64
@@ -16,6 +17,9 @@ SHARDS = 64
 # Rows (of a term and block) in a bucket of a keyed table.
 BUCKET_ROWS = 1 << 16
 
+# Tasks that gather the postings of a block of ordinals.
+BLOCK_TASKS = 8
+
 _MANIFEST = "version bigint, folder string, inputs array<string>"
 
 
@@ -101,6 +105,29 @@ def write_index(index: DataFrame, path: str, shards: int = SHARDS) -> None:
     _laid_out(index, shards).write.mode("overwrite").partitionBy("shards", "shard").parquet(path)
 
 
+def write_postings(frequencies: DataFrame, path: str, documents: int,
+                   block_docs: int = ordinals.BLOCK_DOCS, shards: int = SHARDS) -> None:
+    """Store the ordinal index of (term, doc_id, tf, ordinal) rows, as ``write_index`` would.
+
+    Postings are shuffled once, to the task of their shard and block of ordinals, which
+    gathers, sorts and writes the terms of it. ``documents`` tells how many ordinals
+    there are, so that tasks grow in number and not in size.
+    """
+    cores = frequencies.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, -(-documents // block_docs) * BLOCK_TASKS)
+    key = ["shards", "shard", "block"]
+    placed = (
+        frequencies.withColumn("block", ordinals.block_of("ordinal", block_docs))
+        .withColumn("shards", F.lit(shards))
+        .withColumn("shard", shard_of(F.col("term"), F.col("shards")))
+        .repartition(tasks, "shard", "block")
+    )
+    index = placed.groupBy(*key, "term").agg(
+        F.sort_array(F.collect_list(F.struct("ordinal", "doc_id", "tf"))).alias("postings"))
+    index.select("term", "block", "postings", "shards", "shard").sortWithinPartitions(
+        "shard", "term", "block").write.mode("overwrite").partitionBy("shards", "shard").parquet(path)
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -49,6 +49,21 @@ def sparse(spark, tmp_path_factory):
     return sinks.read_index(spark, folder), {t: set(held) for t, held in lists.items()}
 
 
+def test_postings_are_stored_as_an_index_would_be(spark, tmp_path):
+    """The same rows in the same shards, with one shuffle, and no task for a whole frequent term."""
+    draw = random.Random(2)
+    docs = spark.createDataFrame([(n * 31 - 900, " ".join(["all", *draw.choices("abcdefgh", k=n % 5)]))
+                                  for n in range(400)], "doc_id bigint, text string")
+    frequencies = postings.term_frequencies(ordinals.with_ordinals(docs, "doc_id"), besides=("ordinal",))
+    sinks.write_index(postings.ordinal_index(frequencies, block_docs=32), f"{tmp_path}/index")
+    sinks.write_postings(frequencies, f"{tmp_path}/once", 400, block_docs=32)
+    usual, once = (sinks.read_index(spark, f"{tmp_path}/{name}") for name in ("index", "once"))
+    assert usual.dtypes == once.dtypes
+    assert sorted(usual.collect()) == sorted(once.collect()) and once.count() > 13
+    files = once.where("term = 'all'").select("_metadata.file_path").distinct().count()
+    assert files > 4
+
+
 def test_bitmaps_answer_as_sets_do(sparse):
     index, sets = sparse
     a, b, c, d = (sets[t] for t in "abcd")
