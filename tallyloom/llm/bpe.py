@@ -2,12 +2,16 @@
 
 A text is cut into words by the pattern of the vocabulary. A word that is no token
 itself starts as its single bytes; a fold over it then merges, as long as there is
-one, the leftmost adjacent pair of least rank. Ranks come from a literal map. Bytes
-are written as hexadecimal digits, so that a piece is a string and pieces are joined
-by concatenation. Decoding concatenates the bytes of the ids.
+one, the leftmost adjacent pair of least rank. Ranks come from literal maps. A piece is
+the rank of its token, and a map from two ranks to that of the joined token says what a
+merge gives. Words of very many bytes are folded as a string of ranks. Tokens that merging
+does not lead to, which a training does not make, are looked up before. Decoding
+concatenates the bytes of the ids.
 
-A literal map is an array of small maps, chosen by a checksum of the key, since a
-lookup in one map goes over all its entries.
+The map of pairs is one table in which each first rank has an offset: the entry is at the
+offset plus the second rank, and says whose it is. So a lookup reads two array elements
+and makes no string. The literal map of strings is an array of small maps, chosen by a
+checksum of the key, since a lookup in one map goes over all its entries.
 
 The frequent distinct words of a sample are folded once each; their ids form a table
 of bounded size. Texts are exploded into words, joined to that table by broadcast, and
@@ -68,6 +72,58 @@ def literal_map(entries: dict[str, int]) -> tuple[Column, int]:
     return F.from_json(F.lit(json.dumps(parts)), "array<map<string,int>>"), buckets
 
 
+def pair_table(ranks: dict[bytes, int]) -> tuple[list[int | None], list[int | None], int]:
+    """Offsets by first rank, entries by place, and bits, for the pairs that join to a token.
+
+    The pair (a, b) is at offsets[a] + b if the entry there without its lower ``bits`` is a;
+    those are the rank of the joined token. Else it joins to none. The ranks with most pairs
+    are placed first, each at the first offset that fits.
+    """
+    pairs: dict[int, dict[int, int]] = {}
+    for token, rank in ranks.items():
+        for at in range(1, len(token)):
+            first, second = ranks.get(token[:at]), ranks.get(token[at:])
+            if first is not None and second is not None:
+                pairs.setdefault(first, {})[second] = rank
+    bits = max(ranks.values()).bit_length()
+    entries = np.full(1 << 16, -1)
+    offsets: list[int | None] = [None] * (max(ranks.values()) + 1)
+    begin, size = 0, None
+    for first, row in sorted(pairs.items(), key=lambda item: (-len(item[1]), item[0])):
+        seconds = np.array(sorted(row))
+        steps = seconds - seconds[0]
+        if len(row) != size:
+            begin, size = 0, len(row)
+        while True:
+            while begin + steps[-1] + 4096 > len(entries):
+                entries = np.append(entries, np.full(len(entries), -1))
+            starts = begin + np.flatnonzero(entries[begin:begin + 4096] < 0)
+            for step in steps[1:]:
+                starts = starts[entries[starts + step] < 0]
+            if len(starts):
+                break
+            begin += 4096
+        entries[starts[0] + steps] = [first << bits | row[b] for b in seconds.tolist()]
+        offsets[first] = int(starts[0] - seconds[0])
+    end = int(np.flatnonzero(entries >= 0).max(initial=-1)) + 1
+    return offsets, [entry if entry >= 0 else None for entry in entries[:end].tolist()], bits
+
+
+def unmerged(ranks: dict[bytes, int]) -> dict[bytes, int]:
+    """The tokens that merging their bytes does not lead to; none in the ranks of a training."""
+    def merged(token: bytes) -> int:
+        pieces = [token[i:i + 1] for i in range(len(token))]
+        while len(pieces) > 1:
+            found = [(rank, i) for i in range(len(pieces) - 1)
+                     if (rank := ranks.get(pieces[i] + pieces[i + 1])) is not None]
+            if not found:
+                break
+            at = min(found)[1]
+            pieces[at:at + 2] = [pieces[at] + pieces[at + 1]]
+        return len(pieces)
+    return {token: rank for token, rank in ranks.items() if merged(token) > 1}
+
+
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of a value that is computed once, however often ``use`` names it."""
     return F.transform(F.array(value), use)[0]
@@ -144,15 +200,35 @@ class Vocabulary:
         classes, self.added = character_classes(spark)
         self.pattern = java_pattern(pattern, classes)
         self.plain = java_pattern(pattern, {r"\s": classes[r"\s"], r"\p{L}": r"\p{L}", r"\p{N}": r"\p{N}"})
-        self.ranks, self.buckets = literal_map({token.hex().upper(): rank for token, rank in ranks.items()})
         pieces = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             pieces[rank] = token
         self.pieces = spark.sparkContext.broadcast(pieces)
+        single = [ranks[bytes([i])] for i in range(256)]
+        offsets, entries, self.bits = pair_table(ranks)
+        self.offsets, self.entries, self.single = (
+            F.from_json(F.lit(json.dumps(part)), f"array<{kind}>")
+            for part, kind in ((offsets, "int"), (entries, "bigint"), (single, "int")))
+        self.codes = F.from_json(F.lit(json.dumps(
+            [i.to_bytes(4, "little").hex().upper() for i in range(len(pieces))])), "array<string>")
+
+        others = unmerged(ranks)
+        self.whole = literal_map({token.hex().upper(): rank for token, rank in others.items()}) if others else None
 
-    def with_ranks(self, use: Callable[[Callable[[Column], Column]], Column]) -> Column:
-        """``use`` of the function that looks up the rank of a token in hexadecimal digits."""
-        return bound(self.ranks, lambda ranks: use(lookup_in(ranks, self.buckets)))
+    def with_pairs(self, use: Callable[[Callable[[Column, Column], Column]], Column]) -> Column:
+        """``use`` of the function that looks up the rank to which two ranks join.
+
+        Where they join to none, it is null or not below ``no_rank``.
+        """
+        def pair(offsets: Column, entries: Column) -> Callable[[Column, Column], Column]:
+            # The bits of a first rank vanish only from its own entries.
+            return lambda a, b: F.get(entries, F.get(offsets, a) + b).bitwiseXOR(
+                F.shiftleft(a.cast("bigint"), self.bits))
+        return bound(self.offsets, lambda o: bound(self.entries, lambda e: use(pair(o, e))))
+
+    @property
+    def no_rank(self) -> Column:
+        return F.lit(1 << self.bits).cast("bigint")
 
     def words(self, text: Column) -> Column:
         """The matches of the pattern in the text; none in a null text.
@@ -164,70 +240,94 @@ class Vocabulary:
         return F.when(text.rlike(f"[\\x{{{self.added:x}}}-\\x{{10ffff}}]"), found[0]).otherwise(found[1])
 
 
-def _fold_pieces(single: Column, rank: Callable[[Column], Column]) -> Column:
-    """The merged pieces of an array of single bytes."""
+def _fold_pieces(single: Column, pair: Callable[[Column, Column], Column], no_rank: Column) -> Column:
+    """The merged ranks of an array of the ranks of single bytes.
+
+    A merge writes over the left piece and drops the right one: slices would take most of the time.
+    """
     def step(pieces: Column) -> Column:
-        def merge(i: Column) -> Column:
-            return F.when(i.isNull(), pieces).otherwise(F.concat(
-                F.slice(pieces, F.lit(1), i - 1), F.array(F.concat(F.get(pieces, i - 1), F.get(pieces, i))),
-                F.slice(pieces, i + 2, F.size(pieces))))
-        ranks = F.zip_with(pieces, F.slice(pieces, F.lit(2), F.size(pieces)), lambda a, b: rank(F.concat(a, b)))
-        return bound(ranks, lambda r: bound(F.array_position(r, F.array_min(r)).cast("int"), merge))
+        def merge(least: Column, at: Column) -> Column:
+            return F.filter(F.transform(pieces, lambda piece, i: F.when(i == at, least.cast("int")).when(i != at + 1, piece)),
+                            lambda piece: piece.isNotNull())
+        ranks = F.transform(pieces, lambda piece, i: pair(piece, F.get(pieces, i + 1)))
+        return bound(ranks, lambda r: bound(F.array_min(r), lambda least: F.when(
+            least < no_rank, bound(F.array_position(r, least).cast("int") - 1, lambda at: merge(least, at))
+        ).otherwise(pieces)))
     return F.aggregate(F.sequence(F.lit(2), F.size(single)), single, lambda pieces, _: step(pieces))
 
 
-def _fold_string(digits: Column, rank: Callable[[Column], Column]) -> Column:
-    """The merged pieces of a long word, kept as one string with each piece in brackets.
+def _fold_string(single: Column, pair: Callable[[Column, Column], Column], no_rank: Column) -> Column:
+    """The merged ranks of a long word, kept as one string with each rank in brackets.
 
     All places of the least pair are merged in a step, from left to right. This is
     what merging one after the other gives, unless a merge makes a pair of lower
     rank; then only the first place is merged.
     """
+    def joined(a: Column, b: Column) -> Column:
+        return bound(pair(a, b), lambda rank: F.when(rank < no_rank, rank.cast("int")))
+
+    def pieces_of(string: Column) -> Column:
+        return F.regexp_extract_all(string, F.lit("[0-9]+"), F.lit(0)).cast("array<int>")
+
     def seen(string: Column) -> Column:
         """The string with the rank of its least pair and its pieces a and b."""
         def of(pieces: Column) -> Column:
-            ranks = F.zip_with(pieces, F.slice(pieces, F.lit(2), F.size(pieces)), lambda a, b: rank(F.concat(a, b)))
+            ranks = F.transform(pieces, lambda piece, i: joined(piece, F.get(pieces, i + 1)))
             return bound(ranks, lambda r: bound(F.array_position(r, F.array_min(r)).cast("int"), lambda i: F.struct(
                 string.alias("s"), F.array_min(r).alias("least"), F.get(pieces, i - 1).alias("a"),
                 F.get(pieces, i).alias("b"))))
-        return bound(F.regexp_extract_all(string, F.lit("[0-9A-F]+"), F.lit(0)), of)
+        return bound(pieces_of(string), of)
+
+    def bracketed(*pieces: Column) -> Column:
+        return F.concat(*(F.concat(F.lit("["), piece.cast("string"), F.lit("]")) for piece in pieces))
 
     def step(state: Column) -> Column:
-        a, b, least = state["a"], state["b"], state["least"]
-        pair = F.concat(F.lit("["), a, F.lit("]["), b, F.lit("]"))
-        one = F.concat(F.lit("["), a, b, F.lit("]"))
-        first = F.overlay(state["s"], one, F.instr(state["s"], pair), F.length(pair))
+        least = state["least"]
+        two, one = bracketed(state["a"], state["b"]), bracketed(least)
+        first = F.overlay(state["s"], one, F.instr(state["s"], two), F.length(two))
 
         def check(new: Column) -> Column:
-            between = rank(F.concat(a, b, a))
+            between = joined(least, state["a"])
             later = (new["least"].isNull() | (new["least"] > least)) & (between.isNull() | (between > least))
             return F.when(later, new).otherwise(bound(first, seen))
         return F.when(least.isNull(), state).otherwise(
-            bound(bound(F.replace(state["s"], pair, one), seen), check))
+            bound(bound(F.replace(state["s"], two, one), seen), check))
+
+    start = bound(F.concat(F.lit("["), F.array_join(single.cast("array<string>"), "]["), F.lit("]")), seen)
+    steps = F.sequence(F.lit(2), F.size(single))
+    return pieces_of(F.aggregate(steps, start, lambda s, _: step(s))["s"])
+
+
+def _single_bytes(data: Column, single: Column) -> Column:
+    """The ranks of the single bytes of a binary, read as characters of one byte each."""
+    return F.transform(F.split(F.decode(data, "ISO-8859-1"), ""), lambda c: F.get(single, F.ascii(c)))
+
 
-    start = bound(F.regexp_replace(digits, "(..)", "[$1]"), seen)
-    steps = F.sequence(F.lit(2), (F.length(digits) / 2).cast("int"))
-    return F.regexp_extract_all(F.aggregate(steps, start, lambda s, _: step(s))["s"], F.lit("[0-9A-F]+"), F.lit(0))
+def fold_bytes(data: Column, vocabulary: Vocabulary) -> Column:
+    """The ids that merging the bytes of a word leads to, as an array of int."""
+    def merged(pair: Callable[[Column, Column], Column]) -> Column:
+        return bound(bound(vocabulary.single, lambda single: _single_bytes(data, single)), lambda s: F.when(
+            F.size(s) > LONG_BYTES, _fold_string(s, pair, vocabulary.no_rank)).otherwise(
+                _fold_pieces(s, pair, vocabulary.no_rank)))
+    return vocabulary.with_pairs(merged)
 
 
-def fold(word: Column, rank: Callable[[Column], Column]) -> Column:
-    """The ids of one word, as an array of int. ``rank`` looks up the rank of a token."""
-    def of_hex(digits: Column) -> Column:
-        single = F.regexp_extract_all(digits, F.lit(".."), F.lit(0))
-        pieces = F.when(F.length(digits) > 2 * LONG_BYTES, _fold_string(digits, rank)).otherwise(
-            bound(single, lambda s: _fold_pieces(s, rank)))
-        return bound(rank(digits), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(
-            F.transform(pieces, rank)))
-    return bound(F.hex(F.encode(word, "UTF-8")), of_hex)
+def fold(word: Column, vocabulary: Vocabulary) -> Column:
+    """The ids of one word, as an array of int: that of the whole word if it is a token."""
+    def of_bytes(data: Column) -> Column:
+        if vocabulary.whole is None:
+            return fold_bytes(data, vocabulary)
+        entries, buckets = vocabulary.whole
+        whole = bound(entries, lambda ranks: lookup_in(ranks, buckets)(F.hex(data)))
+        return bound(whole, lambda w: F.when(w.isNotNull(), F.array(w)).otherwise(fold_bytes(data, vocabulary)))
+    return bound(F.encode(word, "UTF-8"), of_bytes)
 
 
 def code(word: Column, vocabulary: Vocabulary) -> Column:
     """The ids of a word as little-endian unsigned numbers of 32 bits, one after the other."""
-    def of(ids: Column) -> Column:
-        swapped = F.transform(ids, lambda i: F.lpad(F.hex(i.cast("long")), 8, "0"))
-        return F.unhex(F.array_join(F.transform(swapped, lambda h: F.concat(
-            *(F.substring(h, at, 2) for at in (7, 5, 3, 1)))), ""))
-    return vocabulary.with_ranks(lambda rank: bound(fold(word, rank), of))
+    digits = bound(vocabulary.codes, lambda codes: F.array_join(
+        F.transform(fold(word, vocabulary), lambda i: F.get(codes, i)), ""))
+    return F.unhex(digits)
 
 
 def frequent_words(texts: DataFrame, vocabulary: Vocabulary, rows: int = SAMPLE_ROWS,

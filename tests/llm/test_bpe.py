@@ -80,3 +80,35 @@ def test_words_beyond_the_table_are_folded(spark, documents, library, monkeypatc
         [], "word string, code binary"))
     few = documents.where(F.length("text") < 2000)
     assert as_rows(coded(few)) == expected(few.select("doc_id", "text").collect(), library)
+
+
+@pytest.mark.parametrize("case", ["few", "many", "whole"])
+def test_pairs_join_to_the_token_of_both(case):
+    """The table has each pair that joins to a token, and no other."""
+    ranks = {bytes([i]): i for i in range(256)}
+    if case == "few":
+        ranks |= {b"ab": 70000, b"abc": 256, b"bc": 69999}
+    elif case == "many":
+        ranks |= {bytes([a, b]): 1000 + 256 * a + b for a in (0, 97, 255) for b in range(256)}
+    else:
+        ranks = bpe.read_ranks(PATH)
+    offsets, entries, bits = bpe.pair_table(ranks)
+    found = {(e >> bits, place - offsets[e >> bits]): e & (1 << bits) - 1
+             for place, e in enumerate(entries) if e is not None}
+    tokens = {rank: token for token, rank in ranks.items()}
+    assert all(tokens[a] + tokens[b] == tokens[rank] for (a, b), rank in found.items())
+    splits = [(t[:i], t[i:]) for t in ranks for i in range(1, len(t))]
+    assert set(found) == {(ranks[a], ranks[b]) for a, b in splits if a in ranks and b in ranks}
+
+
+def test_only_tokens_that_merging_misses_are_looked_up(spark, tmp_path):
+    """A plan mentions no literal map of all tokens."""
+    import base64
+    assert bpe.Vocabulary(spark, PATH, public_tokenizers.PATTERN).whole is None
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b"xyz": 257}
+    path = tmp_path / "own.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in ranks.items()))
+    vocabulary = bpe.Vocabulary(spark, str(path), public_tokenizers.PATTERN)
+    words = spark.createDataFrame([("ab",), ("xyz",), ("xyza",), ("aab",)], "word string")
+    found = words.select(bpe.fold(F.col("word"), vocabulary).alias("ids")).collect()
+    assert [row.ids for row in found] == [[256], [257], [120, 121, 122, 97], [97, 256]]
