@@ -7,15 +7,23 @@ the blocks of a term, read in order, are its postings list in document order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.arrays import once
 from tallyloom.functions.text import index_tokens
 from tallyloom.operators import ordinals
+from tallyloom.plans.lookups import fits_broadcast
+from tallyloom.plans.storage import materialize
 
 BLOCK_DOCS = 65536
 
+# A posting of a block is gathered as one number, the upper bits of which are its id.
+TF_BITS = 32
+
+# Maps of more entries than this are made apart from the many small ones.
+SMALL_MAP = 1024
+
 # Numbers that pass from block to block do so within this many blocks first.
 STRETCH_BLOCKS = 65536
 
@@ -48,14 +56,36 @@ def term_stats(frequencies: DataFrame) -> DataFrame:
 
 
 def inverted_index(frequencies: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """(term, block, postings) with postings an array of (doc_id, tf) in id order."""
-    # Never NULL, so that plans which use the index twice can share its shuffle.
+    """(term, block, postings) with postings an array of (doc_id, tf) in id order.
+
+    A posting is gathered and sorted as one number, its id within the block and its tf.
+    One that is none, without an id or with a tf beyond 31 bits, is gathered as it is.
+    """
     block = F.coalesce(F.expr(f"doc_id div {block_docs}"), F.lit(0))
-    return (
-        frequencies.withColumn("block", block)
-        .groupBy("term", "block")
-        .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
+    place = F.col("doc_id").cast("bigint") - block * block_docs
+    half = 1 << (TF_BITS - 1)
+    fits = F.coalesce(F.col("tf").between(0, half - 1) & place.between(-half, half - 1), F.lit(False))
+    # Made once and in compiled code: an aggregate would make it anew for each of its functions.
+    posting = once(F.struct(
+        block.alias("block"),
+        F.when(fits, F.shiftleft(place, TF_BITS) + F.col("tf")).alias("packed"),
+        F.when(~fits, F.struct("doc_id", "tf")).alias("other"),
+    )).alias("posting")
+    gathered = frequencies.select("term", posting).groupBy("term", F.col("posting.block").alias("block")).agg(
+        F.sort_array(F.collect_list("posting.packed")).alias("_packed"),
+        F.collect_list("posting.other").alias("_others"),
     )
+    kinds = dict(frequencies.dtypes)
+
+    def unpacked(number: Column) -> Column:
+        return F.struct(
+            (F.col("block") * block_docs + F.shiftright(number, TF_BITS)).cast(kinds["doc_id"]).alias("doc_id"),
+            number.bitwiseAND(F.lit(half - 1)).cast(kinds["tf"]).alias("tf"),
+        )
+
+    postings = F.transform("_packed", unpacked)
+    return gathered.select("term", "block", F.when(F.size("_others") == 0, postings).otherwise(
+        F.sort_array(F.concat(postings, "_others"))).alias("postings"))
 
 
 def ordinal_index(frequencies: DataFrame, block_docs: int = ordinals.BLOCK_DOCS) -> DataFrame:
@@ -72,8 +102,15 @@ def ordinal_index(frequencies: DataFrame, block_docs: int = ordinals.BLOCK_DOCS)
 
 
 def wide_rows(index: DataFrame) -> DataFrame:
-    """(term, block, cells): each block as a map from document to frequency."""
-    return index.select("term", "block", F.map_from_entries("postings").alias("cells"))
+    """(term, block, cells): each block as a map from document to frequency.
+
+    Small maps and large ones are made by functions of their own, since a function that
+    has made a large map takes as much time to get ready for each map that follows.
+    """
+    small = F.map_from_arrays("postings.doc_id", "postings.tf")
+    cells = F.when(F.size("postings") <= SMALL_MAP, small).otherwise(F.map_from_entries("postings"))
+    return index.select("term", "block", once(F.col("postings")).alias("postings")).select(
+        "term", "block", once(cells).alias("cells"))
 
 
 def postings_of(index: DataFrame) -> DataFrame:
@@ -92,19 +129,28 @@ def _over_earlier_blocks(blocks: DataFrame, value: str, total) -> DataFrame:
     """(term, block, near, far): ``total`` of the values in the earlier blocks of the term.
 
     It is taken in two levels, ``near`` over the blocks of the same stretch and
-    ``far`` over the stretches before, so that no task orders all blocks of a term.
+    ``far`` over the stretches before, so that no task orders all blocks of a term. A
+    term's first block has no row.
     """
     near = Window.partitionBy("term", "stretch").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
     far = Window.partitionBy("term").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    placed = blocks.withColumn(
+    # Written, so that both levels read the numbers and do not make the blocks again.
+    placed = materialize(blocks.withColumn(
         "stretch", F.coalesce(F.expr(f"block div {STRETCH_BLOCKS}"), F.lit(0))
-    )
+    ), "numbers")
     stretches = placed.groupBy("term", "stretch").agg(total(value).alias("_all"))
     stretches = stretches.select("term", "stretch", total("_all").over(far).alias("far"))
     inside = placed.select("term", "block", "stretch", total(value).over(near).alias("near"))
-    return inside.join(stretches, ["term", "stretch"]).drop("stretch")
+    later = stretches.where(F.col("far").isNotNull())
+    found = inside.join(later, ["term", "stretch"], "left").drop("stretch")
+    return materialize(found.where(F.col("near").isNotNull() | F.col("far").isNotNull()), "earlier")
+
+
+def _with_earlier(blocks: DataFrame, earlier: DataFrame) -> DataFrame:
+    """The blocks with the columns of ``earlier``, null for the first block of a term."""
+    return blocks.join(F.broadcast(earlier) if fits_broadcast(earlier) else earlier, ["term", "block"], "left")
 
 
 def gap_index(index: DataFrame) -> DataFrame:
@@ -113,13 +159,15 @@ def gap_index(index: DataFrame) -> DataFrame:
     The first id of a term counts from zero. Only one number per block, its last
     id, travels between the blocks of a term.
     """
+    # Written once, as it is read for the ends and for the gaps.
+    index = materialize(index.select("term", "block", "postings"), "index")
     ends = index.select("term", "block", F.element_at("postings", -1)["doc_id"].alias("last"))
     before = _over_earlier_blocks(ends, "last", F.max).select(
-        "term", "block", F.coalesce(F.greatest("near", "far"), F.lit(0)).alias("previous")
+        "term", "block", F.greatest("near", "far").alias("previous")
     )
-    gap = "p.doc_id - if(i = 0, previous, postings[i - 1].doc_id)"
+    gap = "p.doc_id - if(i = 0, coalesce(previous, 0), postings[i - 1].doc_id)"
     gaps = F.expr(f"transform(postings, (p, i) -> struct({gap} as gap, p.tf as tf))")
-    return index.join(before, ["term", "block"]).select("term", "block", once(gaps).alias("gaps"))
+    return _with_earlier(index, before).select("term", "block", once(gaps).alias("gaps"))
 
 
 def from_gaps(gaps: DataFrame) -> DataFrame:
@@ -133,12 +181,12 @@ def from_gaps(gaps: DataFrame) -> DataFrame:
     )
     base = F.coalesce("near", F.lit(0)) + F.coalesce("far", F.lit(0))
     bases = _over_earlier_blocks(spans, "span", F.sum).select("term", "block", base.alias("base"))
-    cells = gaps.select("term", "block", F.posexplode("gaps").alias("at", "cell"))
-    ids = cells.select(
-        "term", "block", F.sum("cell.gap").over(in_block).alias("offset"), "cell.tf"
+    # Blocks get their base before they become cells.
+    cells = _with_earlier(gaps, bases).select(
+        "term", "block", F.coalesce("base", F.lit(0)).alias("base"), F.posexplode("gaps").alias("at", "cell")
     )
-    return ids.join(bases, ["term", "block"]).select(
-        "term", (F.col("base") + F.col("offset")).alias("doc_id"), "tf"
+    return cells.select(
+        "term", (F.col("base") + F.sum("cell.gap").over(in_block)).alias("doc_id"), "cell.tf"
     )
 
 

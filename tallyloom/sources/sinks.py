@@ -83,16 +83,17 @@ def shard_of(term: Column, shards: Column) -> Column:
 
 
 def _laid_out(index: DataFrame, shards: int) -> DataFrame:
-    """Range partitions by shard, term and block; a heavy term spans several of them.
+    """Partitions by shard and block, sorted by term; a heavy term spans several of them.
 
-    The number of shards is stored with the rows, so that a lookup need not know it.
+    They are dealt out by hash: ranges would have to be sampled, for which the index would
+    be made twice. The number of shards is stored with the rows, so that a lookup need not
+    know it.
     """
-    order = ["shard", "term", "block"]
     return (
         index.withColumn("shards", F.lit(shards))
         .withColumn("shard", shard_of(F.col("term"), F.col("shards")))
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        .repartition("shard", "block")
+        .sortWithinPartitions("shard", "term", "block")
     )
 
 

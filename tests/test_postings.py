@@ -82,6 +82,41 @@ def test_wide_rows_hold_the_postings(documents, expected):
     assert as_dict(po.postings_of(index)) == expected
 
 
+@pytest.mark.parametrize("kind", ["bigint", "int"])
+@pytest.mark.parametrize("block", [po.BLOCK_DOCS, 7])
+def test_postings_of_any_ids_and_counts_are_kept(spark, kind, block):
+    """Negative, missing and extreme ids, and counts that do not fit into a packed number."""
+    most = 2**63 - 1 if kind == "bigint" else 2**31 - 1
+    ids = [None, -most - 1, -9, -7, -1, 0, 6, 7, 65536, most]
+    rows = [(term, i, tf) for term in "ab" for i in ids for tf in [(len(str(i)), most, None, -1)[len(term + str(i)) % 4]]]
+    frequencies = spark.createDataFrame(rows, f"term string, doc_id {kind}, tf {kind}")
+    index = po.inverted_index(frequencies, block)
+    assert dict(index.dtypes)["postings"] == f"array<struct<doc_id:{kind},tf:{kind}>>"
+    lists = [row.postings for row in index.collect()]
+    assert sorted(map(str, rows)) == sorted(str((r.term, *p)) for r in index.collect() for p in r.postings)
+    assert all([p.doc_id for p in found] == sorted((p.doc_id for p in found), key=lambda i: (i is not None, i or 0))
+               for found in lists)
+
+
+def test_wide_rows_make_small_and_large_maps_apart(documents, expected, monkeypatch):
+    monkeypatch.setattr(po, "SMALL_MAP", 2)
+    index = po.inverted_index(po.term_frequencies(documents), 1000)
+    rows = po.wide_rows(index)
+    assert as_dict(po.postings_of(rows)) == expected
+    sizes = [len(r.cells) for r in rows.collect()]
+    assert min(sizes) <= 2 < max(sizes)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "map_from_arrays" in plan and "map_from_entries" in plan
+
+
+def test_gaps_and_layout_make_the_index_once(documents):
+    index = po.inverted_index(po.term_frequencies(documents), 1000)
+    for coded in (po.gap_index(index), po.from_gaps(po.gap_index(index))):
+        assert "collect_list" not in coded._jdf.queryExecution().executedPlan().toString()
+    # A range partition would be sampled first, for which its rows are made as well.
+    assert "rangepartitioning" not in sinks._laid_out(index, 4)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_tf_histogram(documents, expected):
     found = {(r.term, r.tf): r.n_docs for r in po.tf_histogram(po.term_frequencies(documents), ["w0", "w9"]).collect()}
     assert found == Counter((t, n) for (t, _), n in expected.items() if t in ("w0", "w9"))
