@@ -175,14 +175,15 @@ def from_gaps(gaps: DataFrame) -> DataFrame:
     in_block = (
         Window.partitionBy("term", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     )
+    gaps = materialize(gaps, "gaps")
     spans = gaps.select(
         "term", "block",
         F.aggregate("gaps", F.lit(0).cast("bigint"), lambda s, g: s + g["gap"]).alias("span"),
     )
     base = F.coalesce("near", F.lit(0)) + F.coalesce("far", F.lit(0))
     bases = _over_earlier_blocks(spans, "span", F.sum).select("term", "block", base.alias("base"))
-    # Blocks get their base before they become cells.
-    cells = _with_earlier(gaps, bases).select(
+    # Blocks get their base and place before they become cells, which are many more rows.
+    cells = _with_earlier(gaps.repartition("term", "block"), bases).sortWithinPartitions("term", "block").select(
         "term", "block", F.coalesce("base", F.lit(0)).alias("base"), F.posexplode("gaps").alias("at", "cell")
     )
     return cells.select(
