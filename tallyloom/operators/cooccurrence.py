@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.arrays import once
 from tallyloom.functions.measures import pmi
 from tallyloom.functions.text import distinct_tokens
-from tallyloom.operators import ordinals
+from tallyloom.operators import ordinals, pair_blocks
 from tallyloom.operators.words import line_tokens
 from tallyloom.plans.lookups import lookup
 from tallyloom.plans.ranking import best_of_each
@@ -88,6 +88,10 @@ class Vocabulary:
     def size(self) -> int:
         return self.words.count()
 
+    def places(self) -> int:
+        """How often frequent tokens are in lines, each once in a line."""
+        return self.words.agg(F.sum("n").alias("n")).first()["n"] or 0
+
     def pairs_met(self) -> int:
         """An upper bound of the pairs of frequent tokens that occur in lines."""
         return (self.words.agg(F.sum("partners").alias("n")).first()["n"] or 0) // 2
@@ -167,12 +171,28 @@ def _owned_ids(numbered: DataFrame, vocabulary: Vocabulary, tasks: int) -> DataF
 def _pairs_of_numbered(numbered: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(a, b, nxy) with a < b, for the pairs that reach the minimum count.
 
+    Many pairs are counted in blocks, to which a line's ids travel a few times, and few
+    pairs where their tokens are, to which they travel as often as they meet.
+    """
+    cores = numbered.sparkSession.sparkContext.defaultParallelism
+    met = vocabulary.pairs_met()
+    if met <= cores * PAIRS_COUNTED:
+        return _pairs_of_owners(numbered, vocabulary, cores, met)
+    ids = _frequent_ids(numbered, vocabulary).select("_line", (F.col("wid") - FIRST_ID).alias("wid"))
+    lines = ids.repartition(max(cores, math.ceil(met / PAIRS_GATHERED)), "_line").groupBy("_line").agg(
+        F.sort_array(F.collect_list("wid")).alias("_ids"))
+    groups = pair_blocks.groups_for(vocabulary.places(), cores)
+    return pair_blocks.pair_counts(lines, "_ids", groups, vocabulary.min_count)
+
+
+def _pairs_of_owners(numbered: DataFrame, vocabulary: Vocabulary, cores: int, met: int) -> DataFrame:
+    """The pairs, each counted at its rarer token.
+
     A pair is counted where its rarer token is, which gets the more frequent ones of
     each line as one array of ids. Few pairs are so frequent that adding them up first
     would save more; those of the most frequent tokens are, and no other token has more
     than a small share of all pairs.
     """
-    cores, met = numbered.sparkSession.sparkContext.defaultParallelism, vocabulary.pairs_met()
     owned = _owned_ids(numbered, vocabulary, max(cores, math.ceil(met / PAIRS_GATHERED)))
     is_head = F.col("_owner") < FIRST_ID + HEAD_TOKENS
     every = F.when(F.col("_far").isNull(), F.col("_near").cast("array<int>")).otherwise(

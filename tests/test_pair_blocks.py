@@ -1,0 +1,89 @@
+import itertools
+import os
+import random
+import subprocess
+import sys
+from collections import Counter
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from tallyloom.operators import cooccurrence as co
+from tallyloom.operators import pair_blocks
+
+
+@pytest.fixture(scope="module")
+def rows():
+    chance = random.Random(3)
+    usual = [{int(chance.paretovariate(0.4)) % 700 for _ in range(chance.randint(0, 40))} for _ in range(300)]
+    return [sorted(ids) for ids in (*usual, range(0, 900, 3), [5], [70_000, 3_000_000], [70_000, 3_000_000])]
+
+
+def frame_of(spark, rows):
+    return spark.createDataFrame([(ids,) for ids in rows], "ids array<int>").repartition(5)
+
+
+def lines_frame(spark, lines):
+    return spark.createDataFrame([(line,) for line in lines], "line string")
+
+
+@pytest.mark.parametrize("held", [1, 50, 1 << 21])
+@pytest.mark.parametrize("groups", [1, 2, 7])
+@pytest.mark.parametrize("least", [1, 3])
+def test_pairs_in_blocks_equal_brute_force(spark, rows, monkeypatch, held, groups, least):
+    """Whether ids are counted by sorting or densely, at once or in portions."""
+    usual = rows if held > 50 else rows[:120] + rows[-4:-2]
+    monkeypatch.setattr(pair_blocks, "PASS_PAIRS", held)
+    monkeypatch.setattr(pair_blocks, "ROWS_RETURNED", 64)
+    found = [tuple(r) for r in pair_blocks.pair_counts(frame_of(spark, usual), "ids", groups, least).collect()]
+    every = Counter(pair for ids in usual for pair in itertools.combinations(ids, 2))
+    assert sorted(found) == sorted((a, b, n) for (a, b), n in every.items() if n >= least)
+
+
+def test_no_row_gives_no_pair(spark):
+    for rows in ([], [[]], [[4], [2], []]):
+        assert pair_blocks.pair_counts(frame_of(spark, rows), "ids", 3).count() == 0
+
+
+def test_an_id_travels_once_for_each_group(spark):
+    """Partners of a line's tokens took 200 * 199 / 2 short numbers, its ids take 6 * 200."""
+    lines = lines_frame(spark, [" ".join(f"w{i}" for i in range(200))] * 50)
+    vocabulary = co.Vocabulary(lines)
+    owned = co._owned_ids(co._numbered(lines, "line"), vocabulary, 3)
+    before = 2 * owned.selectExpr("sum(size(_near))").first()[0]
+    rows = frame_of(spark, [list(range(200))] * 50)
+    pieces = pair_blocks.pieces(rows, "ids", 6)
+    assert vocabulary.places() == 50 * 200
+    bytes_of_ids = pieces.agg(F.sum(F.octet_length("ids"))).first()[0]
+    assert bytes_of_ids == 50 * 200 and 6 * bytes_of_ids * 16 < before
+
+
+def test_blocks_follow_the_cores_and_the_ids():
+    assert [pair_blocks.groups_for(1000, cores) for cores in (1, 8, 12)] == [2, 6, 7]
+    many = 700_000_000
+    groups = pair_blocks.groups_for(many, 12)
+    assert groups == 21 and 2 * 2 * many / groups <= pair_blocks.BLOCK_BYTES * 1.05
+
+
+def test_many_pairs_are_counted_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(co, "PAIRS_COUNTED", 0)
+    chance = random.Random(11)
+    words = [f"w{i}" for i in range(60)]
+    lines = [" ".join(chance.sample(words, chance.randint(0, 25))) for _ in range(150)]
+    pairs = Counter(p for line in lines for p in itertools.permutations(line.split(), 2))
+    frame = lines_frame(spark, lines)
+    made = []
+    monkeypatch.setattr(pair_blocks, "pair_counts", lambda *a, f=pair_blocks.pair_counts: made.append(a) or f(*a))
+    expected = {p: n for p, n in pairs.items() if n >= 12}
+    assert {(r.x, r.y): r.nxy for r in co.pair_counts(frame, min_count=12).collect()} == expected and expected
+    assert co.pair_total(frame, min_count=12).first()[0] == len(expected)
+    assert len(made) == 2
+
+
+def test_executors_need_no_copy_of_the_package():
+    load = "import sys; from pyspark import cloudpickle; print(cloudpickle.loads(sys.stdin.buffer.read()).__name__)"
+    elsewhere = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    sent = cloudpickle.dumps(pair_blocks._counter(3, 1))
+    found = subprocess.run([sys.executable, "-c", load], input=sent, cwd="/", env=elsewhere, capture_output=True)
+    assert found.stdout.split() == [b"count"], found.stderr
