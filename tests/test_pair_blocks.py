@@ -81,6 +81,22 @@ def test_many_pairs_are_counted_in_blocks(spark, monkeypatch):
     assert len(made) == 2
 
 
+def few_words(count):
+    chance = random.Random(count)
+    words = [f"w{i}" for i in range(50)]
+    return [" ".join(chance.sample(words, chance.randint(0, 20))) for _ in range(count)]
+
+
+@pytest.mark.parametrize("form, total", [(co.pmi_pairs, "frequent"), (co.pmi_pairs, "all")])
+def test_scores_of_many_pairs(spark, monkeypatch, form, total):
+    """The same scores, whether pairs are counted at their tokens or in blocks."""
+    frame = lines_frame(spark, few_words(90))
+    plain = {(r.x, r.y): r.pmi for r in form(frame, min_count=9, total=total).collect()}
+    monkeypatch.setattr(co, "PAIRS_COUNTED", 0)
+    monkeypatch.setattr(co, "_pairs_of_owners", None)
+    assert {(r.x, r.y): r.pmi for r in form(frame, min_count=9, total=total).collect()} == plain and plain
+
+
 def test_executors_need_no_copy_of_the_package():
     load = "import sys; from pyspark import cloudpickle; print(cloudpickle.loads(sys.stdin.buffer.read()).__name__)"
     elsewhere = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
