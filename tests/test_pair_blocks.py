@@ -97,6 +97,18 @@ def test_scores_of_many_pairs(spark, monkeypatch, form, total):
     assert {(r.x, r.y): r.pmi for r in form(frame, min_count=9, total=total).collect()} == plain and plain
 
 
+@pytest.mark.parametrize("entries", [65536, 3])
+def test_stripes_of_many_pairs(spark, monkeypatch, entries):
+    lines = few_words(80)
+    pairs = Counter(p for line in lines for p in itertools.permutations(line.split(), 2))
+    monkeypatch.setattr(co, "PAIRS_COUNTED", 0)
+    monkeypatch.setattr(co, "_pairs_of_owners", None)
+    rows = co.stripes(lines_frame(spark, lines), min_count=8, entries=entries).collect()
+    found = [((r.x, y), n) for r in rows for y, n in r.stripe.items()]
+    assert sorted(found) == sorted((p, n) for p, n in pairs.items() if n >= 8) and found
+    assert (max(r.part for r in rows) > 0) == (entries == 3)
+
+
 def test_executors_need_no_copy_of_the_package():
     load = "import sys; from pyspark import cloudpickle; print(cloudpickle.loads(sys.stdin.buffer.read()).__name__)"
     elsewhere = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
