@@ -91,6 +91,9 @@ def links(prints: DataFrame) -> DataFrame:
     Two fingerprints share many variants. The pair comes from one of them: that of
     the first segment with at most one differing bit, with that bit wiped out, or
     its lowest bit if the segments are equal.
+
+    Spark takes the variants of a fingerprint for one row and would broadcast all of them
+    where the fingerprints are small, so both sides are shuffled.
     """
     indexed = prints.select("fp", F.explode(variants()).alias("key"))
     a = indexed.select(F.col("fp").alias("a"), "key")
@@ -102,7 +105,7 @@ def links(prints: DataFrame) -> DataFrame:
         bit = F.when(part == 0, F.lit(0)).otherwise(F.bit_count(part - 1)) + s * 32
         close = F.bit_count(part) <= 1
         tag = F.when(close, bit) if tag is None else tag.when(close, bit)
-    return a.join(b, "key").where(
+    return a.join(b.hint("merge"), "key").where(
         (F.col("a") < F.col("b")) & (F.bit_count(differ) <= MOST_BITS)
         & (F.shiftright("key", 32) == tag)).select("a", "b")
 

@@ -10,8 +10,10 @@ import public_tokenizers
 import pytest
 import xxhash
 from llm.conftest import rows_of
+from pyspark.sql import functions as F
 
 from tallyloom.llm import common, decontamination, language_id, repeats, simhash, token_counts, toxicity
+from tallyloom.plans.storage import materialize
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -165,6 +167,13 @@ def test_every_pair_of_close_fingerprints_links_once(spark):
     assert len(found) == len(expected) and {tuple(r) for r in found} == expected
 
 
+def test_variants_of_fingerprints_are_not_broadcast(spark):
+    """Spark takes all variants of a small table for no larger than the table."""
+    prints = materialize(spark.range(3000).select(F.xxhash64("id").alias("fp")))
+    plan = simhash.links(prints)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201)] * 2
