@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.plans.lookups import BROADCAST_BYTES
+from tallyloom.plans.lookups import BROADCAST_BYTES, measured
 from tallyloom.plans.storage import materialize
 
 # What separates words, as a Java and Python pattern of a word.
@@ -31,27 +31,12 @@ def utf8_bytes(text: str) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
-def table_bytes(table: DataFrame) -> int:
-    """Measured bytes of a written table of numbers, strings, binaries and arrays of them."""
-    row = F.lit(16 + 8 * len(table.columns)).cast("long")
-    for name, kind in table.dtypes:
-        if kind in ("string", "binary"):
-            row = row + F.coalesce(F.octet_length(name), F.lit(0))
-        elif kind in ("array<binary>", "array<string>"):
-            inner = F.aggregate(F.transform(name, lambda x: F.octet_length(x).cast("long") + 16),
-                                F.lit(0).cast("long"), lambda a, x: a + x)
-            row = row + F.coalesce(inner, F.lit(0))
-        elif kind.startswith("array"):
-            row = row + 8 * F.greatest(F.size(name), F.lit(0))
-    return table.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
-
-
 def small_side(table: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """A written table, marked for broadcast if it measures below the limit.
 
     Beyond the limit the join shuffles both sides; the rows are the same.
     """
-    return F.broadcast(table) if table_bytes(table) <= limit else table
+    return F.broadcast(table) if measured(table) <= limit else table
 
 
 def running_totals(ordered: DataFrame, size: str) -> DataFrame:

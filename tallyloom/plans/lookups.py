@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.plans.storage import materialize
 
@@ -20,12 +21,29 @@ HEAVY_SHARE = 1024
 SPREAD = 4096
 
 
+def _bytes_of(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value beside the eight that any value takes in its row."""
+    none = F.lit(0).cast("long")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value).cast("long"), none)
+    if isinstance(kind, T.StructType):
+        row = F.lit(8 + 8 * len(kind.fields)).cast("long")
+        for field in kind.fields:
+            row = row + _bytes_of(value.getField(field.name), field.dataType)
+        return row
+    if isinstance(kind, T.ArrayType):
+        if not isinstance(kind.elementType, (T.StringType, T.BinaryType, T.StructType, T.ArrayType)):
+            return 8 * F.greatest(F.size(value).cast("long"), none)
+        inner = F.transform(value, lambda x: _bytes_of(x, kind.elementType) + 16)
+        return F.coalesce(F.aggregate(inner, none, lambda a, x: a + x), none)
+    return none
+
+
 def measured(table: DataFrame) -> int:
-    """Bytes of a written table: fixed width columns plus the bytes of its strings."""
-    row = F.lit(16 + 8 * len(table.columns))
-    for name, kind in table.dtypes:
-        if kind == "string":
-            row = row + F.octet_length(name)
+    """Bytes of the rows of a written table of numbers, strings, binaries, and structs and arrays of them."""
+    row = F.lit(16 + 8 * len(table.columns)).cast("long")
+    for field in table.schema.fields:
+        row = row + _bytes_of(F.col(f"`{field.name}`"), field.dataType)
     return table.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
 
 

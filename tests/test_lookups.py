@@ -65,6 +65,19 @@ def test_size_is_measured(tables):
     assert lookups.fits_broadcast(table.where(F.lit(False)), 0)
 
 
+def test_structs_and_arrays_are_measured(spark):
+    """A row, its columns, the fields of structs and what strings and elements hold."""
+    rows = spark.createDataFrame(
+        [((1, "four"), [b"abc", None], [(7, "xy")], [[1, 2]], b"12"), (None,) * 5],
+        "`a.b` struct<id:long,text:string>, bins array<binary>, cells array<struct<n:long,s:string>>, "
+        "lists array<array<int>>, raw binary")
+    fixed = 2 * (16 + 8 * 5)
+    assert lookups.measured(rows) == fixed + (24 + 4 + 24) + (16 + 3 + 16) + (16 + 24 + 2) + (16 + 16) + 2
+    ids = spark.range(1000).select(F.struct("id", F.xxhash64("id").alias("text")).alias("_key"))
+    assert lookups.measured(ids) == 1000 * (24 + 24)
+    assert not lookups.fits_broadcast(ids, 1000 * 24)
+
+
 def test_spread_leaves_wide_inputs_alone(spark):
     wide = spark.range(0, 100, 1, 9)
     assert spread(wide) is wide
