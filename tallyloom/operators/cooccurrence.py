@@ -18,6 +18,7 @@ from tallyloom.functions.measures import pmi
 from tallyloom.functions.text import distinct_tokens
 from tallyloom.operators import ordinals, pair_blocks
 from tallyloom.operators.words import line_tokens
+from tallyloom.plans import lookups
 from tallyloom.plans.lookups import lookup
 from tallyloom.plans.ranking import best_of_each
 from tallyloom.plans.storage import materialize
@@ -97,15 +98,19 @@ class Vocabulary:
         return (self.words.agg(F.sum("partners").alias("n")).first()["n"] or 0) // 2
 
 
-def _numbered(lines: DataFrame, text: str) -> DataFrame:
+def _with_numbers(lines: DataFrame, text: str) -> DataFrame:
     """(_words, _line): the distinct tokens of each line that has several.
 
-    Lines are numbered here and written with their numbers, since nothing that the
-    caller has in other columns need tell them apart.
+    Lines are numbered here, since nothing that the caller has in other columns need tell
+    them apart.
     """
     words = lines.select(once(distinct_tokens(F.col(text))).alias("_words"))
-    return materialize(
-        words.where(F.size("_words") > 1).withColumn("_line", F.monotonically_increasing_id()), "lines")
+    return words.where(F.size("_words") > 1).withColumn("_line", F.monotonically_increasing_id())
+
+
+def _numbered(lines: DataFrame, text: str) -> DataFrame:
+    """The same, written with their numbers, for plans that shuffle them or read them repeatedly."""
+    return materialize(_with_numbers(lines, text), "lines")
 
 
 def _frequent_ids(numbered: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -121,9 +126,17 @@ def _frequent_ids(numbered: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def _id_pairs(lines: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
+    """(a, b, nxy) of lines, which are written only where few pairs are counted from them."""
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    if vocabulary.pairs_met() > cores * PAIRS_COUNTED:
+        return _pairs_of_numbered(_with_numbers(lines, text), vocabulary)
     return _pairs_of_numbered(_numbered(lines, text), vocabulary)
 
 
+def _ids_of(vocabulary: Vocabulary) -> DataFrame:
+    return vocabulary.words.select("w", F.col("wid").cast("int").alias("wid"))
+
+
 def _owned_ids(numbered: DataFrame, vocabulary: Vocabulary, tasks: int) -> DataFrame:
     """(_owner, _near, _far): for each token of a line the line's more frequent ones.
 
@@ -171,20 +184,45 @@ def _owned_ids(numbered: DataFrame, vocabulary: Vocabulary, tasks: int) -> DataF
 def _pairs_of_numbered(numbered: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(a, b, nxy) with a < b, for the pairs that reach the minimum count.
 
-    Many pairs are counted in blocks, to which a line's ids travel a few times, and few
-    pairs where their tokens are, to which they travel as often as they meet.
+    Many pairs are counted in blocks, for which ids are written once and read a few times,
+    and few pairs where their tokens are, to which ids travel as often as they meet.
     """
     cores = numbered.sparkSession.sparkContext.defaultParallelism
     met = vocabulary.pairs_met()
     if met <= cores * PAIRS_COUNTED:
         return _pairs_of_owners(numbered, vocabulary, cores, met)
-    ids = _frequent_ids(numbered, vocabulary).select("_line", (F.col("wid") - FIRST_ID).alias("wid"))
-    lines = ids.repartition(max(cores, math.ceil(met / PAIRS_GATHERED)), "_line").groupBy("_line").agg(
-        F.sort_array(F.collect_list("wid")).alias("_ids"))
     groups = pair_blocks.groups_for(vocabulary.places(), cores)
+    placed = numbered.select("_line", F.explode("_words").alias("w"))
+    ids = _ids_of(vocabulary)
+    if lookups.fits_broadcast(ids):
+        # The ids of a line stay together where the words are looked up without a shuffle.
+        placed = placed.join(F.broadcast(ids), "w")
+        return pair_blocks.pair_counts(placed, "wid", groups, vocabulary.min_count, "_line")
+    lines = _ids_of_lines(placed, vocabulary).repartition(
+        max(cores, math.ceil(met / PAIRS_GATHERED)), "_line").groupBy("_line").agg(
+        F.flatten(F.collect_list("_ids")).alias("_ids"))
     return pair_blocks.pair_counts(lines, "_ids", groups, vocabulary.min_count)
 
 
+def _ids_of_lines(placed: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(_line, _ids): the ids of lines in one or several rows, for a vocabulary of any size.
+
+    As many of the most frequent words as can be broadcast are looked up where they are, and
+    the lines are written as ids. Only their other words, which are few, are shuffled.
+    """
+    ids = _ids_of(vocabulary)
+    first = ids.agg(F.min("wid").alias("first")).first()["first"]
+    end = first + vocabulary.size() * lookups.BROADCAST_BYTES // lookups.measured(ids)
+    near = placed.join(F.broadcast(ids.where(F.col("wid") < end)), "w", "left")
+    coded = materialize(pair_blocks.gathered(
+        near.select("_line", F.col("wid").alias("_ids"), F.when(F.col("wid").isNull(), F.col("w")).alias("_rest")),
+        "_line", "_ids", "_rest"), "coded")
+    weight = vocabulary.words.where(F.col("wid") >= end).select("w", "n")
+    rest = lookup(coded.select("_line", F.explode("_rest").alias("w")), ids.where(F.col("wid") >= end), "w", weight)
+    return coded.where(F.size("_ids") > 0).select("_line", "_ids").unionByName(
+        rest.select("_line", F.array("wid").alias("_ids")))
+
+
 def _pairs_of_owners(numbered: DataFrame, vocabulary: Vocabulary, cores: int, met: int) -> DataFrame:
     """The pairs, each counted at its rarer token.
 

@@ -1,9 +1,10 @@
 """Pairs of ids that meet in rows, counted in blocks of the id by id matrix.
 
-Ids fall into groups by their remainder, and two groups are a block. A task gets the ids of
-its two groups, row by row and in as few bytes as they need, and counts all pairs of the
-block. So an id is shuffled once for each group and not once for each id that it meets, and
-the groups are as many as a task's memory or the cluster's cores ask for.
+Ids fall into groups by their remainder, and two groups are a block. Each id is written once,
+to its group's place of a shuffle, row by row and in as few bytes as it needs. A task reads
+two such places and counts all pairs of half a block, that of the even or of the odd ids on
+one side; a block of one group is not halved. So ids on disk do not grow with the groups,
+which are as many as a task's memory or the cluster's cores ask for.
 
 What runs in tasks is defined inside of functions, so that it travels whole and executors
 need no copy of this package.
@@ -16,7 +17,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +29,9 @@ PASS_PAIRS = 1 << 21
 
 ROWS_RETURNED = 1 << 17
 
+# Ids of whole rows that are cut into one piece for each group.
+PIECE_IDS = 1 << 20
+
 _PIECE = "batch bigint, part int, counts binary, counts_width int, ids binary, ids_width int"
 
 
@@ -38,48 +41,109 @@ def groups_for(ids: int, cores: int) -> int:
     return max(math.ceil(4 * ids / BLOCK_BYTES), math.ceil(math.sqrt(4 * cores + 0.25) - 0.5), 1)
 
 
-def pieces(rows: DataFrame, ids: str, groups: int) -> DataFrame:
-    """For each Arrow batch of rows and each group: how many ids of the group a row has, and
-    these ids, divided by the number of groups. The ids of a row are sorted and not negative."""
+def _whole_lines(enough: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, pa.Table]]]:
+    """What makes of rows, whose first column is their line, tables of whole lines with at
+    least so many rows, and the place of each row's line in its table."""
+
+    def numbered(table: pa.Table) -> tuple[np.ndarray, pa.Table]:
+        line = table.column(0).to_numpy()
+        return np.cumsum(np.diff(line, prepend=line[0]) != 0), table
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.Table]]:
+        held, size, most = [], 0, enough
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= most:
+                table = pa.Table.from_batches(held)
+                starts = np.flatnonzero(np.diff(table.column(0).to_numpy())) + 1
+                end = int(starts[-1]) if len(starts) else 0
+                if end:
+                    yield numbered(table.slice(0, end))
+                held, size = table.slice(end).to_batches(), size - end
+                most = max(enough, 2 * size)
+        if size:
+            yield numbered(pa.Table.from_batches(held))
+
+    return whole
+
+
+def gathered(rows: DataFrame, line: str, ids: str, words: str) -> DataFrame:
+    """(line, ids, words): what of either is not null in the rows of a line, which are next to
+    each other in one partition. Nothing is shuffled."""
+    whole = _whole_lines(PIECE_IDS)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, table in whole(batches):
+            lists = []
+            for column in table.columns[1:]:
+                there = column.is_valid().to_numpy()
+                ends = np.cumsum(np.bincount(row[there], minlength=int(row[-1]) + 1))
+                values = pa.concat_arrays(column.drop_null().chunks or [pa.array([], column.type)])
+                lists.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), values))
+            first = np.flatnonzero(np.diff(row, prepend=-1))
+            yield pa.RecordBatch.from_arrays([pa.array(table.column(0).to_numpy()[first]), *lists], [line, ids, words])
+
+    return rows.select(line, ids, words).mapInArrow(
+        gather, f"{line} bigint, {ids} array<int>, {words} array<string>")
+
+
+def pieces(rows: DataFrame, ids: str, groups: int, line: str | None = None) -> DataFrame:
+    """For each batch of rows and each group: how many ids of the group a row has, and these
+    ids, sorted and divided by the number of groups. Ids are not negative and distinct in a row.
+
+    ``ids`` is a column of arrays or, with ``line``, of single ids: those of a line are then
+    next to each other in one partition. A batch has whole rows.
+    """
     kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.int32()]
     names = [column.split()[0] for column in _PIECE.split(", ")]
+    whole = _whole_lines(PIECE_IDS)
 
     def packed(values: np.ndarray) -> tuple[bytes, int]:
         """All lowest bytes, then all next ones: few are above zero there."""
         width = max(1, math.ceil(int(values.max()).bit_length() / 8))
         return b"".join((values >> 8 * k).astype(np.uint8).tobytes() for k in range(width)), width
 
+    def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The row of each id, and the ids."""
+        before = 0
+        for batch in batches:
+            lists = batch.column(0)
+            row = np.repeat(np.arange(len(lists)) + before, lists.value_lengths().to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(row), lists.flatten()], names=["row", "id"])
+            before += len(lists)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for number, batch in enumerate(batches):
-            lists = batch.column(0)
-            found = lists.flatten().to_numpy()
-            row = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+        for number, (row, table) in enumerate(whole(batches if line else flat(batches))):
+            found = table.column(1).to_numpy().astype(np.int64)
+            rows, above = int(row[-1]) + 1, int(found.max()) + 1
+            row, found = np.divmod(np.sort(row * above + found), above)
             part = found % groups
             order = np.argsort(part, kind="stable")
             ends = np.cumsum(np.bincount(part, minlength=groups))[:-1]
             cuts = []
             for at, (own, own_row) in enumerate(zip(np.split(found[order] // groups, ends), np.split(row[order], ends))):
                 if len(own):
-                    counts = np.bincount(own_row, minlength=len(lists))
+                    counts = np.bincount(own_row, minlength=rows)
                     cuts.append(((task << 32) + number, at, *packed(counts), *packed(own)))
-            if cuts:
-                columns = [pa.array(values, kind) for values, kind in zip(zip(*cuts), kinds)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+            columns = [pa.array(values, kind) for values, kind in zip(zip(*cuts), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.select(ids).mapInArrow(cut, _PIECE)
+    return rows.select(*[line] if line else [], ids).mapInArrow(cut, _PIECE)
 
 
 def _counter(groups: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """What counts a block. A part is the ids of its two groups in one batch of rows: left
-    ids and the ends of their rows, right ids, the ends and the sizes of their rows. In a
-    block of one group, an id meets those before it in its row."""
+    """What counts a block, or half of it. A part is the ids of its two groups in one batch of
+    rows: left ids and the ends of their rows, right ids, the ends and the sizes of their rows.
+    In a block of one group, an id meets those before it in its row."""
     most, returned = PASS_PAIRS, ROWS_RETURNED
 
-    def unpacked(values: bytes, width: int) -> np.ndarray:
+    def unpacked(values: pa.BinaryScalar, width: int) -> np.ndarray:
         kind = (np.uint8, np.uint16, np.uint32, np.uint32)[width - 1]
-        found = np.zeros(len(values) // width, kind)
-        for k, part in enumerate(np.frombuffer(values, np.uint8).reshape(width, -1)):
+        every = np.frombuffer(values.as_buffer(), np.uint8).reshape(width, -1)
+        found = np.zeros(every.shape[1], kind)
+        for k, part in enumerate(every):
             found |= part.astype(kind) << 8 * k
         return found
 
@@ -87,8 +151,8 @@ def _counter(groups: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], It
         """Where the partners of entries of the left group begin, and how many they are."""
         left, left_ends, right, right_ends, sizes = part
         row = np.searchsorted(left_ends, entries, "right")
-        start = right_ends[row] - sizes[row]
-        return start, entries - start if left is right else sizes[row]
+        start = right_ends[row].astype(np.int64) - sizes[row]
+        return start, entries - start if left is right else sizes[row].astype(np.int64)
 
     def keys(part: tuple, first: int, end: int, width: int) -> Iterator[np.ndarray]:
         """A number for each pair whose left id is in the range, in portions of a pass."""
@@ -140,22 +204,49 @@ def _counter(groups: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], It
                 yield pair // width + first, pair % width, n
             first = end
 
+    def met_rows(own: np.ndarray, own_sizes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> tuple | None:
+        """A part of the rows that have ids on both sides."""
+        both = (own_sizes > 0) & (sizes > 0)
+        if not both.any():
+            return None
+        own, ids = own[np.repeat(both, own_sizes)], ids[np.repeat(both, sizes)]
+        sizes = sizes[both]
+        return (own, np.cumsum(own_sizes[both], dtype=np.int32), ids, np.cumsum(sizes, dtype=np.int32), sizes)
+
+    def alone(own: np.ndarray, sizes: np.ndarray) -> tuple | None:
+        """A part of a block of one group, of the rows with several ids."""
+        several = sizes > 1
+        if not several.any():
+            return None
+        own, sizes = own[np.repeat(several, sizes)], sizes[several]
+        ends = np.cumsum(sizes, dtype=np.int32)
+        return own, ends, own, ends, sizes
+
+    def halved(own: np.ndarray, sizes: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
+        """The even or the odd ids, divided by two."""
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        wanted = own & 1 == half
+        return own[wanted] >> 1, np.bincount(row[wanted], minlength=len(sizes))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides: dict[int, dict[int, tuple]] = {}
-        low = high = 0
+        parts, low, high, half, step = [], 0, 0, 0, 1
         for batch in batches:
-            for low, high, number, part, sizes, sizes_width, ids, width in zip(
-                    *[column.to_pylist() for column in batch.columns]):
-                sides.setdefault(part, {})[number] = unpacked(ids, width), unpacked(sizes, sizes_width)
-        left, right = sides.get(low, {}), sides.get(high, {})
-        parts = []
-        for number in left:
-            if number in right:
-                (own, own_sizes), (ids, sizes) = left[number], right[number]
-                parts.append((own, np.cumsum(own_sizes, dtype=np.int64), ids,
-                              np.cumsum(sizes, dtype=np.int64), sizes.astype(np.int64)))
+            for at in range(batch.num_rows):
+                first, second, *sides = [column[at] for column in batch.columns]
+                low, high = first.as_py(), second.as_py()
+                left, right = [(unpacked(ids, width.as_py()), unpacked(sizes, sizes_width.as_py()))
+                               for sizes, sizes_width, ids, width in (sides[:4], sides[4:])]
+                if low == high:
+                    part = alone(*left)
+                else:
+                    half, step = int(low > high), 2
+                    if half:
+                        low, high, left, right = high, low, right, left
+                    part = met_rows(*halved(*left, half), *right)
+                if part:
+                    parts.append(part)
         for own, other, n in counted(parts) if parts else ():
-            own, other = own * groups + low, other * groups + high
+            own, other = (own * step + half) * groups + low, other * groups + high
             for at in range(0, len(n), returned):
                 some = slice(at, at + returned)
                 yield pa.RecordBatch.from_arrays(
@@ -165,16 +256,17 @@ def _counter(groups: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], It
     return count
 
 
-def pair_counts(rows: DataFrame, ids: str, groups: int, least: int = 1) -> DataFrame:
+def pair_counts(rows: DataFrame, ids: str, groups: int, least: int = 1, line: str | None = None) -> DataFrame:
     """(a, b, nxy) with a < b: the number of rows that hold both ids, if it is at least ``least``.
 
-    ``ids`` are sorted integers, distinct in their row and not negative. Every block is one
-    partition, so nothing is added up after it.
+    ``ids`` and ``line`` are as for ``pieces``. A group is one partition of one shuffle, and a
+    task reads two of them, so that nothing is added up after it.
     """
-    met = pieces(rows, ids, groups).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    placed = met.select(
-        F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
-        "batch", "part", "counts", "counts_width", "ids", "ids_width")
-    block = F.expr("cast(high * (high + 1) div 2 + low as int)")
-    return placed.repartitionById(groups * (groups + 1) // 2, block).mapInArrow(
-        _counter(groups, least), "a bigint, b bigint, nxy bigint")
+    dealt = pieces(rows, ids, groups, line).repartitionById(groups, F.col("part"))
+    sides = ["part", "counts", "counts_width", "ids", "ids_width"]
+    left, right = (dealt.select(F.col("batch").alias(f"batch_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in sides))
+                   for k in "lr")
+    # By this hint, a task is a pair of partitions; else both sides were shuffled again.
+    met = left.join(right.hint("shuffle_replicate_nl"), F.col("batch_l") == F.col("batch_r")).select(
+        "part_l", "part_r", *(f"{c}_{k}" for k in "lr" for c in sides[1:]))
+    return met.mapInArrow(_counter(groups, least), "a bigint, b bigint, nxy bigint")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import cooccurrence as co
 from tallyloom.operators import pair_blocks
+from tallyloom.plans import lookups
 
 
 @pytest.fixture(scope="module")
@@ -115,3 +116,48 @@ def test_executors_need_no_copy_of_the_package():
     sent = cloudpickle.dumps(pair_blocks._counter(3, 1))
     found = subprocess.run([sys.executable, "-c", load], input=sent, cwd="/", env=elsewhere, capture_output=True)
     assert found.stdout.split() == [b"count"], found.stderr
+
+
+def skewed_lines(count):
+    chance = random.Random(count)
+    return [" ".join(sorted({f"w{int(chance.paretovariate(0.6)) % 90}" for _ in range(chance.randint(0, 30))},
+                            key=lambda w: chance.random())) for _ in range(count)]
+
+
+@pytest.mark.parametrize("held", [40, 1 << 20])
+@pytest.mark.parametrize("limit", [0, 1200, 1 << 26])
+def test_words_that_cannot_be_broadcast(spark, monkeypatch, held, limit):
+    """The same pairs, whether all, some or none of the words are looked up where they are."""
+    monkeypatch.setattr(co, "PAIRS_COUNTED", 0)
+    monkeypatch.setattr(co, "_pairs_of_owners", None)
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(pair_blocks, "PIECE_IDS", held)
+    lines = skewed_lines(200)
+    pairs = Counter(p for line in lines for p in itertools.permutations(line.split(), 2))
+    found = {(r.x, r.y): r.nxy for r in co.pair_counts(lines_frame(spark, lines).repartition(3)).collect()}
+    assert found == {p: n for p, n in pairs.items() if n >= 10} and found
+
+
+def test_ids_are_shuffled_once(spark):
+    """They were shuffled once for each group: 21 blocks of six groups got six copies."""
+    rows = frame_of(spark, [list(range(200))] * 50)
+    counted = pair_blocks.pair_counts(rows, "ids", 6)
+    assert counted.count() == 200 * 199 // 2
+    plan = counted.select("a")
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert text.count("REPARTITION_BY_NUM") <= 1 or text.count("ReusedExchange") >= 1
+    assert "CartesianProduct" in text and "Generate" not in text
+
+
+def test_pieces_have_whole_lines(spark, monkeypatch):
+    monkeypatch.setattr(pair_blocks, "PIECE_IDS", 5)
+    lines = [(i * 7, j) for i, n in enumerate((3, 1, 12, 4, 2, 2)) for j in range(n)]
+    frame = spark.createDataFrame(lines, "line bigint, id int").coalesce(1)
+    cut = pair_blocks.pieces(frame, "id", 2, "line").collect()
+    assert sum(len(r.ids) for r in cut) == 24 and len({r.batch for r in cut}) > 1
+    assert sorted(c for r in cut if r.part == 0 for c in r.counts) == [1, 1, 1, 2, 2, 6]
+    words = frame.selectExpr("line", "if(id % 2 = 0, id, null) as even", "if(id % 3 = 1, string(id), null) as third")
+    made = {r.line: (list(r.even), list(r.third)) for r in pair_blocks.gathered(words, "line", "even", "third").collect()}
+    assert made == {i * 7: ([j for j in range(n) if j % 2 == 0], [str(j) for j in range(n) if j % 3 == 1])
+                    for i, n in enumerate((3, 1, 12, 4, 2, 2))}
