@@ -125,11 +125,11 @@ def _frequent_ids(numbered: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return lookup(placed, ids, "w", weight=frequent.select("w", "n")).drop("w")
 
 
-def _id_pairs(lines: DataFrame, text: str, vocabulary: Vocabulary) -> DataFrame:
+def _id_pairs(lines: DataFrame, text: str, vocabulary: Vocabulary, named: bool = False) -> DataFrame:
     """(a, b, nxy) of lines, which are written only where few pairs are counted from them."""
     cores = lines.sparkSession.sparkContext.defaultParallelism
     if vocabulary.pairs_met() > cores * PAIRS_COUNTED:
-        return _pairs_of_numbered(_with_numbers(lines, text), vocabulary)
+        return _pairs_of_numbered(_with_numbers(lines, text), vocabulary, named)
     return _pairs_of_numbered(_numbered(lines, text), vocabulary)
 
 
@@ -181,11 +181,12 @@ def _owned_ids(numbered: DataFrame, vocabulary: Vocabulary, tasks: int) -> DataF
         "_far", F.when(F.size("_far") > 0, F.col("_far")))
 
 
-def _pairs_of_numbered(numbered: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+def _pairs_of_numbered(numbered: DataFrame, vocabulary: Vocabulary, named: bool = False) -> DataFrame:
     """(a, b, nxy) with a < b, for the pairs that reach the minimum count.
 
     Many pairs are counted in blocks, for which ids are written once and read a few times,
-    and few pairs where their tokens are, to which ids travel as often as they meet.
+    and few pairs where their tokens are, to which ids travel as often as they meet. If
+    ``named``, pairs whose words cannot be broadcast get them and (nx, ny) in the blocks.
     """
     cores = numbered.sparkSession.sparkContext.defaultParallelism
     met = vocabulary.pairs_met()
@@ -194,14 +195,16 @@ def _pairs_of_numbered(numbered: DataFrame, vocabulary: Vocabulary) -> DataFrame
     groups = pair_blocks.groups_for(vocabulary.places(), cores)
     placed = numbered.select("_line", F.explode("_words").alias("w"))
     ids = _ids_of(vocabulary)
+    names = vocabulary.words.select(F.col("wid").alias("id"), "w", "n")
+    names = (names,) if named and not lookups.fits_broadcast(names) else ()
     if lookups.fits_broadcast(ids):
         # The ids of a line stay together where the words are looked up without a shuffle.
         placed = placed.join(F.broadcast(ids), "w")
-        return pair_blocks.pair_counts(placed, "wid", groups, vocabulary.min_count, "_line")
+        return pair_blocks.pair_counts(placed, "wid", groups, vocabulary.min_count, "_line", *names)
     lines = _ids_of_lines(placed, vocabulary).repartition(
         max(cores, math.ceil(met / PAIRS_GATHERED)), "_line").groupBy("_line").agg(
         F.flatten(F.collect_list("_ids")).alias("_ids"))
-    return pair_blocks.pair_counts(lines, "_ids", groups, vocabulary.min_count)
+    return pair_blocks.pair_counts(lines, "_ids", groups, vocabulary.min_count, None, *names)
 
 
 def _ids_of_lines(placed: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -248,6 +251,8 @@ def _pairs_of_owners(numbered: DataFrame, vocabulary: Vocabulary, cores: int, me
 
 def _named(pairs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(x, y, nxy, nx, ny) for id pairs, one row per unordered pair."""
+    if "x" in pairs.columns:
+        return pairs.select("x", "y", "nxy", "nx", "ny")
     words = vocabulary.words
     left = words.select(F.col("wid").alias("a"), F.col("w").alias("x"), F.col("n").alias("nx"))
     right = words.select(F.col("wid").alias("b"), F.col("w").alias("y"), F.col("n").alias("ny"))
@@ -269,7 +274,7 @@ def pair_counts(lines: DataFrame, text: str = "line", min_count: int = MIN_COUNT
     out before pairing.
     """
     vocabulary = vocabulary or Vocabulary(lines, text, min_count)
-    named = _named(_id_pairs(lines, text, vocabulary), vocabulary)
+    named = _named(_id_pairs(lines, text, vocabulary, True), vocabulary)
     return _both_orders(named.select("x", "y", "nxy"))
 
 
@@ -283,7 +288,7 @@ def pmi_pairs(lines: DataFrame, text: str = "line", min_count: int = MIN_COUNT,
               total: str = "frequent", vocabulary: Vocabulary | None = None) -> DataFrame:
     """(x, y, pmi) in both orders."""
     vocabulary = vocabulary or Vocabulary(lines, text, min_count, total)
-    named = _named(_id_pairs(lines, text, vocabulary), vocabulary)
+    named = _named(_id_pairs(lines, text, vocabulary, True), vocabulary)
     score = pmi(F.col("nxy"), F.col("nx"), F.col("ny"), vocabulary.total())
     return _both_orders(named.select("x", "y", score.alias("pmi")))
 
@@ -380,7 +385,7 @@ def greatest_pmi_pair(lines: DataFrame, text: str = "line", min_count: int = MIN
         some = vocabulary.up_to(ceiling)
         if report is not None:
             report.append((ceiling, some.size(), some.pairs_met()))
-        named = _named(_pairs_of_numbered(numbered, some), some)
+        named = _named(_pairs_of_numbered(numbered, some, True), some)
         score = pmi(F.col("nxy"), F.col("nx"), F.col("ny"), vocabulary.total())
         best = materialize(greatest_pmi(_both_orders(named.withColumn("pmi", score))), "best")
         found = best.first()

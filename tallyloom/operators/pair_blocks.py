@@ -133,10 +133,11 @@ def pieces(rows: DataFrame, ids: str, groups: int, line: str | None = None) -> D
     return rows.select(*[line] if line else [], ids).mapInArrow(cut, _PIECE)
 
 
-def _counter(groups: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _counter(groups: int, least: int, named: bool = False) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """What counts a block, or half of it. A part is the ids of its two groups in one batch of
     rows: left ids and the ends of their rows, right ids, the ends and the sizes of their rows.
-    In a block of one group, an id meets those before it in its row."""
+    In a block of one group, an id meets those before it in its row. If ``named``, a row
+    without a part has the names of the two groups."""
     most, returned = PASS_PAIRS, ROWS_RETURNED
 
     def unpacked(values: pa.BinaryScalar, width: int) -> np.ndarray:
@@ -228,45 +229,76 @@ def _counter(groups: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], It
         wanted = own & 1 == half
         return own[wanted] >> 1, np.bincount(row[wanted], minlength=len(sizes))
 
+    def names_of(groups_names: dict[int, tuple], low: int, high: int) -> Callable[[np.ndarray], list]:
+        """What gives names and their numbers of ids of the two groups."""
+        both = [groups_names[low], groups_names[high]]
+        names = pa.concat_arrays([name for _, name, _ in both])
+        numbers = np.concatenate([n for _, _, n in both])
+
+        def look(ids: np.ndarray) -> list:
+            at = np.where(ids % groups == low, np.searchsorted(both[0][0], ids),
+                          len(both[0][0]) + np.searchsorted(both[1][0], ids))
+            return [names.take(pa.array(at)), pa.array(numbers[at])]
+
+        return look
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, low, high, half, step = [], 0, 0, 0, 1
+        parts, low, high, half, step, known = [], 0, 0, 0, 1, {}
         for batch in batches:
             for at in range(batch.num_rows):
                 first, second, *sides = [column[at] for column in batch.columns]
                 low, high = first.as_py(), second.as_py()
+                if named and sides[8].is_valid:
+                    for group, found in ((low, sides[8].values), (high, sides[9].values)):
+                        ids, names, numbers = found.flatten()
+                        known[group] = ids.to_numpy(), names, numbers.to_numpy()
+                    continue
                 left, right = [(unpacked(ids, width.as_py()), unpacked(sizes, sizes_width.as_py()))
-                               for sizes, sizes_width, ids, width in (sides[:4], sides[4:])]
+                               for sizes, sizes_width, ids, width in (sides[:4], sides[4:8])]
                 if low == high:
                     part = alone(*left)
                 else:
-                    half, step = int(low > high), 2
-                    if half:
-                        low, high, left, right = high, low, right, left
-                    part = met_rows(*halved(*left, half), *right)
+                    if low > high:
+                        left, right = right, left
+                    part = met_rows(*halved(*left, int(low > high)), *right)
                 if part:
                     parts.append(part)
+        if low != high:
+            half, step = int(low > high), 2
+            low, high = min(low, high), max(low, high)
+        look = names_of(known, low, high) if named and parts else None
         for own, other, n in counted(parts) if parts else ():
             own, other = (own * step + half) * groups + low, other * groups + high
             for at in range(0, len(n), returned):
                 some = slice(at, at + returned)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(own[some], other[some])), pa.array(np.maximum(own[some], other[some])),
-                     pa.array(n[some])], names=["a", "b", "nxy"])
+                a, b = np.minimum(own[some], other[some]), np.maximum(own[some], other[some])
+                columns = [pa.array(a), pa.array(b), pa.array(n[some])]
+                if look:
+                    columns += look(a) + look(b)
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "nxy", "x", "nx", "y", "ny"][:len(columns)])
 
     return count
 
 
-def pair_counts(rows: DataFrame, ids: str, groups: int, least: int = 1, line: str | None = None) -> DataFrame:
+def pair_counts(rows: DataFrame, ids: str, groups: int, least: int = 1, line: str | None = None,
+                names: DataFrame | None = None) -> DataFrame:
     """(a, b, nxy) with a < b: the number of rows that hold both ids, if it is at least ``least``.
 
     ``ids`` and ``line`` are as for ``pieces``. A group is one partition of one shuffle, and a
-    task reads two of them, so that nothing is added up after it.
+    task reads two of them, so that nothing is added up after it. ``names`` (id, w, n), of all
+    ids, go with their groups and add (x, nx, y, ny) to the pairs, which are not shuffled for it.
     """
-    dealt = pieces(rows, ids, groups, line).repartitionById(groups, F.col("part"))
-    sides = ["part", "counts", "counts_width", "ids", "ids_width"]
-    left, right = (dealt.select(F.col("batch").alias(f"batch_{k}"), *(F.col(c).alias(f"{c}_{k}") for c in sides))
-                   for k in "lr")
+    dealt, sides = pieces(rows, ids, groups, line), ["counts", "counts_width", "ids", "ids_width"]
+    if names is not None:
+        # One row for each group, met by that of the other group, as pieces of a batch are.
+        named = names.groupBy((F.col("id") % groups).cast("int").alias("part")).agg(
+            F.sort_array(F.collect_list(F.struct(F.col("id").cast("bigint"), "w", "n"))).alias("names"))
+        dealt = dealt.unionByName(named.withColumn("batch", F.lit(-1).cast("bigint")), allowMissingColumns=True)
+        sides = [*sides, "names"]
+    dealt = dealt.repartitionById(groups, F.col("part"))
+    left, right = (dealt.select(*(F.col(c).alias(f"{c}_{k}") for c in ("batch", "part", *sides))) for k in "lr")
     # By this hint, a task is a pair of partitions; else both sides were shuffled again.
     met = left.join(right.hint("shuffle_replicate_nl"), F.col("batch_l") == F.col("batch_r")).select(
-        "part_l", "part_r", *(f"{c}_{k}" for k in "lr" for c in sides[1:]))
-    return met.mapInArrow(_counter(groups, least), "a bigint, b bigint, nxy bigint")
+        "part_l", "part_r", *(f"{c}_{k}" for k in "lr" for c in sides[:4]), *(f"{c}_{k}" for c in sides[4:] for k in "lr"))
+    more = "" if names is None else ", x string, nx bigint, y string, ny bigint"
+    return met.mapInArrow(_counter(groups, least, names is not None), "a bigint, b bigint, nxy bigint" + more)

@@ -138,6 +138,20 @@ def test_words_that_cannot_be_broadcast(spark, monkeypatch, held, limit):
     assert found == {p: n for p, n in pairs.items() if n >= 10} and found
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+@pytest.mark.parametrize("total", ["frequent", "all"])
+def test_blocks_name_their_pairs(spark, monkeypatch, limit, total):
+    """Without a shuffle of pairs where the words cannot be broadcast, and with the same scores."""
+    frame = lines_frame(spark, skewed_lines(150))
+    plain = {(r.x, r.y): r.pmi for r in co.pmi_pairs(frame, total=total).collect()}
+    monkeypatch.setattr(co, "PAIRS_COUNTED", 0)
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", limit)
+    made = []
+    monkeypatch.setattr(co, "lookup", lambda *a, f=co.lookup, **k: made.append(a[2]) or f(*a, **k))
+    assert {(r.x, r.y): r.pmi for r in co.pmi_pairs(frame, total=total).collect()} == plain and plain
+    assert made == (["a", "b"] if limit else ["w"])
+
+
 def test_ids_are_shuffled_once(spark):
     """They were shuffled once for each group: 21 blocks of six groups got six copies."""
     rows = frame_of(spark, [list(range(200))] * 50)
