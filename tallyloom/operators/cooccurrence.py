@@ -300,8 +300,15 @@ def stripes(lines: DataFrame, text: str = "line", min_count: int = MIN_COUNT,
     A word with more than ``entries`` neighbours has several parts, chosen by a
     hash of the neighbour; all other words have part 0 only.
     """
-    vocabulary = vocabulary or Vocabulary(lines, text, min_count)
-    counted = materialize(_id_pairs(lines, text, vocabulary), "pairs")
+    return _stripes(lines, text, vocabulary or Vocabulary(lines, text, min_count), entries)
+
+
+def _stripes(lines: DataFrame, text: str, vocabulary: Vocabulary, entries: int, with_ny: bool = False) -> DataFrame:
+    """The stripes; ``with_ny``, those of words that cannot be broadcast have the column ``ny``,
+    too: the neighbours' own counts, in the order of the map."""
+    counted = materialize(_id_pairs(lines, text, vocabulary, True), "pairs")
+    if "x" in counted.columns:
+        return _stripes_of_named(counted, entries, ["y", "nxy", "ny"] if with_ny else ["y", "nxy"])
     there, back = [F.struct(F.col(x).alias("_x"), F.col(y).alias("_y"), "nxy") for x, y in ("ab", "ba")]
     pairs = counted.select(F.inline(F.array(there, back)))
     lengths = materialize(pairs.groupBy("_x").agg(F.count("*").alias("n")), "lengths")
@@ -322,17 +329,42 @@ def stripes(lines: DataFrame, text: str = "line", min_count: int = MIN_COUNT,
     return made.select("x", "part", "nx", "stripe")
 
 
+def _stripes_of_named(counted: DataFrame, entries: int, cells: list[str]) -> DataFrame:
+    """The stripes of written pairs that have their words already, from one shuffle of them.
+
+    Only a word with several parts, of which there are few, is looked up.
+    """
+    lengths = counted.select(F.explode(F.array("a", "b")).alias("_x")).groupBy("_x").agg(F.count("*").alias("n"))
+    several = materialize(lengths.where(F.col("n") > entries).select(
+        "_x", F.ceil(F.col("n") / F.lit(entries)).alias("_parts")), "several")
+    there, back = [F.struct(F.col(i).alias("_x"), F.col(x).alias("x"), F.col(nx).alias("nx"),
+                            F.col(y).alias("y"), "nxy", F.col(ny).alias("ny"))
+                   for i, x, nx, y, ny in (("a", "x", "nx", "y", "ny"), ("b", "y", "ny", "x", "nx"))]
+    pairs = counted.select(F.inline(F.array(there, back)))
+    near = F.broadcast(several) if lookups.fits_broadcast(several) else several
+    part = F.coalesce(F.pmod(F.xxhash64("y"), F.col("_parts")), F.lit(0).cast("bigint"))
+    dealt = pair_blocks.cells(pairs.join(near, "_x", "left").withColumn("part", part), cells)
+    made = dealt.repartition("x", "part").groupBy("x", "part", "nx").agg(F.sort_array(
+        F.arrays_zip(*(F.flatten(F.collect_list(c)).alias(c) for c in cells))).alias("_cells"))
+    stripe = F.map_from_entries(F.transform("_cells", lambda c: F.struct(c["y"], c["nxy"])))
+    return made.select("x", "part", "nx", stripe.alias("stripe"), *(F.col(f"_cells.{c}") for c in cells[2:]))
+
+
 def pairs_of_stripes(table: DataFrame) -> DataFrame:
     return table.select("x", "nx", F.explode("stripe").alias("y", "nxy"))
 
 
 def pmi_stripes(lines: DataFrame, text: str = "line", min_count: int = MIN_COUNT,
                 total: str = "all", vocabulary: Vocabulary | None = None) -> DataFrame:
-    """(x, y, pmi) from stripes: nx is in the stripe, ny is looked up per entry."""
+    """(x, y, pmi) from stripes: nx is in the stripe, ny is looked up per entry or with the pairs."""
     vocabulary = vocabulary or Vocabulary(lines, text, min_count, total)
-    entries = pairs_of_stripes(stripes(lines, text, min_count, vocabulary))
-    neighbours = vocabulary.words.select(F.col("w").alias("y"), F.col("n").alias("ny"))
-    scored = lookup(entries, neighbours, "y")
+    table = _stripes(lines, text, vocabulary, STRIPE_ENTRIES, True)
+    if "ny" in table.columns:
+        scored = table.select("x", "nx", F.inline(F.arrays_zip(
+            F.map_keys("stripe").alias("y"), F.map_values("stripe").alias("nxy"), "ny")))
+    else:
+        neighbours = vocabulary.words.select(F.col("w").alias("y"), F.col("n").alias("ny"))
+        scored = lookup(pairs_of_stripes(table), neighbours, "y")
     score = pmi(F.col("nxy"), F.col("nx"), F.col("ny"), vocabulary.total())
     return scored.select("x", "y", score.alias("pmi"))
 

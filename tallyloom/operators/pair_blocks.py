@@ -302,3 +302,38 @@ def pair_counts(rows: DataFrame, ids: str, groups: int, least: int = 1, line: st
         "part_l", "part_r", *(f"{c}_{k}" for k in "lr" for c in sides[:4]), *(f"{c}_{k}" for c in sides[4:] for k in "lr"))
     more = "" if names is None else ", x string, nx bigint, y string, ny bigint"
     return met.mapInArrow(_counter(groups, least, names is not None), "a bigint, b bigint, nxy bigint" + more)
+
+
+def cells(rows: DataFrame, gathered: list[str]) -> DataFrame:
+    """(x, part, nx) and arrays of the gathered columns: one row for those of many that agree in
+    x and part, which so have few bytes to shuffle."""
+    columns = ["x", "part", "nx", *gathered]
+    kinds = dict(rows.dtypes)
+    enough = PIECE_IDS
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= enough:
+                yield lists(pa.Table.from_batches(held))
+                held, size = [], 0
+        if size:
+            yield lists(pa.Table.from_batches(held))
+
+    def lists(table: pa.Table) -> pa.RecordBatch:
+        code = table.column("x").combine_chunks().dictionary_encode()
+        x, part = code.indices.to_numpy(), table.column("part").to_numpy()
+        order = np.lexsort((part, x))
+        x, part = x[order], part[order]
+        first = np.flatnonzero((np.diff(x, prepend=-1) != 0) | (np.diff(part, prepend=-1) != 0))
+        ends = pa.array(np.append(first, len(x)), pa.int32())
+        sorted_rows = table.select(columns[2:]).take(pa.array(order)).combine_chunks()
+        nx, *others = (pa.concat_arrays(column.chunks) for column in sorted_rows.columns)
+        return pa.RecordBatch.from_arrays(
+            [code.dictionary.take(pa.array(x[first])), pa.array(part[first]), nx.take(pa.array(first)),
+             *(pa.ListArray.from_arrays(ends, other) for other in others)], names=columns)
+
+    return rows.select(*columns).mapInArrow(gather, ", ".join(
+        [f"{c} {kinds[c]}" for c in columns[:3]] + [f"{c} array<{kinds[c]}>" for c in gathered]))

@@ -98,6 +98,24 @@ def test_scores_of_many_pairs(spark, monkeypatch, form, total):
     assert {(r.x, r.y): r.pmi for r in form(frame, min_count=9, total=total).collect()} == plain and plain
 
 
+@pytest.mark.parametrize("held", [30, 1 << 20])
+@pytest.mark.parametrize("entries", [65536, 3])
+def test_stripes_of_words_that_cannot_be_broadcast(spark, monkeypatch, entries, held):
+    """The same stripes and parts as of words that can, and no pair is shuffled for its words."""
+    frame = lines_frame(spark, few_words(80))
+    plain = sorted(map(tuple, co.stripes(frame, min_count=8, entries=entries).collect()), key=repr)
+    monkeypatch.setattr(co, "PAIRS_COUNTED", 0)
+    monkeypatch.setattr(pair_blocks, "PIECE_IDS", held)
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 800)
+    made = []
+    monkeypatch.setattr(co, "lookup", lambda *a, f=co.lookup, **k: made.append(a[2]) or f(*a, **k))
+    found = co.stripes(frame, min_count=8, entries=entries)
+    assert found.dtypes == [("x", "string"), ("part", "bigint"), ("nx", "bigint"), ("stripe", "map<string,bigint>")]
+    found = sorted(map(tuple, found.collect()), key=repr)
+    assert [(x, p, n, sorted(s.items())) for x, p, n, s in found] == [
+        (x, p, n, sorted(s.items())) for x, p, n, s in plain] and found and made == ["w"]
+
+
 @pytest.mark.parametrize("entries", [65536, 3])
 def test_stripes_of_many_pairs(spark, monkeypatch, entries):
     lines = few_words(80)
@@ -138,6 +156,19 @@ def test_words_that_cannot_be_broadcast(spark, monkeypatch, held, limit):
     assert found == {p: n for p, n in pairs.items() if n >= 10} and found
 
 
+@pytest.mark.parametrize("total", ["frequent", "all"])
+def test_scores_of_stripes_of_words_that_cannot_be_broadcast(spark, monkeypatch, total):
+    frame = lines_frame(spark, skewed_lines(150))
+    plain = {(r.x, r.y): r.pmi for r in co.pmi_stripes(frame, total=total).collect()}
+    monkeypatch.setattr(co, "PAIRS_COUNTED", 0)
+    monkeypatch.setattr(co, "STRIPE_ENTRIES", 5)
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 800)
+    made = []
+    monkeypatch.setattr(co, "lookup", lambda *a, f=co.lookup, **k: made.append(a[2]) or f(*a, **k))
+    rows = co.pmi_stripes(frame, total=total).collect()
+    assert {(r.x, r.y): r.pmi for r in rows} == plain and len(rows) == len(plain) > 0 and made == ["w"]
+
+
 @pytest.mark.parametrize("limit", [0, 1 << 26])
 @pytest.mark.parametrize("total", ["frequent", "all"])
 def test_blocks_name_their_pairs(spark, monkeypatch, limit, total):
